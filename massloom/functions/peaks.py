@@ -13,17 +13,25 @@ def base_intensity(peaks: Column) -> Column:
     return F.aggregate(peaks, F.lit(0.0), lambda acc, p: F.greatest(acc, p["intensity"].cast("double")))
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often ``body`` reads it inside
+    further lambdas."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def scale_peaks(peaks: Column, extra: tuple[str, ...] = ()) -> Column:
-    """Base peak to 999, peaks below 5 dropped.  ``extra`` names further struct fields to keep."""
-    top = base_intensity(peaks)
-    kept = F.filter(peaks, lambda p: p["intensity"] / top * F.lit(BASE_PEAK) >= F.lit(MIN_SCALED))
-    scaled = F.transform(kept, lambda p: F.struct(
-        p["mz"].cast("double").alias("mz"), (p["intensity"] / top * F.lit(BASE_PEAK)).alias("intensity"),
-        *[p[f].alias(f) for f in extra]))
-    as_is = F.transform(peaks, lambda p: F.struct(
-        p["mz"].cast("double").alias("mz"), p["intensity"].cast("double").alias("intensity"),
-        *[p[f].alias(f) for f in extra]))
-    return F.when(top > 0, scaled).otherwise(as_is)
+    """Base peak to 999, peaks below 5 dropped.  ``extra`` names further struct fields to keep.
+
+    A list without a positive intensity stays as it is.
+    """
+    def scaled(top: Column) -> Column:
+        share = lambda p: F.when(top > 0, p["intensity"] / top * F.lit(BASE_PEAK)).otherwise(
+            p["intensity"].cast("double"))
+        kept = F.filter(peaks, lambda p: (top <= 0) | (share(p) >= F.lit(MIN_SCALED)))
+        return F.transform(kept, lambda p: F.struct(p["mz"].cast("double").alias("mz"), share(p).alias("intensity"),
+                                                    *[p[f].alias(f) for f in extra]))
+
+    return bind(base_intensity(peaks), scaled)
 
 
 def sort_by_mz(peaks: Column) -> Column:
