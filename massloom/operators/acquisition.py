@@ -288,8 +288,8 @@ def library_masses(library: DataFrame) -> DataFrame:
 def protected_fatty_acids(runs: DataFrame, grid: DataFrame) -> DataFrame:
     """Free-fatty-acid masses as identified lipids of every negative run."""
     negative = runs.filter("polarity = '-'").select(*RUN).distinct()
-    masses = grid.agg(F.collect_list("fa_mz").alias("m"))
-    return negative.withColumn("lipid_mz", F.explode(masses.scalar()))
+    masses = grid.agg(F.collect_list("fa_mz").alias("m"))  # at most a few hundred masses
+    return negative.withColumn("__m", masses.scalar()).withColumn("lipid_mz", F.explode("__m")).drop("__m")
 
 
 def richest_files(files: DataFrame, n: int = 3) -> DataFrame:
