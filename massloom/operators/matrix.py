@@ -121,7 +121,7 @@ def carryover(areas: DataFrame, injections: DataFrame) -> DataFrame:
     means = (cells.groupBy(*GROUP).agg(_sum_if(F.col("role") == "sample").alias("__s"),
                                        F.max(F.col("role") == "blank").alias("__any"))
              .filter("__any").join(n, RUN)
-             .select(*GROUP, (F.col("__s") / F.col("n_sample")).alias("sample_mean")))
+             .select(*GROUP, (F.col("__s") / F.nullif(F.col("n_sample"), F.lit(0))).alias("sample_mean")))
     blanks = cells.filter("role = 'blank'").join(means, GROUP)
     return (blanks.groupBy(*INJ, "run_order").agg(
         F.count(F.lit(1)).alias("features"), F.sum("area").alias("total"),
