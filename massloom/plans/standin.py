@@ -59,8 +59,7 @@ SELECT study_id, polarity, inj_id, {_INJECTION} AS injection,
   CASE WHEN inj_id IN (0, 1) THEN 'blank' WHEN inj_id % 5 = 2 THEN 'qc' WHEN inj_id = 23 THEN 'standard'
     ELSE 'sample' END AS role,
   cast(inj_id + 1 AS int) AS run_order, CASE WHEN inj_id % 2 = 0 THEN 'case' ELSE 'control' END AS grp
-FROM (SELECT DISTINCT l_orderkey % 24 AS inj_id FROM {{lineitem}}) i
-CROSS JOIN (SELECT DISTINCT study_id, polarity FROM {{groups}}) r"""
+FROM (SELECT study_id, polarity, cast({{series}} AS bigint) AS inj_id FROM (SELECT DISTINCT study_id, polarity FROM {{groups}}) r) i"""
 
 SCANS = f"""
 SELECT CASE WHEN event_id % 7 < 4 THEN 'A' ELSE 'B' END AS study_id,
@@ -70,8 +69,6 @@ SELECT CASE WHEN event_id % 7 < 4 THEN 'A' ELSE 'B' END AS study_id,
   event_type = 'purchase' AS identified, event_type, user_id, value
 FROM (SELECT *, event_id % 24 AS inj_id FROM {{events}}) e"""
 
-TABLES = {"part": "part", "lineitem": "lineitem", "events": "events"}
-
 
 def cte(*names: str) -> str:
     """WITH clause text (without the keyword) for the named views, for the reference SQL."""
@@ -82,7 +79,7 @@ def cte(*names: str) -> str:
         wanted |= needs.get(n, set())
     text = {"groups": GROUPS.format(part="part"), "area_base": AREA_BASE.format(lineitem="lineitem"),
             "areas": AREAS.format(groups="groups", area_base="area_base"),
-            "injections": INJECTIONS.format(lineitem="lineitem", groups="groups"),
+            "injections": INJECTIONS.format(series="unnest(range(0, 24))", groups="groups"),
             "scans": SCANS.format(events="events", micros="(epoch_us(ts) - 1704067200000000)"),
             "spectra_peaks": SPECTRA_PEAKS_SQL, "spectra": SPECTRA_SQL}
     return ",\n".join(f"{n} AS ({text[n]})" for n in order if n in wanted)
@@ -98,7 +95,8 @@ def areas(spark: SparkSession, d: str) -> DataFrame:
 
 
 def injections(spark: SparkSession, d: str) -> DataFrame:
-    return spark.sql(INJECTIONS, lineitem=read(spark, d, "lineitem"), groups=groups(spark, d))
+    text = INJECTIONS.replace("cast({series} AS bigint)", "explode(sequence(0L, 23L))")
+    return spark.sql(text, groups=groups(spark, d))
 
 
 def scans(spark: SparkSession, d: str) -> DataFrame:
