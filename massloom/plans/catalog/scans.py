@@ -24,7 +24,7 @@ def targets(spark, d):
 @query("j19_xic", f"""WITH {MS1}, ax AS (SELECT DISTINCT injection, scan_no, rt FROM ms1),
 s AS (SELECT t.injection, t.target_id, scan_no, sum(intensity) AS signal FROM ms1 m JOIN tg t ON m.injection = t.injection AND rt >= t_lo AND rt < t_hi
   AND mz >= t_mz - t_mz * 10e-6 AND mz < t_mz + t_mz * 10e-6 GROUP BY ALL)
-SELECT t.injection, t.target_id, a.scan_no, round(coalesce(signal, 0), 6) AS signal FROM tg t JOIN ax a ON a.injection = t.injection AND a.rt >= t_lo AND a.rt < t_hi
+SELECT t.injection, cast(t.target_id AS int) AS target_id, a.scan_no, round(coalesce(signal, 0), 6) AS signal FROM tg t JOIN ax a ON a.injection = t.injection AND a.rt >= t_lo AND a.rt < t_hi
 LEFT JOIN s ON s.injection = t.injection AND s.target_id = t.target_id AND s.scan_no = a.scan_no""")
 def j19(spark, d):
     return X.xic(ms1(spark, d), targets(spark, d)).select("injection", "target_id", "scan_no", F.round("signal", 6).alias("signal"))

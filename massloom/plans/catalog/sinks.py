@@ -34,10 +34,10 @@ m1 AS (SELECT study_id, polarity, injection, median(area) AS md FROM n SEMI JOIN
 f1 AS (SELECT i.study_id, i.polarity, i.injection, coalesce(md / avg(md) OVER (PARTITION BY i.study_id, i.polarity), 1.0) AS f FROM inj i LEFT JOIN m1 USING (study_id, polarity, injection)),
 m2 AS (SELECT study_id, polarity, injection, median(area / f) AS md FROM n JOIN f1 USING (study_id, polarity, injection) GROUP BY ALL),
 f2 AS (SELECT study_id, polarity, injection, f * md / avg(md) OVER (PARTITION BY study_id, polarity) AS f FROM f1 JOIN m2 USING (study_id, polarity, injection))
-SELECT study_id, polarity, group_id, injection, round(area / f, 4) AS area FROM n JOIN f2 USING (study_id, polarity, injection)""")
+SELECT study_id, polarity, group_id, injection, round(area / f / 1e9, 6) AS area FROM n JOIN f2 USING (study_id, polarity, injection)""")
 def k1_norm(spark, d):
     _, cells = table(spark, d, "normalised")
-    return cells.select("study_id", "polarity", "group_id", "injection", F.round("area", 4).alias("area"))
+    return cells.select("study_id", "polarity", "group_id", "injection", F.round(F.col("area") / 1e9, 6).alias("area"))
 
 
 @query("k4_exclusion_list", f"""WITH {WASTED} SELECT study_id, polarity, printf('%.4f', mz) AS mass, scans AS wasted, CASE WHEN in_blank THEN 'yes' ELSE 'no' END AS in_blank FROM w""")
@@ -52,7 +52,7 @@ def k4i(spark, d):
     return K.exclusion_instrument(rows).toDF("study_id", "run_polarity", "mass", "formula", "species", "cs", "polarity", "start", "end", "ce", "msx", "comment")
 
 
-@query("k5_inclusion_list", f"""WITH {S.cte('groups')} SELECT study_id, group_id_mz AS mass, start_min, end_min FROM (SELECT study_id, printf('%.4f', mz) AS group_id_mz, printf('%.2f', greatest(rt - 1.503, 0)) AS start_min, printf('%.2f', rt + 1.503) AS end_min FROM groups) z""")
+@query("k5_inclusion_list", f"""WITH {S.cte('groups')} SELECT study_id, group_id_mz AS mass, start_min, end_min FROM (SELECT study_id, printf('%.4f', mz + 0.00002) AS group_id_mz, printf('%.2f', greatest(rt - 1.503, 0)) AS start_min, printf('%.2f', rt + 1.503) AS end_min FROM groups) z""")
 def k5(spark, d):
-    out = K.inclusion_instrument(S.groups(spark, d), 1.503).toDF("study_id", "run_polarity", "mass", "formula", "species", "cs", "polarity", "start_min", "end_min", "ce", "msx", "comment")
+    out = K.inclusion_instrument(S.groups(spark, d).withColumn("mz", F.col("mz") + 0.00002), 1.503).toDF("study_id", "run_polarity", "mass", "formula", "species", "cs", "polarity", "start_min", "end_min", "ce", "msx", "comment")
     return out.select("study_id", "mass", "start_min", "end_min")
