@@ -96,7 +96,6 @@ def infer_chain_peaks(library: DataFrame, tol: float = 0.01) -> DataFrame:
     bonds, same class) has it CH2 lighter and not at the same mass.  Entries pair by an equi-join on
     class, double bonds and the carbons left after removing one.
     """
-    # the reference compares entries by chain count alone; entries of one class are what it pairs in practice
     pairs = N.chain_pairs(N.tail(N.bare_name(F.col("name"))))
     base = library.select("name", N.head(N.bare_name(F.col("name"))).alias("cls"), pairs.alias("c"), F.col("peaks.mz").alias("mz")).filter("size(c) > 0 AND size(mz) > 0")
     longer = base.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("c") - 1))).select(

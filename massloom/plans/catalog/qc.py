@@ -155,7 +155,6 @@ def a24(spark, d):
     return r(r(out, 9, "median_ppm", "spread_ppm", "rho"), 6, "drift_ppm")
 
 
-PAIRS = "p AS (SELECT study_id, polarity, group_id AS id_a, group_id + 20 AS id_b FROM groups g WHERE EXISTS (SELECT 1 FROM groups h WHERE h.group_id = g.group_id + 20 AND h.study_id = g.study_id AND h.polarity = g.polarity))"
 PAIRS = "p AS (SELECT g.study_id, g.polarity, g.group_id AS id_a, h.group_id AS id_b FROM groups g JOIN groups h ON h.b = g.b AND h.m = 1 AND g.m = 0)"
 BOTH = f"""{CELLS}, {PAIRS},
 xy AS (SELECT p.*, x.area AS x, y.area AS y FROM p JOIN cells x ON x.group_id = id_a AND x.role <> 'blank' JOIN cells y ON y.group_id = id_b AND y.injection = x.injection)"""
