@@ -23,6 +23,7 @@ def build_session(app: str = "massloom", master: str | None = None, **conf) -> S
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
@@ -32,20 +33,28 @@ def build_session(app: str = "massloom", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df`` in the shared folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only when neither the session nor the context names a folder (tests, a laptop) is a local one
-    made, and only in local mode: on a cluster a machine-local folder would not survive an
-    executor.
+    Only where a session has none and everything runs in one machine's process (``local`` masters, as
+    in tests) is a temporary folder made and set.
     """
-    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can read")
-            folder = tempfile.mkdtemp(prefix="massloom-ckpt-")
+    if folder is None and context._jsc.sc().getCheckpointDir().isDefined():
+        folder = context._jsc.sc().getCheckpointDir().get()
+    if folder is None:
+        if context.master != "local" and not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can read")
+        folder = tempfile.mkdtemp(prefix="massloom-ckpt-")
         context.setCheckpointDir(folder)
+    return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of ``df`` in the shared folder."""
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
