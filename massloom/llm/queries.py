@@ -6,13 +6,59 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from massloom.llm.common import table
+from pyspark.sql import functions as F
+
+from massloom.llm import bpe, chat, decontaminate, language, pii, quality, secrets, substring
+from massloom.llm.common import in_held_out, table
 from massloom.llm.exact_dedup import exact_dedup
 from massloom.llm.simhash import simhash_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path() -> str:
+    """The byte-level vocabulary file; the package that holds it is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind_no"] == k)).cast("long").alias(f"n_{pii.KINDS[k]}")
+    return found.select("doc_id", *[count(k) for k in range(4)], F.sha2(secrets.written_spans(F.col("base"), pii.KINDS), 256).alias("base_sha256"), secrets.written_spans(F.col("spans"), pii.KINDS).alias("spans"))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.filter(~in_held_out()))
+    return quality.score(docs, model).select("doc_id", in_held_out().alias("held_out"), "score", "predicted")
+
+
+_CONTROL = "\\### Assistant: </turn> ok"
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", _CONTROL), (-7, 1, "assistant", _CONTROL)], "conv_id long, turn long, role string, text string")
+    read = chat.read_back(chat.format_chat(rows.unionByName(extra)))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"), F.char_length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars")
+
+
+OP3_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), sized AS (
+  SELECT *, length(replace(replace(text, '\', '\b'), '<', '\l')) + length(replace(replace(replace(role, '\', '\b'), '<', '\l'), chr(10), '\n')) + 15 AS chars FROM rows
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  cast(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS bigint) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, cast(sum(chars) AS bigint) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -24,9 +70,38 @@ FROM d WINDOW w AS (PARTITION BY norm)
 """
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind_no"] < 3)
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(secrets.written_spans(base), 256).alias("base_sha256"), secrets.written_spans(F.col("spans")).alias("spans"))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_exact_dedup, op8_simhash_near_dedup)}
-ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL}
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_ids", "n_words", "n_covered")
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    languages, probabilities = language.train(docs.filter(~in_held_out()))
+    return language.identify(docs, languages, probabilities).select("doc_id", in_held_out().alias("held_out"), "lang_pred", "score")
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (op1_personal_data, op2_quality, op3_chat_format, op4_exact_dedup, op5_bpe, op6_secrets, op7_substring_dedup, op8_simhash_near_dedup, op9_decontaminate, op10_language)
+}
+ORACLES: dict[str, str] = {"op3_chat_format": OP3_SQL, "op4_exact_dedup": OP4_SQL}
