@@ -6,36 +6,40 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from massloom.llm.common import keyed, slices, written
+from massloom.llm.common import keyed, release, slices, written
 
 #: Words of the shortest factor, words of an anchor.
 WINDOW, ANCHOR = 13, 5
 #: Blocks summed up in a task before they are sent.
 FLUSH = 400_000
-_MEMO = 1 << 20
+#: Bytes of a text hashed at once.
+BLOCK = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Hashes(dict):
-    """64-bit hash by word; keeps the words seen first."""
+def words(text: str) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").split()
 
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh64_intdigest(word)
-        if len(self) < _MEMO:
-            self[word] = value
-        return value
 
+class _Powers:
+    """Powers of an odd multiplier modulo 2^64 and of its inverse, as long as the longest text so far."""
 
-def words(text: str) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").split()
+    def __init__(self, base: int):
+        self.base, self.inverse = base, pow(base, -1, 1 << 64)
+        self.up = self.down = np.ones(1, dtype=np.uint64)
+
+    def reach(self, n: int) -> None:
+        if len(self.up) < n:
+            n = max(n, 2 * len(self.up))
+            steps = np.repeat(np.array([[self.base], [self.inverse]], dtype=np.uint64), n, axis=1)
+            steps[:, 0] = 1
+            self.up, self.down = np.cumprod(steps, axis=1, dtype=np.uint64)
 
 
-def _multipliers(n: int, seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).integers(1 << 62, 1 << 64, n, dtype=np.uint64) | np.uint64(1)
+_FIRST, _SECOND, _THIRD = _Powers(0xC2B2AE3D27D4EB4F), _Powers(0x165667B19E3779F9), _Powers(0x27D4EB2F165667C5)
 
 
 def _finish(h: np.ndarray) -> np.ndarray:
@@ -43,47 +47,68 @@ def _finish(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _grams(tokens: np.ndarray, n: int, seed: int) -> np.ndarray:
-    size = len(tokens) - n + 1
-    out = np.zeros(size, dtype=np.uint64)
-    for k, m in enumerate(_multipliers(n, seed)):
-        out += tokens[k:k + size] * m
-    return _finish(out)
+def _sums(tokens: np.ndarray, powers: _Powers) -> np.ndarray:
+    powers.reach(len(tokens) + 1)
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(tokens * powers.up[:len(tokens)])])
+
+
+def _grams(sums: np.ndarray, n: int, powers: _Powers) -> np.ndarray:
+    """Hash of every run of ``n`` words, wherever it stands, from the running sums."""
+    size = len(sums) - n
+    return _finish((sums[n:] - sums[:size]) * powers.down[:size])
 
 
 def windows(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit hashes of every window."""
-    return _grams(tokens, WINDOW, 1), _grams(tokens, WINDOW, 2)
+    return _grams(_sums(tokens, _FIRST), WINDOW, _FIRST), _grams(_sums(tokens, _SECOND), WINDOW, _SECOND)
 
 
 def blocks(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First window, number of windows, anchor hash and content hash of each block.
 
     A block is a run of windows with one anchor: the smallest of their word five-grams by hash, the leftmost
-    of equal ones. Where a block begins and ends depends on its words alone, so a passage that occurs twice
+    of equal ones (60 bits are compared). Where a block begins and ends depends on its words alone, so a passage that occurs twice
     has the same blocks, but for those at its ends.
     """
     none = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
     if len(tokens) < WINDOW:
         return none
-    grams = _grams(tokens, ANCHOR, 0)
-    reach = WINDOW - ANCHOR + 1
+    sums = _sums(tokens, _FIRST)
+    grams = _grams(sums, ANCHOR, _FIRST)
     size = len(tokens) - WINDOW + 1
-    best, place = grams[:size].copy(), np.arange(size)
-    for k in range(1, reach):
-        lower = grams[k:k + size] < best
-        best[lower] = grams[k:k + size][lower]
-        place[lower] = np.nonzero(lower)[0] + k
+    # the low four bits make way for the place in the window, so equal hashes go to the left
+    cut = grams & ~np.uint64(15)
+    best = cut[:size].copy()
+    for k in range(1, WINDOW - ANCHOR + 1):
+        np.minimum(best, cut[k:k + size] | np.uint64(k), out=best)
+    place = np.arange(size) + (best & np.uint64(15)).astype(np.int64)
     first = np.nonzero(np.concatenate([[True], place[1:] != place[:-1]]))[0]
     count = np.diff(np.concatenate([first, [size]]))
-    w = _grams(tokens, WINDOW, 1)
-    content = _finish(w[first] * np.uint64(0xC2B2AE3D27D4EB4F) + w[first + count - 1] * np.uint64(0x165667B19E3779F9) + (place[first] - first).astype(np.uint64) * np.uint64(16) + count.astype(np.uint64))
-    return first, count, best[first], content
+    content = _finish((sums[first + count + WINDOW - 1] - sums[first]) * _FIRST.down[first] * _MIX + (place[first] - first).astype(np.uint64) * np.uint64(16) + count.astype(np.uint64))
+    return first, count, grams[place[first]], content
+
+
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_BYTES = np.random.default_rng(0).integers(0, 1 << 64, 256, dtype=np.uint64)
 
 
-def _tokens(text: str, hashes: _Hashes) -> np.ndarray:
-    found = words(text)
-    return np.fromiter(map(hashes.__getitem__, found), dtype=np.uint64, count=len(found))
+def _tokens(text: str) -> np.ndarray:
+    """A 64-bit hash of each word, from running sums over the bytes; a long text goes block by block."""
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    found, at = [], 0
+    while at < len(data):
+        end = min(at + BLOCK, len(data))
+        while end < len(data) and not _SPACE[data[end]]:  # to the end of the word
+            more = np.nonzero(_SPACE[data[end:end + BLOCK]])[0]
+            end = end + int(more[0]) if len(more) else min(end + BLOCK, len(data))
+        part = data[at:end]
+        inside = np.concatenate([[False], ~_SPACE[part], [False]])
+        edges = np.nonzero(inside[1:] != inside[:-1])[0]
+        sums, starts = _sums(_BYTES[part], _THIRD), edges[::2]
+        found.append(_finish((sums[edges[1::2]] - sums[starts]) * _THIRD.down[starts]))
+        at = end
+    return np.concatenate(found) if found else np.empty(0, np.uint64)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -93,7 +118,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 def _index_rows(docs: DataFrame) -> DataFrame:
     """anchor, content, first, last: smallest and largest doc_id with the block, summed up within a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, size = _Hashes(), [], 0
+        held, size = [], 0
 
         def flush() -> pa.RecordBatch:
             anchor, content, doc = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -105,7 +130,7 @@ def _index_rows(docs: DataFrame) -> DataFrame:
 
         for part in slices(batches):
             for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                _, _, anchor, content = blocks(_tokens(text, hashes))
+                _, _, anchor, content = blocks(_tokens(text))
                 if len(anchor):
                     held.append((anchor, content, np.full(len(anchor), doc_id, dtype=np.int64)))
                     size += len(anchor)
@@ -121,11 +146,10 @@ def _index_rows(docs: DataFrame) -> DataFrame:
 def _places(docs: DataFrame) -> DataFrame:
     """anchor, content, doc_id, text_key, place (first window * 16 + windows) of every block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for part in slices(batches):
             rows = []
             for doc_id, text, key in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                first, count, anchor, content = blocks(_tokens(text, hashes))
+                first, count, anchor, content = blocks(_tokens(text))
                 if len(first):
                     rows.append((anchor.view(np.int64), content.view(np.int64), np.full(len(first), doc_id), np.full(len(first), key), first * 16 + count))
             if rows:
@@ -141,11 +165,10 @@ def _by_document(places: DataFrame) -> DataFrame:
 def _windows_at(docs: DataFrame) -> DataFrame:
     """w1, w2, doc_id, text_key, place (window * 16 + 1) for the windows of the blocks in ``places``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for part in slices(batches):
             rows = []
             for doc_id, text, key, places in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                w1, w2 = windows(_tokens(text, hashes))
+                w1, w2 = windows(_tokens(text))
                 at = _spread(np.array(places, dtype=np.int64))
                 rows.append((w1[at].view(np.int64), w2[at].view(np.int64), np.full(len(at), doc_id), np.full(len(at), key), at * 16 + 1))
             if rows:
@@ -190,7 +213,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Every document is cut into content-defined reference blocks, and all blocks are indexed by anchor and content
     with the smallest doc_id that has them. A document is then parsed against the whole index: a block whose
     content occurs earlier extends the current factor. At the ends of a factor, where blocks share an anchor but
-    not all of their words, the single windows are looked up. What the factors cover is removed.
+    not all of their words, the single windows of each block's first document are looked up. What the factors cover
+    is removed.
 
     Blocks are summed up in each task before they are sent, so a passage that a third of the documents carry
     costs a row per task. Contents are compared by 128 bits of hash (64 of the anchor, 64 of the rest).
@@ -205,11 +229,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     by_anchor = Window.partitionBy("anchor")
     shared = contents.select("anchor", "content", "first", F.min("first").over(by_anchor).alias("a"), F.max("last").over(by_anchor).alias("z"), (F.count("*").over(by_anchor) > 1).alias("mixed"))
     shared = written(shared.filter("a < z").select("anchor", "content", "first", "mixed"))
-    found = _places(known).join(shared, ["anchor", "content"]).filter("mixed OR doc_id > first").select("doc_id", "text_key", "place", "mixed")
+    release(rows.sparkSession)
+    found = _places(known).join(shared, ["anchor", "content"]).filter("mixed OR doc_id > first").select("doc_id", "text_key", "place", (F.col("doc_id") > F.col("first")).alias("repeat"))
     found = written(found)
-    edges = known.join(_by_document(found.filter("mixed")), ["doc_id", "text_key"])
+    release(rows.sparkSession)
+    edges = known.join(_by_document(found.filter("NOT repeat")), ["doc_id", "text_key"])
     single = written(_windows_at(edges))
-    earliest = single.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
+    release(rows.sparkSession)
+    earliest = written(single.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").drop("last"))
     late = single.join(earliest, ["w1", "w2"]).filter("doc_id > first").select("doc_id", "text_key", "place")
-    marks = _by_document(found.filter("NOT mixed").select("doc_id", "text_key", "place").union(late))
+    marks = _by_document(found.filter("repeat").select("doc_id", "text_key", "place").union(late))
     return _parsed(rows.join(marks, ["doc_id", "text_key"], "left"))
