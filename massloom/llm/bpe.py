@@ -23,8 +23,10 @@ NEWER = (
     "18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED "
     "1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F"
 )
-#: Pieces encoded together, pieces remembered by a worker, longest piece (bytes) of the batched tree.
-PIECES, MEMORY, BATCHED = 1 << 16, 400_000, 64
+#: Pieces looked up together, pieces remembered by a worker, leaves of the trees that are merged together.
+PIECES, MEMORY, SLOTS = 1 << 18, 400_000, 1 << 16
+#: Characters of a text that are cut into pieces at once.
+BLOCK = 1 << 20
 _NONE = np.iinfo(np.int64).max
 
 
@@ -78,14 +80,14 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def merge_pieces(pieces: list[bytes], vocab: Vocabulary) -> list[np.ndarray]:
-    """Ids of each piece. Pieces of one padded size are merged together, a segment tree each; longer ones apart."""
-    out: list[np.ndarray] = [None] * len(pieces)  # type: ignore[list-item]
+def merge_pieces(pieces: list[bytes], vocab: Vocabulary) -> list[bytes]:
+    """Little-endian ids of each piece. Pieces of one padded size are merged together, a segment tree each."""
+    out = [b""] * len(pieces)
     by_size: dict[int, list[int]] = {}
     for k, piece in enumerate(pieces):
         by_size.setdefault(1 << max(1, (len(piece) - 1).bit_length()), []).append(k)
     for size, members in by_size.items():
-        step = PIECES if size <= BATCHED else max(1, PIECES // size)
+        step = max(1, SLOTS // size)
         for at in range(0, len(members), step):
             part = members[at:at + step]
             for k, ids in zip(part, _merge([pieces[k] for k in part], size, vocab), strict=True):
@@ -93,7 +95,7 @@ def merge_pieces(pieces: list[bytes], vocab: Vocabulary) -> list[np.ndarray]:
     return out
 
 
-def _merge(pieces: list[bytes], size: int, vocab: Vocabulary) -> list[np.ndarray]:
+def _merge(pieces: list[bytes], size: int, vocab: Vocabulary) -> list[bytes]:
     """Merge pieces of at most ``size`` bytes (a power of two).
 
     Column w of ``tree`` is the segment tree of piece w. Leaf ``size + i`` holds rank * size + i of the pair that
@@ -101,52 +103,59 @@ def _merge(pieces: list[bytes], size: int, vocab: Vocabulary) -> list[np.ndarray
     that of the pair before it, and that of the slot it swallows; each is renewed up to the root.
     """
     count = len(pieces)
+    kind = np.int32 if len(vocab.ranks) * size < np.iinfo(np.int32).max else np.int64
+    none = np.iinfo(kind).max
     lengths = np.array([len(p) for p in pieces])
     raw = np.zeros((count, size), dtype=np.uint8)
     raw[np.arange(size) < lengths[:, None]] = np.frombuffer(b"".join(pieces), dtype=np.uint8)
     ids = np.where(np.arange(size)[:, None] < lengths, vocab.byte_ids[raw.T], -1)
-    after = np.tile(np.arange(1, size + 1)[:, None], count)
-    before = np.tile(np.arange(-1, size - 1)[:, None], count)
-    tree = np.full((2 * size, count), _NONE, dtype=np.int64)
-    ranks = vocab.rank(ids[:-1], ids[1:])
-    slot = np.arange(size - 1)[:, None]
-    tree[size:2 * size - 1] = np.where(ranks == _NONE, _NONE, np.minimum(ranks, _NONE // size - 1) * size + slot)
+    after = np.tile(np.arange(1, size + 1, dtype=np.int32)[:, None], count)
+    before = np.tile(np.arange(-1, size - 1, dtype=np.int32)[:, None], count)
+
+    def leaf(left: np.ndarray, right: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        rank = vocab.rank(left, right)
+        return np.where(rank == _NONE, none, np.where(rank == _NONE, 0, rank) * size + slot).astype(kind)
+
+    tree = np.full((2 * size, count), none, dtype=kind)
+    tree[size:2 * size - 1] = leaf(ids[:-1], ids[1:], np.arange(size - 1)[:, None])
     for node in range(size - 1, 0, -1):
         np.minimum(tree[2 * node], tree[2 * node + 1], out=tree[node])
+    flat = tree.ravel()
 
-    def renew(slots: np.ndarray, pieces_: np.ndarray, values: np.ndarray) -> None:
+    def renew(slots: np.ndarray, columns: np.ndarray, values: np.ndarray | int) -> None:
         node = slots + size
-        tree[node, pieces_] = values
-        while node[0] > 1:
-            node = node >> 1
-            tree[node, pieces_] = np.minimum(tree[2 * node, pieces_], tree[2 * node + 1, pieces_])
-
-    def pair(left: np.ndarray, right: np.ndarray, pieces_: np.ndarray) -> np.ndarray:
-        inside = right < size
-        second = ids[np.where(inside, right, 0), pieces_]
-        rank = np.where(inside & (second >= 0), vocab.rank(ids[left, pieces_], second), _NONE)
-        return np.where(rank == _NONE, _NONE, np.minimum(rank, _NONE // size - 1) * size + left)
-
-    open_ = np.nonzero(tree[1] != _NONE)[0]
+        flat[node * count + columns] = values
+        for _ in range(size.bit_length() - 1):
+            node >>= 1
+            place = node * (2 * count) + columns
+            flat[node * count + columns] = np.minimum(flat[place], flat[place + count])
+
+    open_ = np.nonzero(tree[1] != none)[0]
     while len(open_):
-        root = tree[1, open_]
+        root = tree[1, open_].astype(np.int64)
         left = root % size
-        gone = after[left, open_]
-        ids[left, open_] = vocab.merged[root // size]
+        gone = after[left, open_].astype(np.int64)
+        new = vocab.merged[root // size]
+        ids[left, open_] = new
         ids[gone, open_] = -1
-        right = after[gone, open_]
+        right = after[gone, open_].astype(np.int64)
         after[left, open_] = right
         linked = right < size
         before[right[linked], open_[linked]] = left[linked]
-        renew(gone, open_, np.full(len(open_), _NONE))
-        renew(left, open_, pair(left, right, open_))
-        previous = before[left, open_]
+        following = np.where(linked, ids[np.where(linked, right, 0), open_], -1)
+        renew(gone, open_, none)
+        renew(left, open_, np.where(following >= 0, leaf(new, np.maximum(following, 0), left), none))
+        previous = before[left, open_].astype(np.int64)
         has = previous >= 0
         if has.any():
-            renew(previous[has], open_[has], pair(previous[has], left[has], open_[has]))
-        open_ = open_[tree[1, open_] != _NONE]
-    columns = ids.T
-    return [row[row >= 0] for row in columns]
+            previous, columns = previous[has], open_[has]
+            renew(previous, columns, leaf(ids[previous, columns], new[has], previous))
+        open_ = open_[tree[1, open_] != none]
+    rows = ids.T
+    there = rows >= 0
+    packed = rows[there].astype("<u4").tobytes()
+    ends = (4 * np.cumsum(there.sum(1))).tolist()
+    return [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 class Encoder:
@@ -167,23 +176,37 @@ class Encoder:
                     pattern = self.vocab.split_latin
                 except UnicodeEncodeError:
                     pattern = self.vocab.split_any
-                yield from pattern.findall(part) if len(part) < PIECES else (m.group() for m in pattern.finditer(part))
+                yield from pattern.findall(part) if len(part) < BLOCK else (m.group() for m in pattern.finditer(part))
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
-        """Ids of each text, four bytes each. A long text is encoded block by block."""
-        return [b"".join(self._block(block) for block in iter(lambda s=stream: list(itertools.islice(s, PIECES)), [])) for stream in map(self.pieces, texts)]
-
-    def _block(self, pieces: list[str | int]) -> bytes:
+        """Ids of each text, four bytes each. Texts are taken together up to PIECES; a longer one goes block by block."""
+        out: list[list[bytes]] = []
+        held: list[tuple[int, list[str | int]]] = []
+        size = 0
+        for k, text in enumerate(texts):
+            out.append([])
+            stream = self.pieces(text)
+            while block := list(itertools.islice(stream, PIECES)):
+                held.append((k, block))
+                size += len(block)
+                if size >= PIECES:
+                    self._append(held, out)
+                    held, size = [], 0
+        self._append(held, out)
+        return [b"".join(x) for x in out]
+
+    def _append(self, held: list[tuple[int, list[str | int]]], out: list[list[bytes]]) -> None:
         known = self.known
-        new = [p for p in set(pieces) if p not in known]
+        met = set().union(*(block for _, block in held))
+        new = met.difference(known)
         if len(known) + len(new) > MEMORY:
             known.clear()
-            new = list(set(pieces))
+            new = met
         words = [p for p in new if isinstance(p, str)]
-        known.update((p, int(p).to_bytes(4, "little")) for p in new if isinstance(p, int))
-        for word, ids in zip(words, merge_pieces([w.encode("utf-8", "surrogatepass") for w in words], self.vocab), strict=True):
-            known[word] = ids.astype("<u4").tobytes()
-        return b"".join(map(known.__getitem__, pieces))
+        known.update((p, p.to_bytes(4, "little")) for p in new if isinstance(p, int))
+        known.update(zip(words, merge_pieces([w.encode("utf-8", "surrogatepass") for w in words], self.vocab), strict=True))
+        for k, block in held:
+            out[k].append(b"".join(map(known.__getitem__, block)))
 
     def decode(self, ids: bytes) -> str:
         """The text of little-endian ids, added tokens included; bytes that are no UTF-8 become U+FFFD."""
@@ -194,7 +217,7 @@ class Encoder:
 def _rows(docs: DataFrame, path: str, decode: bool, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary(path))
-        for part in slices(batches, 128):
+        for part in slices(batches):
             encoded = encoder.encode(part.column(1).to_pylist())
             columns = [part.column(0), part.column(2), pa.array([len(x) // 4 for x in encoded], pa.int64()), pa.array(encoded, pa.binary())]
             if decode:
