@@ -21,6 +21,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-.
 STATES = len(ALPHABET) + 1
 #: Documents that ordinary identifiers are learned from, at most; nats a transition that make a string random.
 SAMPLE_DOCS, LEAST_RATIO = 2000, 0.5
+BACKOFF = 20
 
 
 def _spans(text: Column, pattern: str, group: int = 0) -> Column:
@@ -63,7 +64,7 @@ def _transitions(strings: DataFrame, kind: str) -> DataFrame:
 
 
 def train(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, sample_docs: int = SAMPLE_DOCS) -> list[float]:
-    """Log-likelihood ratio of every transition, random strings over ordinary identifiers, add-one smoothed.
+    """Log-likelihood ratio of every transition, random strings over ordinary identifiers.
 
     Random strings are the distinct values of the fixed forms, all of them. Ordinary identifiers are the words of the
     ``sample_docs`` documents with the smallest hash. The driver gets counts of state pairs only (2 x 69 x 69).
@@ -76,10 +77,18 @@ def train(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: s
     sample = rows.join(ids, rows["doc_id"].eqNullSafe(ids["i"]) & (rows["text_key"] == ids["k"]), "left_semi")
     plain = F.regexp_replace("text", f"{ASSIGN}|{ACCESS}", " ")
     words = sample.select(F.explode(F.regexp_extract_all(plain, F.lit(IDENTIFIER), F.lit(0))).alias("value"))
-    counts = {k: [[1] * STATES for _ in range(STATES)] for k in ("random", "ordinary")}
+    counts = {k: [[0] * STATES for _ in range(STATES)] for k in ("random", "ordinary")}
     for row in _transitions(secret, "random").union(_transitions(words, "ordinary")).collect():
         counts[row["kind"]][row["a"]][row["b"]] += row["n"]
-    return [math.log(counts["random"][a][b] / sum(counts["random"][a])) - math.log(counts["ordinary"][a][b] / sum(counts["ordinary"][a])) for a in range(STATES) for b in range(STATES)]
+    random, ordinary = _log_likelihoods(counts["random"]), _log_likelihoods(counts["ordinary"])
+    return [r - o for r, o in zip(random, ordinary, strict=True)]
+
+
+def _log_likelihoods(counts: list[list[int]]) -> list[float]:
+    """log P(b after a) by state pair: counts, with BACKOFF pseudo-counts shared out as the states are frequent (add-one)."""
+    frequent = [1 + sum(row[b] for row in counts) for b in range(STATES)]
+    total = sum(frequent)
+    return [math.log((counts[a][b] + BACKOFF * frequent[b] / total) / (sum(counts[a]) + BACKOFF)) for a in range(STATES) for b in range(STATES)]
 
 
 def _ratio(value: Column, table: Column) -> Column:
