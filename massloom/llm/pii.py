@@ -207,7 +207,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Seeds are the fixed forms. Their contexts (two words before, or the words on both sides, lower case) with at least
     ``least_seeds`` distinct seeds of a kind are patterns. The documents are scanned for whatever else stands in
-    those contexts, in blocks of about ``block_patterns`` patterns, so what is sent to the tasks is bounded. Pattern
+    those contexts, in blocks of about ``block_patterns`` patterns, so what the driver and the tasks hold at once is bounded. Pattern
     and instance scores are then renewed in turn for ``rounds`` rounds, as joins; identifier-shaped words (five
     letters or digits, two of them digits) in a pattern of at least ``confidence`` are added with the pattern's kind.
 
@@ -221,9 +221,9 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     context = ["form", "c1", "c2"]
     patterns = written(seeds.groupBy(*context, "kind_no").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= least_seeds).select(*context).distinct())
     blocks = max(1, math.ceil(patterns.count() / block_patterns))
-    parts = [patterns.filter(F.pmod(F.xxhash64(*context), F.lit(blocks)) == k).collect() for k in range(blocks)]
     fillers = None
-    for part in parts:
+    for k in range(blocks):
+        part = patterns.filter(F.pmod(F.xxhash64(*context), F.lit(blocks)) == k).collect()
         if part:
             some = written(_fillers(rows, [tuple(r) for r in part]))
             fillers = some if fillers is None else fillers.union(some)
