@@ -199,7 +199,7 @@ def islands(df: DataFrame, value: str, gap: float, unit: str = "da", keys: Seque
             .join(bins, [*keys, "__b"], "left").drop("__b"))
 
 
-def components(pairs: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFrame:
+def components(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components of an edge list: ``node, component`` (the smallest node id in it).
 
     Minimum labels travel along edges and then jump to the label of their label, so the number of
@@ -209,7 +209,7 @@ def components(pairs: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
     edges = cut_lineage(edges.union(edges.select("v", "u")).distinct())
     labels = cut_lineage(edges.groupBy(F.col("u").alias("node"))
                          .agg(F.least(F.min("v"), F.col("node")).alias("component")))
-    for _ in range(max_rounds):
+    while True:
         lowest = (edges.join(labels.select(F.col("node").alias("v"), "component"), "v")
                   .groupBy(F.col("u").alias("node")).agg(F.min("component").alias("__n")))
         step = (labels.join(lowest, "node", "left")
@@ -222,4 +222,3 @@ def components(pairs: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
         labels = fresh.drop("__old")
         if not moved:
             return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -191,9 +191,9 @@ def corrected_rt(rows: DataFrame, knots: DataFrame, rt: str = "rt") -> DataFrame
     marked = rows.withColumn("__t", F.col(rt)).withColumn("__k", F.lit(1)).withColumn("__s", F.lit(None).cast("double"))
     pins = knots.select(*INJ, F.col("knot_rt").alias("__t"), F.lit(0).alias("__k"), F.col("shift").alias("__s"))
     both = marked.unionByName(pins, allowMissingColumns=True)
-    # equal times: the row comes after the knot, so only knots strictly above are ahead of it
-    ahead = Window.partitionBy(*INJ).orderBy("__t", "__k").rowsBetween(1, Window.unboundedFollowing)
-    shift = F.first("__s", ignorenulls=True).over(ahead)
+    # from the latest time down; of equal times the row comes before the knot, so only knots strictly above are behind it
+    passed = Window.partitionBy(*INJ).orderBy(F.desc("__t"), F.desc("__k")).rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.last("__s", ignorenulls=True).over(passed)
     out = both.withColumn("__n", shift).filter("__k = 1")
     return out.withColumn("corrected_rt", F.when(F.col("__n").isNull(), 0.0).otherwise(F.col(rt) - F.col("__n"))).select(*cols, "corrected_rt")
 

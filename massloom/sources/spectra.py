@@ -35,7 +35,7 @@ def read_msp(spark: SparkSession, paths, crlf: bool = False, library: str | None
     Two dialects: the adduct inside the name, or in ``PRECURSORTYPE:`` and then appended to it (with
     ``crlf``, records end in CRLF pairs).  A peak is kept when it lies more than 2 Da under the
     precursor; intensities are scaled to 999 and peaks under 5 dropped; annotations are read only
-    where the entry is marked native.
+    where the entry is marked native.  ``entry_seq`` (split, record in it) orders the entries of a file.
     """
     rows = _records(spark, paths, "\r\n\r\n" if crlf else "\n\n")
     lines = F.transform(F.split("value", "\n"), lambda x: F.regexp_replace(x, r"\r$", ""))
@@ -61,7 +61,7 @@ def read_msp(spark: SparkSession, paths, crlf: bool = False, library: str | None
     rows = rows.withColumn("peaks", F.filter(F.transform(body, peak), lambda p: F.col("precursor_mz") - p["mz"] > 2.0))
     rows = rows.withColumn("peaks", scale_peaks(F.col("peaks"), ("annotation", "type", "chain")))
     lib = F.lit(library) if library else F.substring_index("file", "/", -1)
-    return rows.select(lib.alias("library"), (F.shiftleft("block", 20) + F.col("idx").bitwiseAND(F.lit((1 << 20) - 1))).alias("entry_seq"),
+    return rows.select(lib.alias("library"), F.struct("block", "idx").alias("entry_seq"),
                        "name", "precursor_mz", "is_native", "optimal_polarity", "peaks")
 
 
@@ -76,7 +76,9 @@ def read_mgf(spark: SparkSession, paths, min_mz: float = LOW_MASS) -> DataFrame:
     are rounded half up to three decimals; the 1.5 Da cut uses the unrounded precursor.
     """
     rows = _records(spark, paths, "END IONS").filter(F.col("value").rlike("="))
-    rows = rows.withColumn("ms2_id", (F.row_number().over(Window.partitionBy("file").orderBy("block", "idx")) - 1).cast("int"))
+    place = ["file", "block", "idx"]
+    numbers = rows.select(*place, (F.row_number().over(Window.partitionBy("file").orderBy("block", "idx")) - 1).cast("int").alias("ms2_id"))
+    rows = rows.join(numbers, place)
     rows = rows.withColumn("lines", F.filter(F.transform(F.split("value", "\n"), lambda x: F.regexp_replace(x, r"\r$", "")), lambda x: ~x.startswith("#")))
     first = lambda key: F.regexp_extract(_line(F.col("lines"), key), rf"=\s*({_NUMBER})", 1).try_cast("double")
     charge = _line(F.col("lines"), "CHARGE")

@@ -122,7 +122,7 @@ def read_adducts(spark: SparkSession, paths: list[str]) -> DataFrame:
     for rank, p in enumerate(paths):
         t = _csv(spark, p).select(F.trim("Name").alias("adduct"), F.trim("Formula").alias("formula"), (F.upper(F.trim("Loss")) == "TRUE").alias("is_loss"),
                                   F.trim("Polarity").alias("polarity"), F.coalesce(F.col("Charge").try_cast("double"), F.lit(1.0)).cast("int").alias("charge"),
-                                  (F.monotonically_increasing_id() + F.lit(rank * 1_000_000)).alias("ord"))
+                                  F.struct(F.lit(rank), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("ord"))
         out = t if out is None else out.unionByName(t)
     first = out.filter("adduct <> ''").withColumn("rn", F.row_number().over(Window.partitionBy("adduct").orderBy("ord"))).filter("rn = 1")
     return first.withColumn("adduct_rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("ord")) - 1).withColumn(
@@ -228,18 +228,22 @@ def read_anchors(spark: SparkSession, path) -> DataFrame:
     return rows.filter("c <> '' AND rt IS NOT NULL").select(F.col("c").cast("int").alias("carbons"), F.col("d").cast("int").alias("double_bonds"), "rt")
 
 
-def distinct_files(files: DataFrame) -> DataFrame:
+def distinct_files(files: DataFrame, chunks: DataFrame) -> DataFrame:
     """Acquisitions without duplicates: mzML over raw for a stem, then one of files equal in size and in
-    the MD5 of their first 4 MB (shortest name, then alphabetical).
+    content (shortest name, then alphabetical).
 
-    ``files``: study_id, path, size, head (first 4 MB).  Only sizes held by several files are hashed.
+    ``files``: study_id, path, size.  ``chunks``: path, chunk_no, data, the whole content of each file.
+    Only sizes held by several files are hashed, chunk by chunk; a file's digest is that of its chunks'.
     """
     name = F.substring_index("path", "/", -1)
     rows = files.withColumn("name", name).withColumn("stem", F.regexp_replace("name", r"\.[^.]*$", ""))
     best = F.row_number().over(Window.partitionBy("study_id", "stem").orderBy(F.desc(F.lower("name").endswith(".mzml")), "name"))
     rows = rows.withColumn("k", best).filter("k = 1")
     same = F.count(F.lit(1)).over(Window.partitionBy("study_id", "size"))
-    rows = rows.withColumn("digest", F.when(same > 1, F.md5("head")).otherwise(F.col("path"))).drop("head")
+    rows = rows.withColumn("several", same > 1)
+    hashed = chunks.join(rows.filter("several").select("path").distinct(), "path", "left_semi").select("path", "chunk_no", F.sha2("data", 256).alias("h"))
+    whole = hashed.groupBy("path").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_set(F.struct("chunk_no", "h"))), lambda c: c["h"]), ""), 256).alias("digest"))
+    rows = rows.join(whole, "path", "left").withColumn("digest", F.coalesce("digest", "path"))
     pick = F.row_number().over(Window.partitionBy("study_id", "size", "digest").orderBy(F.length("name"), "name"))
     return rows.withColumn("k", pick).filter("k = 1").select("study_id", "path", "size")
 

@@ -186,8 +186,9 @@ def test_small_tables(spark, tmp_path):
 
 def test_distinct_files(spark):
     rows = [("A", "/x/s1.raw", 10, b"a"), ("A", "/x/s1.mzML", 12, b"b"), ("A", "/x/long_s1.mzML", 12, b"b"), ("A", "/x/s2.mzML", 12, b"c")]
-    f = spark.createDataFrame(rows, "study_id string, path string, size long, head binary")
-    assert sorted(r["path"] for r in T.distinct_files(f).collect()) == ["/x/s1.mzML", "/x/s2.mzML"]
+    f = spark.createDataFrame([r[:3] for r in rows], "study_id string, path string, size long")
+    chunks = spark.createDataFrame([(path, k, part) for _, path, _, last in rows for k, part in enumerate([b"same head", last])], "path string, chunk_no int, data binary")
+    assert sorted(r["path"] for r in T.distinct_files(f, chunks).collect()) == ["/x/s1.mzML", "/x/s2.mzML"]
 
 
 def test_attach_measured_rt(spark):
