@@ -151,19 +151,22 @@ def series_breakdown(wasted: DataFrame, scans: DataFrame) -> DataFrame:
             .join(total, RUN).withColumn("share", F.col("scans") / F.col("total_ms2")).drop("total_ms2"))
 
 
-def survey_peaks(ms1: DataFrame, max_spectra: int = 200, top: int = 40) -> DataFrame:
-    """Most intense peaks of an evenly spaced sample of each injection's MS1 scans.
+def survey_peaks(ms1: DataFrame, max_spectra: int | None = None, top: int | None = None) -> DataFrame:
+    """Peaks of each injection's MS1 scans: all of them, unless a sample is asked for.
 
-    ``ms1``: study_id, polarity, injection, scan_no, peaks.  At most ``max_spectra * top`` rows per
-    injection; the sampling is the operator, as in the mobile-phase survey it feeds.
+    ``ms1``: study_id, polarity, injection, scan_no, peaks.  ``max_spectra`` takes that many evenly
+    spaced scans of an injection and ``top`` the most intense peaks of each.
     """
+    peaks = F.col("peaks") if top is None else top_peaks(F.col("peaks"), top)
+    if max_spectra is None:
+        return ms1.select(*INJ, "scan_no", F.explode(peaks).alias("p")).select(*INJ, "scan_no", "p.*")
     position = F.row_number().over(Window.partitionBy(*INJ).orderBy("scan_no")) - 1
     count = F.count(F.lit(1)).over(Window.partitionBy(*INJ))
     slim = ms1.select(*INJ, "scan_no").withColumn("__p", position).withColumn("__n", count)
     step = F.greatest(F.lit(1), F.floor(F.col("__n") / max_spectra))
     chosen = slim.filter((F.col("__p") % step == 0) & (F.floor(F.col("__p") / step) < max_spectra)).select(*INJ, "scan_no")
     return (ms1.join(chosen, [*INJ, "scan_no"], "left_semi")
-            .select(*INJ, "scan_no", F.explode(top_peaks(F.col("peaks"), top)).alias("p")).select(*INJ, "scan_no", "p.*"))
+            .select(*INJ, "scan_no", F.explode(peaks).alias("p")).select(*INJ, "scan_no", "p.*"))
 
 
 def detect_modifier(survey: DataFrame, min_evidence: int = 30, margin: float = 2.0) -> DataFrame:

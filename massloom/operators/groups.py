@@ -247,14 +247,13 @@ def duplicate_names(groups: DataFrame) -> DataFrame:
 
 
 def _letters(position: Column) -> Column:
-    """1 -> a, 26 -> z, 27 -> aa, ... up to four letters."""
-    out = F.lit("")
-    left = position
-    for _ in range(4):
-        digit = F.chr(F.lit(97) + F.pmod(left - 1, F.lit(26)))
-        out = F.when(left > 0, F.concat(digit, out)).otherwise(out)
-        left = F.when(left > 0, F.floor((left - 1) / 26)).otherwise(F.lit(0))
-    return out
+    """1 -> a, 26 -> z, 27 -> aa, ...; fourteen letters number every long."""
+    def spell(state: Column, _: Column) -> Column:
+        rest = state["left"] - 1
+        return F.when(state["left"] > 0, F.struct(F.floor(rest / 26).alias("left"), F.concat(F.chr(F.lit(97) + rest % 26), state["text"]).alias("text"))).otherwise(state)
+
+    start = F.struct(position.cast("long").alias("left"), F.lit("").alias("text"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(14)), start, spell, lambda state: state["text"])
 
 
 def lipid_keys(groups: DataFrame) -> DataFrame:

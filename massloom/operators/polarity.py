@@ -76,24 +76,24 @@ def carry_chains(groups: DataFrame, table: DataFrame, tolerance: float = CARRY_R
 
 
 def fold_changes(areas: DataFrame, groups: DataFrame, injections: DataFrame, factor: str) -> DataFrame:
-    """Per run and name: median over its rows of the log2 change between the first two levels."""
-    level = injections.filter(F.coalesce(F.col(factor), F.lit("")) != "")
-    pos = F.dense_rank().over(Window.partitionBy(*RUN).orderBy(factor))
-    level = level.withColumn("__l", pos).filter("__l <= 2").select(*INJ, "__l")
+    """Per run, name and pair of levels (``base`` before ``level``): median over its rows of the log2 change."""
+    level = injections.filter(F.coalesce(F.col(factor), F.lit("")) != "").select(*INJ, F.col(factor).cast("string").alias("level"))
     cells = areas.filter("area > 0").join(level, INJ).join(groups.filter("name IS NOT NULL AND name <> ''").select(*GROUP, "name"), GROUP)
-    side = lambda k: F.avg(F.when(F.col("__l") == k, F.log2("area")))
-    per = cells.groupBy(*GROUP, "name").agg((side(2) - side(1)).alias("change")).filter("change IS NOT NULL")
-    return per.groupBy(*RUN, "name").agg(F.median("change").alias("change"))
+    means = cells.groupBy(*GROUP, "name", "level").agg(F.avg(F.log2("area")).alias("mean"))
+    base = means.select(*GROUP, F.col("level").alias("base"), F.col("mean").alias("base_mean"))
+    per = means.join(base, GROUP).filter("base < level").withColumn("change", F.col("mean") - F.col("base_mean"))
+    return per.groupBy(*RUN, "name", "base", "level").agg(F.median("change").alias("change"))
 
 
 def polarity_agreement(changes: DataFrame, least: int = 3) -> tuple[DataFrame, DataFrame]:
-    """Per lipid ``agree`` / ``OPPOSITE``, and per study shared count, Spearman and opposite share."""
-    p = changes.filter("polarity = '+'").select("study_id", "name", F.col("change").alias("pos"))
-    n = changes.filter("polarity = '-'").select("study_id", "name", F.col("change").alias("neg"))
-    both = p.join(n, ["study_id", "name"]).withColumn("agreement", F.when(F.col("pos") * F.col("neg") >= 0, "agree").otherwise("OPPOSITE"))
-    rho = spearman(both, ["study_id"], "pos", "neg", "rho", "shared")
-    opp = both.groupBy("study_id").agg(F.count_if(F.col("agreement") == "OPPOSITE").alias("opposite"))
-    study = rho.join(opp, "study_id").filter(F.col("shared") >= least).withColumn("opposite_fraction", F.col("opposite") / F.col("shared"))
+    """Per lipid and level pair ``agree`` / ``OPPOSITE``; per study and pair shared count, Spearman, opposite share."""
+    pair = ["study_id", "base", "level"]
+    p = changes.filter("polarity = '+'").select(*pair, "name", F.col("change").alias("pos"))
+    n = changes.filter("polarity = '-'").select(*pair, "name", F.col("change").alias("neg"))
+    both = p.join(n, [*pair, "name"]).withColumn("agreement", F.when(F.col("pos") * F.col("neg") >= 0, "agree").otherwise("OPPOSITE"))
+    rho = spearman(both, pair, "pos", "neg", "rho", "shared")
+    opp = both.groupBy(*pair).agg(F.count_if(F.col("agreement") == "OPPOSITE").alias("opposite"))
+    study = rho.join(opp, pair).filter(F.col("shared") >= least).withColumn("opposite_fraction", F.col("opposite") / F.col("shared"))
     return both, study
 
 

@@ -152,20 +152,15 @@ def w12(spark, d):
 
 
 def ms1(spark, d):
-    """Each embedding is an MS1 scan of one of six injections."""
-    return S.spectra(spark, d).selectExpr("'A' AS study_id", "'+' AS polarity", "concat('S_', vec_id % 6) AS injection",
-                                          "vec_id AS scan_no", "vec_id / 100e0 AS rt", "peaks")
-
-
-@query("w13_survey_peaks", f"""WITH {S.cte('spectra')},
-s AS (SELECT vec_id, vec_id % 6 AS inj, row_number() OVER (PARTITION BY vec_id % 6 ORDER BY vec_id) - 1 AS p,
-  count(*) OVER (PARTITION BY vec_id % 6) AS n FROM spectra),
-c AS (SELECT * FROM s WHERE p % greatest(1, cast(floor(n / 20) AS bigint)) = 0 AND floor(p / greatest(1, floor(n / 20))) < 20),
-r AS (SELECT p.*, row_number() OVER (PARTITION BY vec_id ORDER BY intensity DESC, mz) AS rk FROM spectra_peaks p)
-SELECT 'S_' || c.inj::varchar AS injection, r.vec_id AS scan_no, round(mz, 6) AS mz, round(intensity, 6) AS intensity
-FROM r JOIN c USING (vec_id) WHERE rk <= 10""")
+    """Each embedding is an MS1 scan of an injection."""
+    return S.spectra(spark, d).selectExpr("'A' AS study_id", "'+' AS polarity", f"{S.SCAN_INJECTION} AS injection",
+                                          "vec_id AS scan_no", f"{S.GRADIENT_RT} AS rt", "peaks")
+
+
+@query("w13_survey_peaks", f"""WITH {S.cte('spectra')}
+SELECT {S.SCAN_INJECTION} AS injection, vec_id AS scan_no, round(mz, 6) AS mz, round(intensity, 6) AS intensity FROM spectra_peaks""")
 def w13(spark, d):
-    out = A.survey_peaks(ms1(spark, d), max_spectra=20, top=10)
+    out = A.survey_peaks(ms1(spark, d))
     return out.select("injection", "scan_no", F.round("mz", 6).alias("mz"), F.round("intensity", 6).alias("intensity"))
 
 

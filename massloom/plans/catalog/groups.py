@@ -167,8 +167,8 @@ def j6(spark, d):
 
 
 def hits(spark, d):
-    """Two spectra per named feature of every third injection, a few of them off the peak."""
-    f = features(spark, d).filter("run_order % 3 = 0").join(S.groups(spark, d).select("group_id", "name", "adduct", "dot"), "group_id").filter("name IS NOT NULL")
+    """Two spectra per named feature, a few of them off the peak."""
+    f = features(spark, d).join(S.groups(spark, d).select("group_id", "name", "adduct", "dot"), "group_id").filter("name IS NOT NULL")
     f = f.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
     return f.selectExpr(
         "study_id", "polarity", "injection", "group_id * 2 + copy AS ms2_id", "1 AS rank",
@@ -192,7 +192,7 @@ def named(spark, d):
 
 
 HITS = f"""{FEAT}, h0 AS (SELECT f.*, g.name AS gname, g.adduct, g.dot AS gdot, c.copy FROM ft f JOIN groups g USING (study_id, polarity, group_id) CROSS JOIN (VALUES (0), (1)) c(copy)
-   WHERE f.run_order % 3 = 0 AND g.name IS NOT NULL),
+   WHERE g.name IS NOT NULL),
 h AS (SELECT study_id, polarity, injection, group_id, group_id * 2 + copy AS ms2_id, CASE WHEN (group_id + run_order) % 9 = 0 THEN regexp_replace(gname, '(\\d+):(\\d+)$', '20:2') ELSE gname END AS name,
   gname, gdot + 20 * copy AS dot, copy, group_id % 4 <> 0 AS optimal, CASE WHEN copy = 0 THEN 1e0 ELSE 0.5e0 END AS weight, 60 + group_id % 41 AS share FROM h0),
 hs AS (SELECT *, {SUMNAME} AS sum_name FROM h),

@@ -11,14 +11,20 @@ from massloom.plans.catalog.groups import FEAT, features
 from massloom.plans.catalog.qc import HITS, hits
 from massloom.plans.registry import query
 
-MS1 = f"""{S.cte('spectra')}, ms1 AS (SELECT 'S_' || (vec_id % 6)::varchar AS injection, vec_id AS scan_no, vec_id / 100e0 AS rt, mz, intensity FROM spectra_peaks),
-tg AS (SELECT DISTINCT injection, k AS target_id, 100e0 + 10 * k + 0.004e0 AS t_mz, lo AS t_lo, hi AS t_hi FROM (SELECT 'S_' || (vec_id % 6)::varchar AS injection, k FROM spectra_peaks) z,
-   (SELECT 0.5e0 AS lo, 3.7e0 AS hi))"""
+#: Retention that a target is looked for at: ten places, whose windows of 1.2 minutes cover the gradient.
+CENTRE = "(0.3e0 + {k} % 10 * 0.5e0)"
+MS1 = f"""{S.cte('spectra')}, ms1 AS (SELECT {S.SCAN_INJECTION} AS injection, vec_id AS scan_no, {S.GRADIENT_RT} AS rt, mz, intensity FROM spectra_peaks),
+tg AS (SELECT DISTINCT {S.SCAN_INJECTION} AS injection, k AS target_id, 100e0 + 10 * k + 0.004e0 AS t_mz, {CENTRE.format(k='k')} - 0.6e0 AS t_lo, {CENTRE.format(k='k')} + 0.6e0 AS t_hi FROM spectra_peaks)"""
+
+
+def scan_injections(spark, d):
+    return S.spectra(spark, d).selectExpr("'A' AS study_id", "'+' AS polarity", f"{S.SCAN_INJECTION} AS injection").distinct()
 
 
 def targets(spark, d):
-    return S.spectra(spark, d).selectExpr("'A' AS study_id", "'+' AS polarity", "concat('S_', vec_id % 6) AS injection", "explode(sequence(0, 63)) AS target_id").distinct().selectExpr(
-        "*", "100e0 + 10 * target_id + 0.004e0 AS t_mz", "0.5e0 AS t_lo", "3.7e0 AS t_hi")
+    centre = CENTRE.format(k="target_id")
+    return scan_injections(spark, d).selectExpr("*", "explode(sequence(0, 63)) AS target_id").selectExpr(
+        "*", "100e0 + 10 * target_id + 0.004e0 AS t_mz", f"{centre} AS centre", f"{centre} - 0.6e0 AS t_lo", f"{centre} + 0.6e0 AS t_hi")
 
 
 @query("j19_xic", f"""WITH {MS1}, ax AS (SELECT DISTINCT injection, scan_no, rt FROM ms1),
@@ -32,29 +38,29 @@ def j19(spark, d):
 
 @query("w7_peak_test")
 def w7(spark, d):
-    tr = X.traces(X.xic(ms1(spark, d), targets(spark, d), ppm=40.0))
-    out = tr.withColumn("p", X.peak_test(F.col("trace"), F.lit(2.1), F.lit(0.6)))
+    tr = X.traces(X.xic(ms1(spark, d), targets(spark, d), ppm=40.0)).withColumn("centre", F.expr(CENTRE.format(k="target_id")))
+    out = tr.withColumn("p", X.peak_test(F.col("trace"), F.col("centre"), F.lit(0.6)))
     return out.select("injection", "target_id", F.round("p.apex_rt", 6).alias("apex_rt"), F.round("p.sn", 6).alias("sn"))
 
 
 @query("w8_signal_to_noise")
 def w8(spark, d):
-    f = targets(spark, d).selectExpr("study_id", "polarity", "injection", "target_id", "t_mz AS mz", "3e0 AS rt", "0.5e0 AS fwhm")
+    f = targets(spark, d).selectExpr("study_id", "polarity", "injection", "target_id", "t_mz AS mz", "centre AS rt", "0.5e0 AS fwhm")
     return X.signal_to_noise(f, ms1(spark, d)).select("injection", "target_id", F.round("snr", 6).alias("snr"))
 
 
 @query("j45_gapfill_null")
 def j45(spark, d):
-    p = targets(spark, d).selectExpr("study_id", "polarity", "injection", "target_id", "t_mz", "2e0 AS centre")
+    p = targets(spark, d).selectExpr("study_id", "polarity", "injection", "target_id", "t_mz", "centre")
     return X.gapfill_null(p, ms1(spark, d), ppm=40.0).select("injection", "target_id", "kind", F.round("sn", 6).alias("sn"))
 
 
 def scan_groups(spark, d):
-    """The stand-in scans as one study: groups at the 64 masses, injections S_0..S_5."""
-    g = S.spectra(spark, d).selectExpr("explode(sequence(0, 63)) AS k").distinct().selectExpr("'A' AS study_id", "'+' AS polarity", "cast(k AS bigint) AS group_id", "100e0 + 10 * k + 0.004e0 AS mz", "2e0 AS rt")
-    a = X.ms1_peaks(ms1(spark, d)).withColumn("group_id", F.floor((F.col("mz") - 99.9) / 10).cast("bigint")).filter("abs(rt - 2.0) <= 0.05 AND (group_id + scan_no) % 7 <> 0")
+    """The stand-in scans as one study: groups at the 64 masses."""
+    g = targets(spark, d).selectExpr("study_id", "polarity", "cast(target_id AS bigint) AS group_id", "t_mz AS mz", "centre AS rt").distinct()
+    a = X.ms1_peaks(ms1(spark, d)).withColumn("group_id", F.floor((F.col("mz") - 99.9) / 10).cast("bigint")).filter(f"abs(rt - {CENTRE.format(k='group_id')}) <= 0.05 AND (group_id + scan_no) % 7 <> 0")
     a = a.groupBy("study_id", "polarity", "group_id", "injection").agg((F.sum("intensity") * 3).alias("area"))
-    i = S.spectra(spark, d).selectExpr("'A' AS study_id", "'+' AS polarity", "concat('S_', vec_id % 6) AS injection", "'sample' AS role").distinct()
+    i = scan_injections(spark, d).withColumn("role", F.lit("sample"))
     return g, a, i
 
 
@@ -72,12 +78,12 @@ def j21(spark, d):
     return X.absences_with_signal(S.groups(spark, d), a.filter("area % 5 = 0"), a, cells)
 
 
-@query("w14_build_traces", f"""WITH {S.cte('spectra')}, p AS (SELECT vec_id % 6 AS inj, vec_id AS scan_no, vec_id / 100e0 AS rt, mz, intensity FROM spectra_peaks WHERE intensity >= 30),
+@query("w14_build_traces", f"""WITH {S.cte('spectra')}, p AS (SELECT {S.SCAN_INJECTION} AS inj, vec_id AS scan_no, {S.GRADIENT_RT} AS rt, mz, intensity FROM spectra_peaks WHERE intensity >= 30),
 a AS (SELECT *, CASE WHEN (mz - lag(mz) OVER w) / mz * 1e6 <= 10 THEN 0 ELSE 1 END AS st FROM p WINDOW w AS (PARTITION BY inj ORDER BY mz, scan_no)),
 b AS (SELECT *, sum(st) OVER (PARTITION BY inj ORDER BY mz, scan_no ROWS UNBOUNDED PRECEDING) AS mi FROM a),
 c AS (SELECT *, CASE WHEN rt - lag(rt) OVER w <= 0.5 THEN 0 ELSE 1 END AS s2 FROM b WINDOW w AS (PARTITION BY inj, mi ORDER BY rt, mz)),
 e AS (SELECT *, sum(s2) OVER (PARTITION BY inj, mi ORDER BY rt, mz ROWS UNBOUNDED PRECEDING) AS ri FROM c)
-SELECT 'S_' || inj::varchar AS injection, round(max(intensity), 6) AS height, round(sum(intensity), 6) AS area, round(max(rt) - min(rt), 6) AS length, count(DISTINCT scan_no) AS n_scans FROM e GROUP BY inj, mi, ri""")
+SELECT inj AS injection, round(max(intensity), 6) AS height, round(sum(intensity), 6) AS area, round(max(rt) - min(rt), 6) AS length, count(DISTINCT scan_no) AS n_scans FROM e GROUP BY inj, mi, ri""")
 def w14(spark, d):
     t = X.build_traces(ms1(spark, d), noise=30.0, gap=0.5)
     return t.select("injection", F.round("height", 6).alias("height"), F.round("area", 6).alias("area"), F.round("length", 6).alias("length"), "n_scans")
@@ -154,13 +160,13 @@ def f11(spark, d):
     return out.select("vec_id", F.size("peaks").cast("long").alias("n_peaks"), F.round(F.aggregate(F.col("peaks.intensity"), F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
-@query("j31_file_mass_drift", f"""WITH {MS1}, c AS (SELECT DISTINCT k AS cal_id, 100e0 + 10 * k + 0.004e0 AS cal_mz, 2.5e0 AS cal_rt FROM spectra_peaks),
-b AS (SELECT injection, cal_id, cal_mz, arg_max(mz, (intensity, -scan_no, -mz)) AS mz FROM ms1 JOIN c ON abs(mz - cal_mz) / cal_mz * 1e6 < 30 AND abs(rt - cal_rt) < 1.5 GROUP BY ALL)
+@query("j31_file_mass_drift", f"""WITH {MS1}, c AS (SELECT DISTINCT k AS cal_id, 100e0 + 10 * k + 0.004e0 AS cal_mz, {CENTRE.format(k='k')} AS cal_rt FROM spectra_peaks),
+b AS (SELECT injection, cal_id, cal_mz, arg_max(mz, (intensity, -scan_no, -mz)) AS mz FROM ms1 JOIN c ON abs(mz - cal_mz) / cal_mz * 1e6 < 30 AND abs(rt - cal_rt) < 0.6 GROUP BY ALL)
 SELECT injection, count(*) AS n, CASE WHEN count(*) >= 20 THEN round(median((mz - cal_mz) / cal_mz * 1e6), 6) END AS offset_ppm,
   round(CASE WHEN count(*) >= 20 THEN stddev_pop((mz - cal_mz) / cal_mz * 1e6) ELSE 0 END, 6) AS spread_ppm FROM b GROUP BY ALL""")
 def j31(spark, d):
-    c = S.spectra(spark, d).selectExpr("'A' AS study_id", "'+' AS polarity", "explode(sequence(0, 63)) AS cal_id").distinct().selectExpr("*", "100e0 + 10 * cal_id + 0.004e0 AS cal_mz", "2.5e0 AS cal_rt")
-    out = C.file_mass_drift(ms1(spark, d), c, rt_window=1.5)
+    c = targets(spark, d).selectExpr("study_id", "polarity", "target_id AS cal_id", "t_mz AS cal_mz", "centre AS cal_rt").distinct()
+    out = C.file_mass_drift(ms1(spark, d), c, rt_window=0.6)
     return out.select("injection", "n", F.round("offset_ppm", 6).alias("offset_ppm"), F.round("spread_ppm", 6).alias("spread_ppm"))
 
 

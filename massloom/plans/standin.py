@@ -112,6 +112,11 @@ SPECTRA_SQL = """
 SELECT vec_id, label, is_library, precursor_mz FROM spectra_peaks GROUP BY ALL"""
 
 
+#: Five hundred embeddings are the scans of six injections over one gradient of five minutes; more embeddings are more injections.
+SCAN_INJECTION = "concat('S_', cast(cast(floor(vec_id / 500) AS bigint) * 6 + vec_id % 6 AS string))"
+GRADIENT_RT = "(vec_id % 500) / 100e0"
+
+
 def spectra(spark: SparkSession, d: str) -> DataFrame:
     """One row per embedding with a 64-peak array; every fifth is a library entry."""
     return read(spark, d, "embeddings").selectExpr(
