@@ -442,7 +442,7 @@ def test_derived_settings_and_order_statistics(spark):
     few = C.derive_setting("mass_offset_ppm", df.limit(10), "intensity").collect()[0]
     assert few["value"] is None and few["skipped_reason"]
     with pytest.raises(ValueError):
-        C.derive_setting("min_dot_product", df, "intensity")
+        C.derive_setting("min_fraction", df, "intensity")
     with pytest.raises(ValueError):
         C.apply_file_calibration(df.withColumn("calibrated_ppm", F.lit(0.0)), df)
 
