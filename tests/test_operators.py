@@ -140,6 +140,24 @@ def test_purity_shares_and_missing_chain():
     assert K.purity_of(mz, inten, [c], base, 0.01)[0] == 0  # an unannotated peak scores nothing
 
 
+def test_purity_joins_only_rivals(spark):
+    kind = "O-1_Alkyl Fragment"
+    pair = lambda x, y: [(x[0], 900.0, "", kind, x[1]), (y[0], 999.0, "", kind, y[1])]
+    rows = [("PC 16:0_18:1 [M-H]-;", 760.5, pair((255.2, "16:0"), (281.2, "18:1"))), ("PC 16:1_18:0 [M-H]-;", 760.5, pair((253.2, "16:1"), (283.2, "18:0"))),
+            ("PC 16:1_18:0 [M+H]+;", 760.5, pair((253.2, "16:1"), (283.2, "18:0"))), ("PC 15:0_18:0 [M-H]-;", 760.503, pair((253.2, "16:1"), (283.2, "18:0"))),
+            ("X 1:0 [M-H]-;", 400.0, pair((253.2, "16:1"), (283.2, "18:0"))), ("X 2:0 [M-H]-;", 900.0, pair((253.2, "16:1"), (283.2, "18:0")))]
+    library = spark.createDataFrame([("l", 0, k, name, mz, True, True, peaks) for k, (name, mz, peaks) in enumerate(rows)],
+                                    "library string, lib_rank int, entry_seq long, name string, precursor_mz double, is_native boolean, optimal_polarity boolean, "
+                                    "peaks array<struct<mz double, intensity double, annotation string, type string, chain string>>")
+    ms2 = spark.createDataFrame([("A", "-", "S", 1, 760.5, 1.0, [(253.2, 100.0), (255.2, 300.0), (281.2, 300.0), (283.2, 100.0)])],
+                                f"{RUN}, injection string, ms2_id long, precursor_mz double, rt double, peaks array<struct<mz double, intensity double>>")
+    chains = spark.createDataFrame([(c, "Alkyl") for c in ("16:0", "18:1", "18:0", "16:1")], "chain string, base string")
+    got = SE.purity(ms2, library, chains).first()
+    assert got["name"] == "PC 16:0_18:1 [M-H]-;" and got["purity"] == 75
+    assert [tuple(c) for c in got["components"]] == [("PC 16:0_18:1 [M-H]-;", 75), ("PC 16:1_18:0 [M-H]-;", 25)]
+    assert sorted(set(got["explained"])) == [253.2, 255.2, 281.2, 283.2]
+
+
 def test_search_excludes_equal_tolerance_and_outer_precursors(spark):
     lib = [("L1", 500.0, 0), ("L2", 500.004, 1), ("L3", 600.0, 2), ("L0", 400.0, 3)]
     pk = [(100.0, 999.0), (150.0, 500.0)]
