@@ -334,7 +334,7 @@ def adduct_pairs_known(groups: DataFrame, adducts: DataFrame, divisor: float = 2
     other under some adduct, strictly within 20 ppm.  ``groups`` carries ``adduct`` (null when
     unidentified)."""
     a, b = _sides(groups, BASIC)
-    known = (groups.select(*GROUP, F.col("adduct")).join(F.broadcast(adducts.select("adduct", "adduct_mass")), "adduct")
+    known = (groups.select(*GROUP, F.col("adduct")).join(adducts.select("adduct", "adduct_mass"), "adduct")
              .select(*RUN, F.col("group_id").alias("a_group_id"), "adduct_mass"))
     a = a.join(known, [*RUN, "a_group_id"]).withColumn("a_neutral", F.col("a_mz") - F.col("adduct_mass")).drop("adduct_mass")
     b = _per_adduct(b, adducts, "b_").withColumn("b_neutral", F.col("b_mz") - F.col("b_shift"))
@@ -368,7 +368,7 @@ def in_source_pairs(groups: DataFrame, divisor: float = 2.0) -> DataFrame:
 def dimer_pairs(groups: DataFrame, adducts: DataFrame, divisor: float = 2.0) -> DataFrame:
     """``monomer, dimer``: twice one neutral is the other under the same adduct of the run's polarity."""
     a, b = _sides(groups, BASIC)
-    table = F.broadcast(adducts.select("polarity", F.col("adduct_rank"), F.col("adduct_mass")))
+    table = adducts.select("polarity", "adduct_rank", "adduct_mass")
     a = a.join(table, "polarity").withColumn("a_double", (F.col("a_mz") - F.col("adduct_mass")) * 2).drop("adduct_mass").withColumnRenamed("adduct_rank", "a_rank")
     b = b.join(table, "polarity").withColumn("b_neutral", F.col("b_mz") - F.col("adduct_mass")).drop("adduct_mass").withColumnRenamed("adduct_rank", "b_rank")
     # the two directions of the test measure ppm against either side; both are inside the wider bound
@@ -514,7 +514,7 @@ def adduct_pair_candidates(groups: DataFrame, adducts: DataFrame, max_ppm: float
     explains the other.  ``groups`` carries name, sum_name, adduct, lipid_class, dot."""
     named = groups.filter("name IS NOT NULL AND adduct IS NOT NULL")
     reach = run_fwhm(groups).withColumn("b_reach", F.col("run_fwhm") * widths).drop("run_fwhm")
-    table = F.broadcast(adducts.select("adduct", "adduct_rank", F.col("adduct_mass"), F.col("polarity").alias("adduct_polarity")))
+    table = adducts.select("adduct", "adduct_rank", "adduct_mass", F.col("polarity").alias("adduct_polarity"))
     own = named.join(table.select("adduct", F.col("adduct_mass").alias("own_mass")), "adduct")
     a = own.select(*RUN, F.col("group_id").alias("parent"), F.col("rt").alias("a_rt"), F.col("mz").alias("a_mz"), F.col("adduct").alias("a_adduct"),
                    F.col("sum_name").alias("a_sum"), (F.col("mz") - F.col("own_mass")).alias("a_neutral"))
