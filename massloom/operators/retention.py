@@ -11,6 +11,7 @@ from massloom.functions import names as N
 from massloom.operators import kernels
 from massloom.operators.band import Band, band_join
 from massloom.operators.matrix import GROUP, INJ, RUN
+from massloom.session import cut_lineage
 
 CLASS = [*RUN, "lipid_class", "prefix"]
 MIN_POINTS, MIN_R2, MAX_SD = 6, 0.7, 1.0
@@ -206,40 +207,43 @@ def fill_measured_rt(features: DataFrame, knots: DataFrame) -> DataFrame:
     return looked.withColumn("rt_measured", F.when(have, F.col("rt_measured")).otherwise(guess)).drop("corrected_rt")
 
 
+def ladders(edges: DataFrame, low: str, high: str) -> DataFrame:
+    """node, rungs: every ``low`` node and the nodes above it in order, along edges that give a node one ``high`` at most.
+
+    Known stretches are joined end to start, so a stretch doubles each round.
+    """
+    steps = edges.select(*RUN, F.col(low).alias("node"), F.array(high).alias("rungs"), F.col(high).alias("tail"))
+    while True:
+        steps = cut_lineage(steps.select(*[F.col(c).alias(c) for c in steps.columns]))
+        onward = steps.select(*[F.col(c).alias(c) for c in RUN], F.col("node").alias("tail"), F.col("rungs").alias("more"), F.col("tail").alias("end"))
+        longer = steps.join(onward, [*RUN, "tail"], "left")
+        if longer.filter("end IS NOT NULL").isEmpty():
+            return steps.drop("tail")
+        steps = longer.select(*RUN, "node", F.concat("rungs", F.coalesce("more", F.array().cast("array<bigint>"))).alias("rungs"), F.coalesce("end", "tail").alias("tail"))
+
+
 def unclaimed_series(groups: DataFrame, min_files: int = 10, min_members: int = 4, tol: float = 0.005,
                      step_range: tuple[float, float] = (0.05, 3.0)) -> DataFrame:
     """CH2 series among unidentified, unremoved groups whose retention rises at every step.
 
-    Every group's next rung is the most abundant group one CH2 heavier that elutes later; chains
-    start at the most abundant unclaimed group.  Rung links are found by a band join; the greedy
-    walk sees only the linked groups of a run.
+    Every group's next rung is the most abundant group one CH2 heavier that elutes later. A ladder with
+    ``min_members`` groups and a mean retention step in ``step_range`` is a series; it is reported unless a series
+    that starts at a more abundant group (the smaller id on a tie) passes through its start. A reported ladder may
+    share its upper rungs with others. ``series`` is the start's id. Ladders are as long as the mass range over CH2
+    at most, so every group's ladder is a short array and no run is walked in one task.
     """
     from massloom.operators.acquisition import series_edges
     free = groups.filter((F.col("name").isNull()) & F.col("keep") & (F.col("n_features") >= min_files)).withColumn("area", F.col("max_area"))
     edges = series_edges(free, tol=tol).filter("high_rt > low_rt")
-    nxt = edges.groupBy(*RUN, "low_id", "low_mz", "low_rt", "low_area").agg(
-        F.max_by(F.struct("high_id", "high_mz", "high_rt", "high_area"), F.struct("high_area", -F.col("high_id"))).alias("n"))
-    rows = nxt.select(*RUN, "low_id", "low_mz", "low_rt", "low_area", "n.*")
-    schema = "study_id string, polarity string, series int, member int, group_id long, mz double, rt double, area double, mean_step double"
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        follow = dict(zip(pdf["low_id"], pdf["high_id"]))
-        about = {r.low_id: (r.low_mz, r.low_rt, r.low_area) for r in pdf.itertuples()}
-        about |= {r.high_id: (r.high_mz, r.high_rt, r.high_area) for r in pdf.itertuples()}
-        claimed, out, number = set(), [], 0
-        for start in sorted(about, key=lambda k: (-about[k][2], k)):
-            if start in claimed:
-                continue
-            chain = [start]
-            while chain[-1] in follow:
-                chain.append(follow[chain[-1]])
-            steps = np.diff([about[k][1] for k in chain])
-            if len(chain) < min_members or not step_range[0] <= steps.mean() <= step_range[1]:
-                continue
-            claimed.update(chain)
-            number += 1
-            out += [(number, i + 1, k, *about[k], float(steps.mean())) for i, k in enumerate(chain)]
-        res = pd.DataFrame(out, columns=["series", "member", "group_id", "mz", "rt", "area", "mean_step"])
-        return res.assign(study_id=pdf["study_id"].iloc[0], polarity=pdf["polarity"].iloc[0])[[c.split()[0] for c in schema.split(", ")]]
-
-    return rows.groupBy(*RUN).applyInPandas(run, schema)
+    nxt = edges.groupBy(*RUN, "low_id").agg(F.max_by("high_id", F.struct("high_area", -F.col("high_id"))).alias("high_id"))
+    about = free.select(*RUN, "group_id", "mz", "rt", "area")
+    whole = ladders(nxt, "low_id", "high_id").withColumn("member_ids", F.concat(F.array("node"), "rungs")).filter(F.size("member_ids") >= min_members)
+    members = whole.select(*RUN, F.col("node").alias("series"), F.size("member_ids").alias("n"), F.posexplode("member_ids").alias("at", "group_id")).join(about, [*RUN, "group_id"])
+    ends = members.groupBy(*RUN, "series", "n").agg(F.max_by("rt", "at").alias("last"), F.min_by("rt", "at").alias("first"), F.min_by("area", "at").alias("start_area"))
+    fit = ends.withColumn("mean_step", (F.col("last") - F.col("first")) / (F.col("n") - 1)).filter(F.col("mean_step").between(*step_range)).drop("n", "last", "first")
+    good = members.join(fit, [*RUN, "series"])
+    before = good.filter("at > 0").groupBy(*RUN, "group_id").agg(F.max(F.struct("start_area", (-F.col("series")).alias("neg"))).alias("passing"))
+    starts = fit.join(before.select(*RUN, F.col("group_id").alias("series"), "passing"), [*RUN, "series"], "left")
+    own = F.struct("start_area", (-F.col("series")).alias("neg"))
+    chosen = starts.filter(F.col("passing").isNull() | (own > F.col("passing"))).select(*RUN, "series")
+    return good.join(chosen, [*RUN, "series"]).select(*RUN, "series", (F.col("at") + 1).alias("member"), "group_id", "mz", "rt", "area", "mean_step")

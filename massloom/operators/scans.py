@@ -8,6 +8,8 @@ broadcast by its size, a large one is joined on salted bins.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from massloom.functions.peaks import bind
 from massloom.operators.band import Band, band_exists, band_join, islands
 from massloom.operators.matrix import GROUP, INJ, RUN
 from massloom.operators.qc import dense_cells
+from massloom.session import cut_lineage
 
 TARGET = [*INJ, "target_id"]
 
@@ -241,13 +244,44 @@ def align_rt(features: DataFrame, ppm: float = 10.0, window: float = 0.5, least:
             .withColumn("aligned", good | (F.col("injection") == F.col("ref"))).drop("ref", "n_pairs", "slope", "intercept", "rt"))
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """Checkpoint under fresh column identities, so that it may be joined with what it came from."""
+    return cut_lineage(df.select(*[F.col(c).alias(c) for c in df.columns]))
+
+
 def link_features(features: DataFrame, ppm: float = 10.0, window: float = 0.25) -> DataFrame:
-    """Features with a run-wide ``link``: islands in mass, then in aligned time; an injection gives one
-    feature per group, further ones (smaller area) open groups of their own."""
-    lab = islands(islands(features, "mz", ppm, "ppm", RUN, "mz_link"), "rt_aligned", window, "da", [*RUN, "mz_link"], "rt_link")
-    order = Window.partitionBy(*INJ, "mz_link", "rt_link").orderBy(F.desc("area"), "feature_id")
-    lab = lab.withColumn("copy", F.row_number().over(order))
-    return lab.withColumn("link", F.concat_ws("/", "mz_link", "rt_link", "copy")).drop("mz_link", "rt_link", "copy")
+    """Features with a run-wide ``link``: the injection and feature_id of the group's centre.
+
+    A centre is an open feature larger than every other open one of its mass and time cell and of the cells around it;
+    cells are as wide as the radius, so no larger feature lies within ``ppm`` and ``window``. Each open feature within
+    the radius of centres goes to the nearest, and a centre keeps the nearest feature of each injection. What is left
+    opens the next round. No member is further from its centre than the radius, however dense the run is. The number
+    of rounds follows the number of features that one injection has within a radius. Ties go to the larger area, then
+    the smaller feature_id.
+    """
+    reach = -math.log1p(-ppm * 1e-6)
+    cell = ["__x", "__y"]
+    spot = [(F.floor(F.log("mz") / F.lit(reach))).alias("__x"), F.floor(F.col("rt_aligned") / F.lit(window)).alias("__y")]
+    rank = F.struct((-F.col("area")).alias("n"), "feature_id", "injection", "mz", F.col("rt_aligned").alias("rt"))
+    free = _cut(features.select(*RUN, *spot, "injection", "feature_id", "mz", "rt_aligned", rank.alias("__rank")))
+    around = F.explode(F.expr("flatten(transform(sequence(-1, 1), x -> transform(sequence(-1, 1), y -> struct(__x + x AS x, __y + y AS y))))"))
+    done = None
+    while not free.isEmpty():
+        top = free.groupBy(*RUN, *cell).agg(F.min("__rank").alias("c"))
+        spread = top.select(*RUN, "c", F.col("__x").alias("__cx"), F.col("__y").alias("__cy"), around.alias("o")).select(*RUN, "c", "__cx", "__cy", F.col("o.x").alias("__x"), F.col("o.y").alias("__y"))
+        best = spread.groupBy(*RUN, *cell).agg(F.min("c").alias("best"))
+        centres = top.join(best, [*RUN, *cell]).filter("c = best").select(*RUN, *cell, "c")
+        near = free.join(centres.select(*RUN, "c", around.alias("o")).select(*RUN, "c", F.col("o.x").alias("__x"), F.col("o.y").alias("__y")), [*RUN, *cell])
+        off_mz, off_rt = F.abs(F.col("mz") - F.col("c.mz")) / F.col("c.mz") * 1e6 / ppm, F.abs(F.col("rt_aligned") - F.col("c.rt")) / window
+        near = near.filter((off_mz <= 1) & (off_rt <= 1)).withColumn("d", off_mz * off_mz + off_rt * off_rt)
+        mine = near.groupBy(*INJ, "feature_id").agg(F.min(F.struct("d", "c", "__rank")).alias("m")).select(*INJ, "feature_id", "m.*")
+        kept = mine.groupBy(*INJ, "c").agg(F.min(F.struct("d", "__rank")).alias("k")).select(*INJ, F.col("k.__rank.feature_id").alias("feature_id"), F.concat_ws("/", "c.injection", F.col("c.feature_id").cast("string")).alias("link"))
+        kept = _cut(kept)
+        done = kept if done is None else done.union(kept)
+        free = _cut(free.join(kept, [*INJ, "feature_id"], "left_anti"))
+    if done is None:
+        return features.withColumn("link", F.lit(None).cast("string"))
+    return features.join(done, [*INJ, "feature_id"])
 
 
 def recover_features(traces_: DataFrame, features: DataFrame, hits: DataFrame, ppm: float = 20.0, window: float = 0.25) -> DataFrame:

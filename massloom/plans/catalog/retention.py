@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from massloom.functions import ions
 from massloom.functions import names as N
+from massloom.operators import acquisition as A
 from massloom.operators import retention as R
 from massloom.plans import standin as S
 from massloom.plans.catalog.groups import FEAT, features
@@ -98,10 +99,22 @@ def w6b(spark, d):
     return out.select("study_id", "polarity", "injection", "group_id", F.round("corrected_rt", 8).alias("corrected_rt"))
 
 
-@query("w9_unclaimed_series")
+#: Families of eight groups, a CH2 apart and later at each step; families sit a thousandth of a mass unit apart, every seventh lacks a rung.
+LADDER_GROUPS = """SELECT study_id, polarity, group_id, cast(null AS string) AS name, NOT (floor(group_id / 8) % 7 = 0 AND group_id % 8 = 3) AS keep, 12 AS n_features, cast((group_id * 7919) % 10007 AS double) AS max_area,
+  250e0 + (cast(floor(group_id / 8) AS bigint) * 7919 % 14009) / 1000e0 + (group_id % 8) * 14.01565e0 AS mz, 2e0 + (group_id % 8) * 0.4e0 + (group_id % 13) * 0.01e0 AS rt
+FROM (SELECT CASE WHEN floor(group_id / 8) % 4 < 2 THEN 'A' ELSE 'B' END AS study_id, CASE WHEN floor(group_id / 8) % 2 = 0 THEN '+' ELSE '-' END AS polarity, group_id FROM {groups}) x"""
+
+
+@query("w9_unclaimed_series", f"""WITH RECURSIVE {S.cte('groups')}, f AS (SELECT * FROM ({LADDER_GROUPS.format(groups='groups')}) z WHERE keep),
+nx AS (SELECT l.study_id, l.polarity, l.group_id AS low, arg_max(h.group_id, (h.max_area, -h.group_id)) AS high FROM f l JOIN f h ON h.study_id = l.study_id AND h.polarity = l.polarity AND abs(l.mz + {A.CH2} - h.mz) <= 0.01 AND h.rt > l.rt GROUP BY ALL),
+p(study_id, polarity, series, rung, group_id) AS (SELECT study_id, polarity, group_id, 0, group_id FROM f UNION ALL SELECT p.study_id, p.polarity, series, rung + 1, high FROM p JOIN nx ON nx.study_id = p.study_id AND nx.polarity = p.polarity AND nx.low = p.group_id),
+m AS (SELECT p.*, f.mz, f.rt, f.max_area AS area FROM p JOIN f USING (study_id, polarity, group_id)),
+st AS (SELECT study_id, polarity, series, (arg_max(rt, rung) - arg_min(rt, rung)) / (count(*) - 1) AS mean_step, arg_min(area, rung) AS a0 FROM m GROUP BY ALL HAVING count(*) >= 4),
+g AS (SELECT m.*, mean_step, a0 FROM m JOIN st USING (study_id, polarity, series) WHERE mean_step BETWEEN 0.05 AND 3),
+c AS (SELECT * FROM g x WHERE NOT EXISTS (SELECT 1 FROM g y WHERE y.study_id = x.study_id AND y.polarity = x.polarity AND y.group_id = x.series AND y.rung > 0 AND (y.a0 > x.a0 OR (y.a0 = x.a0 AND y.series < x.series))))
+SELECT study_id, polarity, series, cast(rung + 1 AS int) AS member, group_id, round(mz, 5) AS mz, round(rt, 5) AS rt, area, round(mean_step, 6) AS mean_step FROM c""")
 def w9(spark, d):
-    g = S.groups(spark, d).selectExpr("study_id", "polarity", "group_id", "cast(null AS string) AS name", "true AS keep", "12 AS n_features", "cast(p_partkey AS double) AS max_area",
-                                      "250e0 + (b % 7) * 0.53e0 + (b % 11) * 14.01565e0 AS mz", "2e0 + (b % 11) * 0.4e0 + (b % 13) * 0.01e0 AS rt")
+    g = spark.sql(LADDER_GROUPS, groups=S.groups(spark, d))
     out = R.unclaimed_series(g, tol=0.01)
     return out.withColumn("mz", F.round("mz", 5)).withColumn("rt", F.round("rt", 5)).withColumn("mean_step", F.round("mean_step", 6))
 

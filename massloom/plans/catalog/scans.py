@@ -111,11 +111,20 @@ def w15(spark, d):
     return X.align_rt(raw_features(spark, d)).select("study_id", "polarity", "injection", "feature_id", F.round("rt_aligned", 8).alias("rt_aligned"), "aligned")
 
 
+def _link_round(n: int, rest: str) -> str:
+    """One round inside each isolated mass and time island: the largest open feature is the centre, the nearest of each injection joins it."""
+    return f"""c{n} AS (SELECT study_id, polarity, mi, ri, arg_min((injection, group_id, mz, rt_aligned), (-area, group_id, injection)) AS c FROM {rest} GROUP BY ALL),
+d{n} AS (SELECT e.*, c[1] || '/' || c[2]::varchar AS link, pow(abs(mz - c[3]) / c[3] * 1e6 / 10, 2) + pow(abs(rt_aligned - c[4]) / 0.25, 2) AS d FROM {rest} e JOIN c{n} USING (study_id, polarity, mi, ri)),
+l{n} AS (SELECT *, row_number() OVER (PARTITION BY study_id, polarity, injection, mi, ri ORDER BY d, area DESC, group_id) AS k FROM d{n}),
+r{n} AS (SELECT * EXCLUDE (link, d, k) FROM l{n} WHERE k > 1)"""
+
+
 @query("w16_link_features", f"""WITH {FEAT}, a AS (SELECT *, CASE WHEN (mz - lag(mz) OVER w) / mz * 1e6 <= 10 THEN 0 ELSE 1 END AS st FROM ft WINDOW w AS (PARTITION BY study_id, polarity ORDER BY mz, injection, group_id)),
 b AS (SELECT *, sum(st) OVER (PARTITION BY study_id, polarity ORDER BY mz, injection, group_id ROWS UNBOUNDED PRECEDING) AS mi FROM a),
 c AS (SELECT *, CASE WHEN rt_aligned - lag(rt_aligned) OVER w <= 0.25 THEN 0 ELSE 1 END AS s2 FROM b WINDOW w AS (PARTITION BY study_id, polarity, mi ORDER BY rt_aligned, injection, group_id)),
-e AS (SELECT *, sum(s2) OVER (PARTITION BY study_id, polarity, mi ORDER BY rt_aligned, injection, group_id ROWS UNBOUNDED PRECEDING) AS ri FROM c)
-SELECT study_id, polarity, injection, group_id AS feature_id, mi::bigint::varchar || '/' || ri::bigint::varchar || '/' || row_number() OVER (PARTITION BY study_id, polarity, injection, mi, ri ORDER BY area DESC, group_id)::varchar AS link FROM e""")
+e AS (SELECT *, sum(s2) OVER (PARTITION BY study_id, polarity, mi ORDER BY rt_aligned, injection, group_id ROWS UNBOUNDED PRECEDING) AS ri FROM c),
+{_link_round(1, 'e')}, {_link_round(2, 'r1')}
+SELECT study_id, polarity, injection, group_id AS feature_id, link FROM l1 WHERE k = 1 UNION ALL SELECT study_id, polarity, injection, group_id, link FROM l2 WHERE k = 1""")
 def w16(spark, d):
     f = features(spark, d).withColumn("feature_id", F.col("group_id"))
     return X.link_features(f).select("study_id", "polarity", "injection", "feature_id", "link")

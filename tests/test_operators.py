@@ -500,3 +500,42 @@ def test_decoys_and_screen(spark):
     target = spark.createDataFrame([("PE 17:0_19:1 [M+H]+;", 718.54, [(253.247, 9.0, "O_Alkyl Fragment_[17:0]", "t", "17:0")])], schema)
     assert L.screen_decoys(L.make_decoys(lib, 3), target).collect()[0]["rule"] == "target-in-decoy"
     assert L.screen_decoys(L.head_group_decoys(lib), lib).count() == 0
+
+
+def test_links_stay_within_the_radius_of_their_centre(spark):
+    r = np.random.default_rng(8)
+    mz, rt = r.uniform(200, 260, 3000), r.uniform(0, 5, 3000)
+    rows = [("A", "+", f"I{k}", g * 4 + k, float(mz[g] * (1 + r.normal(0, 5e-7))), float(rt[g] + r.normal(0, 1 / 120)), float(r.integers(1, 10**6))) for g in range(3000) for k in range(4)]
+    frame = spark.createDataFrame(rows, "study_id string, polarity string, injection string, feature_id long, mz double, rt_aligned double, area double")
+    got = X.link_features(frame).collect()
+    at = {x[3]: x for x in rows}
+    assert sorted(x.feature_id for x in got) == sorted(at) and len({(x.link, x.injection) for x in got}) == len(got)
+    members = {}
+    for x in got:
+        centre = at[int(x.link.split("/")[1])]
+        assert abs(x.mz - centre[4]) / centre[4] <= 10e-6 and abs(x.rt_aligned - centre[5]) <= 0.25
+        members.setdefault(x.link, set()).add(x.feature_id // 4)
+    assert sum(len(m) == 1 for m in members.values()) >= 0.97 * len(members)
+    assert X.link_features(frame.limit(0)).count() == 0
+
+
+def test_unclaimed_series_as_a_greedy_walk(spark):
+    r = random.Random(3)
+    rows = [("A", "+", k, None, True, 12, float(r.randint(1, 40)), round(300 + r.choice([0, 0.002, 0.004]) + 14.01565 * r.randint(0, 9), 5), round(r.uniform(1, 9), 2)) for k in range(150)]
+    frame = spark.createDataFrame(rows, RUN + ", group_id long, name string, keep boolean, n_features int, max_area double, mz double, rt double")
+    about = {x[2]: x for x in rows}
+
+    def above(k):
+        fits = [x for x in rows if abs(about[k][7] + A.CH2 - x[7]) <= 0.005 and x[8] > about[k][8]]
+        return max(fits, key=lambda x: (x[6], -x[2]))[2] if fits else None
+
+    claimed, want = set(), set()
+    for start in sorted(about, key=lambda k: (-about[k][6], k)):
+        chain = [start]
+        while start not in claimed and (k := above(chain[-1])) is not None:
+            chain.append(k)
+        mean = (about[chain[-1]][8] - about[start][8]) / (len(chain) - 1) if len(chain) >= 4 else 0
+        if 0.05 <= mean <= 3.0:
+            claimed.update(chain)
+            want |= {(start, n + 1, k) for n, k in enumerate(chain)}
+    assert {(x.series, x.member, x.group_id) for x in R.unclaimed_series(frame).collect()} == want and len(want) > 8
