@@ -36,20 +36,46 @@ def j19(spark, d):
     return X.xic(ms1(spark, d), targets(spark, d)).select("injection", "target_id", "scan_no", F.round("signal", 6).alias("signal"))
 
 
-@query("w7_peak_test")
+def _peak_sql(source: str, half: str) -> str:
+    """Apex and signal to noise of each (key) trace of ``source`` (key, rt, signal, centre): flank median and deviation, tallest core scan, run above the limit."""
+    return f"""xs AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY rt, signal) - 1 AS i, abs(rt - centre) <= {half} AS core FROM {source}),
+fl AS (SELECT key, median(signal) FILTER (NOT core) AS base, count(*) FILTER (NOT core) AS n, count(*) AS size FROM xs GROUP BY ALL),
+sg AS (SELECT key, base, n, size, median(abs(signal - base)) FILTER (NOT core) * 1.4826e0 AS mad FROM xs JOIN fl USING (key) GROUP BY ALL),
+ap AS (SELECT key, arg_max((signal, i, rt), (signal, -i)) FILTER (core) AS top FROM xs GROUP BY ALL),
+lm AS (SELECT key, n, size, top[1] AS s, top[2] AS ai, top[3] AS apex_rt, base, CASE WHEN mad > 0 THEN mad ELSE greatest(base, 1) * 0.1e0 END AS sigma FROM sg JOIN ap USING (key)),
+rn AS (SELECT key, coalesce(max(i) FILTER (NOT signal > base + sigma AND i < ai), -1) AS lo, coalesce(min(i) FILTER (NOT signal > base + sigma AND i > ai), any_value(size)) AS hi FROM xs JOIN lm USING (key) GROUP BY ALL),
+pk AS (SELECT key, apex_rt, (s - base) / sigma AS sn FROM lm JOIN rn USING (key) WHERE n >= 3 AND s > 0 AND s - base > 0 AND hi - lo - 1 >= 3)"""
+
+
+@query("w7_peak_test", f"""WITH {MS1}, ax AS (SELECT DISTINCT injection, scan_no, rt FROM ms1),
+s AS (SELECT t.injection, t.target_id, scan_no, sum(intensity) AS signal FROM ms1 m JOIN tg t ON m.injection = t.injection AND rt >= t_lo AND rt < t_hi AND mz >= t_mz - t_mz * 40e-6 AND mz < t_mz + t_mz * 40e-6 GROUP BY ALL),
+src AS (SELECT (t.injection, t.target_id) AS key, a.rt, coalesce(signal, 0) AS signal, {CENTRE.format(k='t.target_id')} AS centre FROM tg t JOIN ax a ON a.injection = t.injection AND a.rt >= t_lo AND a.rt < t_hi LEFT JOIN s ON s.injection = t.injection AND s.target_id = t.target_id AND s.scan_no = a.scan_no),
+{_peak_sql('src', '0.2e0')}
+SELECT key[1] AS injection, cast(key[2] AS int) AS target_id, round(apex_rt, 6) AS apex_rt, round(sn, 6) AS sn FROM (SELECT DISTINCT key FROM src) LEFT JOIN pk USING (key)""")
 def w7(spark, d):
     tr = X.traces(X.xic(ms1(spark, d), targets(spark, d), ppm=40.0)).withColumn("centre", F.expr(CENTRE.format(k="target_id")))
-    out = tr.withColumn("p", X.peak_test(F.col("trace"), F.col("centre"), F.lit(0.6)))
+    out = tr.withColumn("p", X.peak_test(F.col("trace"), F.col("centre"), F.lit(0.2)))
     return out.select("injection", "target_id", F.round("p.apex_rt", 6).alias("apex_rt"), F.round("p.sn", 6).alias("sn"))
 
 
-@query("w8_signal_to_noise")
+@query("w8_signal_to_noise", f"""WITH {MS1}, t AS (SELECT injection, target_id, t_mz, {CENTRE.format(k='target_id')} AS c FROM tg), ax AS (SELECT DISTINCT injection, scan_no, rt FROM ms1),
+w AS (SELECT t.*, scan_no, rt FROM t JOIN ax USING (injection) WHERE rt >= c - 2.5e0 AND rt < c + 0.25e0 + 1e-9),
+x AS (SELECT w.injection, w.target_id, w.scan_no, w.rt, c, coalesce(max(intensity) FILTER (mz >= t_mz - t_mz * 12.5e-6 AND mz < t_mz + t_mz * 12.5e-6), 0) AS signal FROM w JOIN ms1 m USING (injection, scan_no) GROUP BY ALL),
+l AS (SELECT injection, target_id, median(signal) AS md, count(*) AS n FROM x WHERE rt > c - 2.5e0 AND rt < c - 1.0e0 GROUP BY ALL),
+d AS (SELECT injection, target_id, CASE WHEN any_value(n) >= 8 THEN median(abs(signal - md)) * 1.4826e0 END AS sigma FROM x JOIN l USING (injection, target_id) WHERE rt > c - 2.5e0 AND rt < c - 1.0e0 GROUP BY ALL),
+h AS (SELECT injection, target_id, max(signal) AS top FROM x WHERE abs(rt - c) <= 0.25e0 GROUP BY ALL)
+SELECT t.injection, cast(t.target_id AS int) AS target_id, round(CASE WHEN top > 0 AND sigma IS NOT NULL THEN top / greatest(sigma, 1) END, 6) AS snr FROM t LEFT JOIN d USING (injection, target_id) LEFT JOIN h USING (injection, target_id)""")
 def w8(spark, d):
     f = targets(spark, d).selectExpr("study_id", "polarity", "injection", "target_id", "t_mz AS mz", "centre AS rt", "0.5e0 AS fwhm")
     return X.signal_to_noise(f, ms1(spark, d)).select("injection", "target_id", F.round("snr", 6).alias("snr"))
 
 
-@query("j45_gapfill_null")
+@query("j45_gapfill_null", f"""WITH {MS1}, ax AS (SELECT DISTINCT injection, scan_no, rt FROM ms1),
+po AS (SELECT injection, target_id, kind, t_mz + dm AS t_mz, {CENTRE.format(k='target_id')} + dt AS centre FROM tg, (VALUES ('real', 0e0, 0e0), ('wrong mass', 0.3713e0, 0e0), ('wrong time', 0e0, 3e0)) v(kind, dm, dt)),
+w AS (SELECT po.*, scan_no, rt FROM po JOIN ax USING (injection) WHERE rt >= centre - 0.6000000000000001e0 AND rt < centre + 0.6000000000000001e0),
+src AS (SELECT (w.injection, w.target_id, kind) AS key, w.rt, centre, coalesce(sum(intensity) FILTER (mz >= t_mz - t_mz * 40e-6 AND mz < t_mz + t_mz * 40e-6), 0) AS signal FROM w JOIN ms1 m USING (injection, scan_no) GROUP BY key, w.rt, centre),
+{_peak_sql('src', '0.2e0')}
+SELECT injection, cast(target_id AS int) AS target_id, kind, round(coalesce(sn, 0), 6) AS sn FROM po LEFT JOIN pk ON pk.key = (injection, target_id, kind)""")
 def j45(spark, d):
     p = targets(spark, d).selectExpr("study_id", "polarity", "injection", "target_id", "t_mz", "centre")
     return X.gapfill_null(p, ms1(spark, d), ppm=40.0).select("injection", "target_id", "kind", F.round("sn", 6).alias("sn"))
@@ -71,7 +97,11 @@ def j20(spark, d):
     return out.withColumn("area", F.round("area", 6))
 
 
-@query("j21_absences_with_signal")
+@query("j21_absences_with_signal", f"""WITH {S.cte('groups', 'areas', 'injections')}, k AS (SELECT *, grp AS cell FROM injections WHERE role NOT IN ('blank', 'standard')), cl AS (SELECT *, count(*) OVER (PARTITION BY study_id, polarity, cell) AS sz FROM k), c AS (SELECT * FROM cl WHERE sz >= 3),
+ng AS (SELECT study_id, polarity, count(*) AS g FROM groups GROUP BY ALL), t AS (SELECT study_id, polarity, g * count(DISTINCT cell) AS cells FROM c JOIN ng USING (study_id, polarity) GROUP BY study_id, polarity, g),
+b AS (SELECT DISTINCT a.study_id, a.polarity, group_id, cell FROM areas a JOIN c USING (study_id, polarity, injection) WHERE area > 0 AND area % 5 = 0),
+n AS (SELECT DISTINCT a.study_id, a.polarity, group_id, cell FROM areas a JOIN c USING (study_id, polarity, injection) WHERE area > 0 EXCEPT SELECT * FROM b)
+SELECT study_id, polarity, cells - (SELECT count(*) FROM b WHERE b.study_id = t.study_id AND b.polarity = t.polarity) AS tested, (SELECT count(*) FROM n WHERE n.study_id = t.study_id AND n.polarity = t.polarity) AS with_signal FROM t""")
 def j21(spark, d):
     a = S.areas(spark, d)
     cells = presence_cells(S.injections(spark, d), ("grp",))
@@ -89,7 +119,13 @@ def w14(spark, d):
     return t.select("injection", F.round("height", 6).alias("height"), F.round("area", 6).alias("area"), F.round("length", 6).alias("length"), "n_scans")
 
 
-@query("w14_build_features")
+@query("w14_build_features", f"""WITH {S.cte('spectra')}, p AS (SELECT {S.SCAN_INJECTION} AS inj, vec_id AS scan_no, {S.GRADIENT_RT} AS rt, mz, intensity FROM spectra_peaks WHERE intensity >= 30),
+a AS (SELECT *, CASE WHEN (mz - lag(mz) OVER w) / mz * 1e6 <= 10 THEN 0 ELSE 1 END AS st FROM p WINDOW w AS (PARTITION BY inj ORDER BY mz, scan_no)),
+b AS (SELECT *, sum(st) OVER (PARTITION BY inj ORDER BY mz, scan_no ROWS UNBOUNDED PRECEDING) AS mi FROM a),
+c AS (SELECT *, CASE WHEN rt - lag(rt) OVER w <= 0.5 THEN 0 ELSE 1 END AS s2 FROM b WINDOW w AS (PARTITION BY inj, mi ORDER BY rt, mz)),
+e AS (SELECT *, sum(s2) OVER (PARTITION BY inj, mi ORDER BY rt, mz ROWS UNBOUNDED PRECEDING) AS ri FROM c), f AS (SELECT *, max(intensity) OVER (PARTITION BY inj, mi, ri) AS top FROM e),
+g AS (SELECT inj, arg_max(mz, intensity) AS mz, arg_max(rt, intensity) AS rt, sum(intensity) AS area, max(rt) FILTER (intensity >= top / 2) - min(rt) FILTER (intensity >= top / 2) AS fwhm, max(rt) - min(rt) AS length FROM f GROUP BY inj, mi, ri)
+SELECT inj AS injection, round(mz, 6) AS mz, round(rt, 6) AS rt, round(area, 6) AS area, round(fwhm, 6) AS fwhm, 1::int AS charge FROM g WHERE length >= 0.05 AND fwhm BETWEEN 0 AND 10""")
 def w14f(spark, d):
     f = X.build_features(ms1(spark, d), noise=30.0, gap=0.5, fwhm_range=(0.0, 10.0), need_isotope=False)
     return f.select("injection", F.round("mz", 6).alias("mz"), F.round("rt", 6).alias("rt"), F.round("area", 6).alias("area"), F.round("fwhm", 6).alias("fwhm"), "charge")
@@ -149,7 +185,13 @@ def j18(spark, d):
     return X.recover_features(t, f.drop("group_id"), h).select("study_id", "polarity", "injection", "group_id")
 
 
-@query("j46_detection_recall")
+@query("j46_detection_recall", f"""WITH {CONF}, q AS (SELECT * FROM hh WHERE dot > 500),
+a AS (SELECT *, CASE WHEN (pmz - lag(pmz) OVER w) / pmz * 1e6 <= 20 THEN 0 ELSE 1 END AS st FROM q WINDOW w AS (PARTITION BY study_id, polarity, injection ORDER BY pmz, rt)),
+b AS (SELECT *, sum(st) OVER (PARTITION BY study_id, polarity, injection ORDER BY pmz, rt ROWS UNBOUNDED PRECEDING) AS mi FROM a),
+c AS (SELECT *, CASE WHEN rt - lag(rt) OVER w <= 0.25 THEN 0 ELSE 1 END AS s2 FROM b WINDOW w AS (PARTITION BY study_id, polarity, injection, mi ORDER BY rt, pmz)),
+e AS (SELECT *, sum(s2) OVER (PARTITION BY study_id, polarity, injection, mi ORDER BY rt, pmz ROWS UNBOUNDED PRECEDING) AS ri FROM c),
+o AS (SELECT study_id, polarity, injection, min((pmz, rt)) AS t FROM e GROUP BY study_id, polarity, injection, mi, ri)
+SELECT study_id, polarity, injection, count(*) AS targets, count_if(EXISTS (SELECT 1 FROM fo f WHERE f.study_id = o.study_id AND f.polarity = o.polarity AND f.injection = o.injection AND abs(o.t[1] - f.mz) / o.t[1] * 1e6 < 20 AND abs(o.t[2] - f.rt_measured) < 0.25)) AS found FROM o GROUP BY ALL""")
 def j46(spark, d):
     h, f = confident(spark, d)
     return X.detection_recall(h, f.drop("group_id"))

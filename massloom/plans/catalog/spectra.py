@@ -160,10 +160,14 @@ def a35(spark, d):
     return out.select("threshold", "decoys", "targets", F.round("decoy_share", 9).alias("decoy_share"))
 
 
-@query("j49_search_exactness", f"""WITH {RANKED}, h AS (SELECT ms2_id, entry_seq, dot FROM rk WHERE rank = 1),
-h2 AS (SELECT ms2_id, entry_seq, dot FROM rk WHERE rank = 2)
-SELECT count(*) AS n, 0 AS same_name_other FROM h""")
+@query("j49_search_exactness", f"""WITH {RANKED}, h AS (SELECT ms2_id, rk.precursor_mz AS pm, (ms2_id % 997) / 40e0 AS rt, CASE WHEN entry_seq % 10 = 0 THEN 'DECOY_ ' ELSE '' END || (14 + l.label % 9)::varchar || '/' || (l.label % 4)::varchar AS name, dot
+  FROM rk JOIN spectra l ON l.vec_id = entry_seq WHERE rank = 1),
+p AS (SELECT a.ms2_id, arg_min((a.name = b.name AND b.ms2_id % 3 <> 0, abs(a.dot - b.dot - CASE WHEN b.ms2_id % 5 = 0 THEN 1 ELSE 0 END) < 1e-9, b.ms2_id), (abs(a.rt - b.rt - 0.001e0), b.ms2_id)) AS m
+  FROM h a JOIN h b ON a.ms2_id % 24 = b.ms2_id % 24 AND abs(a.pm - b.pm) <= 0.003 AND abs(a.rt - b.rt - 0.001e0) <= 0.003 GROUP BY ALL)
+SELECT ms2_id, m[3] AS other_id, m[1] AS same_name, m[2] AS same_score, NOT m[1] AND m[2] AS tie FROM p""")
 def j49(spark, d):
+    """A search against one whose every third name, every fifth score and every retention differ."""
     h = Q.search(ms2(spark, d), library(spark, d))
-    out = Q.search_exactness(h, h)
-    return out.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("same_name")).cast("int").alias("same_name_other"))
+    other = h.withColumn("name", F.when(F.col("ms2_id") % 3 == 0, F.concat("name", F.lit("x"))).otherwise(F.col("name"))).withColumn(
+        "dot", F.col("dot") + F.when(F.col("ms2_id") % 5 == 0, 1.0).otherwise(0.0)).withColumn("rt", F.col("rt") + 0.001)
+    return Q.search_exactness(h, other).select("ms2_id", "other_id", "same_name", "same_score", "tie")

@@ -10,7 +10,7 @@ from massloom.plans import standin as S
 from massloom.plans.catalog.acquisition import area_groups
 from massloom.plans.catalog.qc import SUMNAME, rank_of
 from massloom.plans.catalog.spectra import library, ms2
-from massloom.plans.registry import query
+from massloom.plans.registry import ORACLES, query
 
 BASE = S.cte("groups")
 TABLE = "tb(lipid_class, assigned) AS (SELECT DISTINCT lipid_class, CASE WHEN lipid_class IN ('PC', 'SM', 'TG') THEN '+' ELSE '-' END FROM groups WHERE b % 6 <> 7)"
@@ -154,14 +154,14 @@ def f9(spark, d):
     return L.enumerate_library(recipes(spark, d)).select("lipid_class", "lipid", F.round("precursor_mz", 6).alias("precursor_mz"))
 
 
-@query("j50_verify_enumeration")
+@query("j50_verify_enumeration", f"""SELECT lipid || ' [M+NH4]+' AS name, 'precursor' AS problem, round(precursor_mz, 4) AS mine, round(precursor_mz + 0.01, 4) AS theirs FROM ({ORACLES['f9_enumerate_library']}) e WHERE cast(floor(precursor_mz) AS bigint) % 7 = 0""")
 def j50(spark, d):
     e = L.enumerate_library(recipes(spark, d))
-    off = e.withColumn("precursor_mz", F.when(F.pmod(F.xxhash64("lipid"), F.lit(50)) == 0, F.col("precursor_mz") + 0.01).otherwise(F.col("precursor_mz")))
+    off = e.withColumn("precursor_mz", F.when(F.floor("precursor_mz") % 7 == 0, F.col("precursor_mz") + 0.01).otherwise(F.col("precursor_mz")))
     return L.verify_enumeration(e, off).select("name", "problem", F.round("mine", 4).alias("mine"), F.round("theirs", 4).alias("theirs"))
 
 
-@query("f10_import_class")
+@query("f10_import_class", f"""WITH {LIBN} SELECT vec_id AS entry_seq, 'BA ' || vec_id::varchar || ':1;O4_16:0' AS name FROM kp WHERE vec_id % 2 = 0 GROUP BY vec_id HAVING count(*) >= 3""")
 def f10(spark, d):
     lib = library(spark, d).withColumn("compound_class", F.when(F.col("entry_seq") % 2 == 0, "BileAcid").otherwise("Other")).withColumn(
         "name", F.concat(F.lit("ST "), F.col("entry_seq").cast("string"), F.lit(":1;4O/(FA 16:0)")))
@@ -179,7 +179,11 @@ def j36(spark, d):
     return C.fragmentation_audit(g, S.scans(spark, d), ppm=100.0, rt_tol=1.0).withColumn("share", F.round("share", 9))
 
 
-@query("j36_failed_spectra")
+@query("j36_failed_spectra", f"""WITH {S.cte('groups', 'spectra')}, sp AS (SELECT CASE WHEN vec_id % 4 < 2 THEN 'A' ELSE 'B' END AS study_id, CASE WHEN vec_id % 2 = 0 THEN '+' ELSE '-' END AS polarity, vec_id, any_value(precursor_mz) AS pm, (vec_id % 997) / 40e0 AS rt, sum(intensity) AS tic, count(*) AS np,
+  coalesce(sum(intensity) FILTER (abs(mz - CASE WHEN vec_id % 2 = 0 THEN 178.295e0 ELSE 97.473e0 END) < 0.01), 0) AS art FROM spectra_peaks WHERE NOT is_library GROUP BY vec_id),
+g AS (SELECT study_id, polarity, CASE WHEN name IS NULL THEN 'unidentified' ELSE 'MS2' END AS evidence, 760e0 + m * 0.004e0 AS mz, rt FROM groups)
+SELECT g.study_id, g.polarity, evidence, count(*) AS spectra, round(median(tic), 6) AS median_tic, median(np) AS median_peaks, round(median(art / tic), 6) AS artefact_share
+FROM sp JOIN g ON g.study_id = sp.study_id AND g.polarity = sp.polarity AND abs(pm - mz) / mz * 1e6 <= 10 AND abs(sp.rt - g.rt) <= 0.5 WHERE tic > 0 GROUP BY ALL""")
 def j36f(spark, d):
     g = S.groups(spark, d).withColumn("mz", F.lit(760.0) + F.col("m") * 0.004).withColumn("evidence", F.when(F.col("name").isNull(), "unidentified").otherwise("MS2"))
     spread = ms2(spark, d).withColumn("study_id", F.when(F.col("ms2_id") % 4 < 2, "A").otherwise("B")).withColumn("polarity", F.when(F.col("ms2_id") % 2 == 0, "+").otherwise("-"))
@@ -198,7 +202,12 @@ def missing_inputs(spark, d):
     return g.filter("name IS NOT NULL"), ours, unf, hits
 
 
-@query("j37_trace_missing")
+@query("j37_trace_missing", f"""WITH {BASE}, s AS (SELECT *, {SUMNAME} AS sn FROM groups WHERE name IS NOT NULL),
+fr AS (SELECT study_id, polarity, sn, arg_min((mz, rt), group_id) AS p FROM s GROUP BY ALL), gone AS (SELECT * FROM fr WHERE NOT EXISTS (SELECT 1 FROM s WHERE p_partkey % 3 = 0 AND s.study_id = fr.study_id AND s.polarity = fr.polarity AND s.sn = fr.sn)),
+u AS (SELECT study_id, polarity, group_id, mz, rt, CASE WHEN p_partkey % 4 = 0 THEN 'X' ELSE '' END || sn AS us, CASE WHEN p_partkey % 4 = 0 THEN 'X' ELSE '' END || name AS un, CASE WHEN m > 10 THEN 'Blank' ELSE 'kept' END AS why FROM s WHERE p_partkey % 2 = 0),
+n AS (SELECT gone.study_id, gone.polarity, sn, arg_max(why, group_id) FILTER (us = sn) AS why, arg_min(un, group_id) FILTER (us <> sn) AS un FROM gone JOIN u ON u.study_id = gone.study_id AND u.polarity = gone.polarity AND abs(u.mz - p[1]) <= 0.01 AND abs(u.rt - p[2]) <= 0.5 GROUP BY ALL)
+SELECT study_id, polarity, sn AS sum_name, CASE WHEN why IS NOT NULL THEN 'filtered: ' || why WHEN EXISTS (SELECT 1 FROM s WHERE p_partkey % 5 = 0 AND s.study_id = gone.study_id AND s.polarity = gone.polarity AND s.sn = gone.sn) THEN 'identified, no feature'
+  WHEN un IS NOT NULL THEN 'named differently: ' || un ELSE 'never fragmented' END AS verdict FROM gone LEFT JOIN n USING (study_id, polarity, sn)""")
 def j37(spark, d):
     return C.trace_missing(*missing_inputs(spark, d))
 
@@ -246,7 +255,16 @@ def consensus(spark, d):
         "grp", F.col("carbons") % 7 * 10 + F.col("double_bonds")).withColumn("tier", F.when(F.col("carbons") % 2 == 0, "Ref").otherwise("Inf")).withColumn("value", F.col("carbons") * 1.5 + F.col("double_bonds") * 7 % 5)
 
 
-@query("j40_consensus_recall")
+SPECIES = f"""{S.cte('areas')}, mx AS (SELECT group_id, max(area)::double AS area FROM areas GROUP BY ALL), s AS (SELECT g.*, coalesce(area, 0) AS area, {SUMNAME} AS sn FROM groups g LEFT JOIN mx USING (group_id) WHERE name IS NOT NULL),
+k AS (SELECT *, CASE split_part(sn, ' ', 1) WHEN 'Cer[NS]' THEN 'Cer' WHEN 'GlcCer[NS]' THEN 'HexCer' ELSE split_part(sn, ' ', 1) END AS family, m <> 3 AS is_ms2 FROM s),
+sp AS (SELECT study_id, family, carbons, double_bonds, arg_max((is_ms2, area, polarity), (is_ms2, area)) AS best FROM k GROUP BY ALL),
+co AS (SELECT DISTINCT family, carbons, double_bonds, carbons % 7 * 10 + double_bonds AS grp, CASE WHEN carbons % 2 = 0 THEN 'Ref' ELSE 'Inf' END AS tier, carbons * 1.5 + double_bonds * 7 % 5 AS value FROM k WHERE p_partkey % 2 = 0)"""
+
+
+@query("j40_consensus_recall", f"""WITH {SPECIES}, en AS (SELECT grp, tier, max(family) AS entry_family FROM co GROUP BY ALL),
+fo AS (SELECT study_id, grp, tier, bool_or(best[1]) AS ms2 FROM co JOIN sp USING (family, carbons, double_bonds) GROUP BY ALL)
+SELECT st.study_id, en.tier, entry_family, count(*) AS entries, count_if(coalesce(ms2, false)) AS ms2, count(ms2) AS any_source FROM en CROSS JOIN (SELECT DISTINCT study_id FROM sp) st LEFT JOIN fo ON fo.study_id = st.study_id AND fo.grp = en.grp AND fo.tier = en.tier
+WHERE entry_family IN ('PC', 'PE', 'TG', 'SM', 'Cer', 'HexCer') GROUP BY ALL""")
 def j40(spark, d):
     return C.consensus_score(C.species_table(species_inputs(spark, d)), consensus(spark, d), ["PC", "PE", "TG", "SM", "Cer", "HexCer"])[0]
 
@@ -258,12 +276,19 @@ def j40p(spark, d):
     return C.consensus_score(C.species_table(species_inputs(spark, d)), consensus(spark, d), ["PC"])[1]
 
 
-@query("j40_consensus_quant")
+@query("j40_consensus_quant", f"""WITH {SPECIES}, pt AS (SELECT study_id, family, best[3] AS polarity, value, best[2] AS area FROM co JOIN sp USING (family, carbons, double_bonds) WHERE tier = 'Ref' AND best[1] AND best[2] > 0),
+pl AS (SELECT study_id, family, arg_max(polarity, (n, polarity)) AS polarity FROM (SELECT study_id, family, polarity, count(*) AS n FROM pt GROUP BY ALL) GROUP BY ALL), kp AS (SELECT pt.* FROM pt JOIN pl USING (study_id, family, polarity)),
+r AS (SELECT *, {rank_of('study_id, family', 'value')} AS rv, {rank_of('study_id, family', 'area')} AS ra FROM kp)
+SELECT study_id, family, round(coalesce(CASE WHEN max(rv) > min(rv) AND max(ra) > min(ra) THEN corr(rv, ra) END, 0), 6) AS rho, count(*) AS n FROM r GROUP BY ALL HAVING count(*) >= 5""")
 def j40q(spark, d):
     return C.consensus_quant(C.species_table(species_inputs(spark, d)), consensus(spark, d)).withColumn("rho", F.round("rho", 6))
 
 
-@query("j41_miss_reasons")
+@query("j41_miss_reasons", f"""WITH {BASE}, s AS (SELECT *, replace({SUMNAME}, 'GlcCer', 'HexCer') AS sp FROM groups WHERE name IS NOT NULL), k AS (SELECT *, split_part(split_part(sp, ' ', 1), '[', 1) AS cls FROM s),
+ms AS (SELECT study_id, sp, any_value(cls) AS cls, any_value(carbons) AS carbons, min(CASE WHEN p_partkey % 13 = 0 THEN 0.5e0 ELSE rt END) AS rt FROM k WHERE p_partkey % 2 = 0 AND NOT EXISTS (SELECT 1 FROM k o WHERE o.p_partkey % 3 = 0 AND o.study_id = k.study_id AND o.sp = k.sp) GROUP BY ALL),
+lb AS (SELECT * FROM k WHERE p_partkey % 5 <> 0 AND lipid_class <> 'SM')
+SELECT study_id, sp AS species, CASE WHEN (cls = 'TG' AND carbons < 34) OR (cls = 'PC' AND carbons < 31) THEN 'chemically impossible' WHEN rt <= 1 THEN 'void' WHEN cls NOT IN (SELECT cls FROM lb) THEN 'class absent' WHEN sp NOT IN (SELECT sp FROM lb) THEN 'species absent'
+  WHEN NOT EXISTS (SELECT 1 FROM lb WHERE lb.sp = ms.sp AND NOT (ms.study_id = 'B' AND lb.polarity = '-')) THEN 'wrong polarity' ELSE 'not detected' END AS reason FROM ms""")
 def j41(spark, d):
     g = S.groups(spark, d).filter("name IS NOT NULL")
     pub = g.filter("p_partkey % 2 = 0").selectExpr("study_id", "name", "if(p_partkey % 13 = 0, 0.5e0, rt) AS rt")
@@ -281,7 +306,10 @@ def j42(spark, d):
     return out.withColumn("r", F.round("r", 9)).withColumn("ratio", F.round("ratio", 9))
 
 
-@query("j42_rt_agreement")
+@query("j42_rt_agreement", f"""WITH {BASE}, s AS (SELECT study_id, group_id, p_partkey, {SUMNAME} AS sp, 5e0 + carbons * 0.1e0 + (p_partkey % 5) * 0.2e0 AS rt FROM groups WHERE name IS NOT NULL),
+p AS (SELECT study_id, sp, median(rt) AS there FROM s WHERE p_partkey % 2 = 0 GROUP BY ALL), o AS (SELECT study_id, sp, arg_min((rt, p_partkey % 5), group_id) AS x FROM s GROUP BY ALL),
+d AS (SELECT study_id, abs(x[1] - there) AS d, x[2] >= 2 AS flagged FROM o JOIN p USING (study_id, sp))
+SELECT study_id, count(*) AS shared, round(median(d), 6) AS median_gap, round(max(d), 6) AS max_gap, round(avg(CASE WHEN d > 0.5 THEN 0 ELSE 1 END), 6) AS within, count_if(flagged) AS flagged, count_if(flagged AND d > 0.5) AS flagged_bad, count_if(NOT flagged) AS clean, count_if(NOT flagged AND d > 0.5) AS clean_bad FROM d GROUP BY ALL""")
 def j42r(spark, d):
     g = S.groups(spark, d).filter("name IS NOT NULL").withColumn("rt", F.expr("5e0 + carbons * 0.1e0 + (p_partkey % 5) * 0.2e0")).withColumn("rt_z", (F.col("p_partkey") % 5).cast("double"))
     out = C.rt_agreement(g, g.filter("p_partkey % 2 = 0").select("study_id", "name", "rt"))
