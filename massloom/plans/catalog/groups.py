@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from massloom.functions import ions
+from massloom.functions.peaks import FWHM_TO_SIGMA, GAUSS_BASE
 from massloom.operators import groups as G
 from massloom.plans import standin as S
 from massloom.plans.catalog.acquisition import area_groups
@@ -179,7 +180,24 @@ def hits(spark, d):
         "array(named_struct('name', concat(name, ' ', adduct), 'share', cast(60 + group_id % 41 AS int)), named_struct('name', concat('PC 16:0_18:1 ', adduct), 'share', cast(40 - group_id % 41 AS int))) AS components")
 
 
-@query("j7_associate")
+def _relative(fwhm: str, apex: str, t: str) -> str:
+    x = f"(floor(({t} - {apex}) / ({fwhm} / 12e0) + 0.5e0) / 12e0)"
+    return f"""CASE WHEN {fwhm} > 0 AND {t} - {apex} >= -3e0 * {fwhm} AND {t} - {apex} <= {71 / 12 - 3!r}::double * {fwhm} THEN pow({GAUSS_BASE!r}::double, -({x} * {x}) / {2.0 / FWHM_TO_SIGMA ** 2!r}::double) ELSE 0.001e0 END"""
+
+
+ASSOCIATED = f"""{FEAT}, k AS (SELECT f.study_id, f.polarity, f.injection, f.group_id * 2 + copy AS ms2_id, CASE WHEN (f.group_id + f.run_order) % 9 = 0 THEN regexp_replace(g.name, '(\\d+):(\\d+)$', '20:2') ELSE g.name END || ' ' || g.adduct AS name,
+  f.mz * (1 + (copy * 30 - 3) * 1e-6) AS prec, f.rt_measured + copy * 0.02e0 + CASE WHEN f.group_id % 31 = 0 THEN 0.5e0 ELSE 0e0 END AS rt, g.dot + 20 * copy AS dot, g.dot + 150 AS reverse_dot
+  FROM ft f JOIN groups g USING (study_id, polarity, group_id) CROSS JOIN (VALUES (0), (1)) c(copy) WHERE g.name IS NOT NULL),
+rw AS (SELECT study_id, polarity, avg(fwhm) AS w FROM groups GROUP BY ALL),
+cd AS (SELECT k.*, f.group_id, f.mz AS f_mz, f.rt_aligned AS f_rt, f.fwhm, f.area, g.rt AS group_rt, w FROM k JOIN ft f ON f.study_id = k.study_id AND f.polarity = k.polarity AND f.injection = k.injection AND abs(k.prec - f.mz) / f.mz * 1e6 < 20 AND abs(k.rt - f.rt_measured) <= f.fwhm * 2
+  JOIN groups g ON g.group_id = f.group_id JOIN rw ON rw.study_id = k.study_id AND rw.polarity = k.polarity WHERE k.dot > 500 AND k.reverse_dot > 700 AND abs(prec - g.mz) / g.mz * 1e6 < 20 AND abs(k.rt - f.rt_aligned) <= 1
+  AND floor(g.rt / 0.1e0) BETWEEN floor((k.rt - w * 3) / 0.1e0) AND floor((k.rt + w * 3) / 0.1e0)),
+fr AS (SELECT * FROM cd WHERE NOT EXISTS (SELECT 1 FROM ft n WHERE n.study_id = cd.study_id AND n.polarity = cd.polarity AND n.injection = cd.injection AND n.group_id <> cd.group_id AND abs(cd.f_mz - n.mz) / n.mz * 1e6 < 5 AND abs(cd.f_rt - n.rt_aligned) < w * 6
+  AND n.area * {_relative('n.fwhm', 'n.rt_aligned', 'cd.rt')} > cd.area * {_relative('cd.fwhm', 'cd.f_rt', 'cd.rt')})),
+asc_ AS (SELECT study_id, polarity, injection, ms2_id, arg_min((group_id, {_relative('fwhm', 'f_rt', 'rt')}), (group_rt, group_id)) AS b FROM fr GROUP BY ALL)"""
+
+
+@query("j7_associate", f"WITH {ASSOCIATED} SELECT study_id, polarity, injection, ms2_id, b[1] AS group_id, round(b[2], 6) AS weight FROM asc_")
 def j7(spark, d):
     out = G.associate(hits(spark, d), features(spark, d), S.groups(spark, d))
     return out.select("study_id", "polarity", "injection", "ms2_id", "group_id", F.round("weight", 6).alias("weight"))
@@ -223,7 +241,28 @@ def a4(spark, d):
     return G.weighted_purity(n, G.vote_sum_name(n)).select("study_id", "polarity", "group_id", F.round("group_purity", 9).alias("group_purity"), "purity_weight")
 
 
-@query("p24_reported_name")
+def _chains(x: str) -> str:
+    return f"(split_part({x}, ' ', 1) || '|' || array_to_string(list_sort(string_split(split_part({x}, ' ', 2), '_')), '_'))"
+
+
+def _summed(x: str) -> str:
+    return "(" + SUMNAME.replace("name", x) + ")"
+
+
+REPORTED = f"""{HITS}, ca AS (SELECT h.study_id, h.polarity, h.group_id, h.name AS lipid_name, count(*) AS spectra, min((injection, ms2_id)) AS arr, bool_or(optimal) AS pref FROM hs h SEMI JOIN vote USING (study_id, polarity, group_id, sum_name) GROUP BY ALL),
+tp AS (SELECT study_id, polarity, group_id, lipid_name AS top_name FROM (SELECT *, row_number() OVER (PARTITION BY study_id, polarity, group_id ORDER BY pref DESC, spectra DESC, arr) AS rn FROM ca) z WHERE rn = 1),
+ro AS (SELECT h.* FROM hs h SEMI JOIN vote USING (study_id, polarity, group_id, sum_name) WHERE optimal),
+cm AS (SELECT study_id, polarity, group_id, weight, gname AS comp, floor(share * weight + 0.5) AS v, (injection, ms2_id, 0) AS arr FROM ro UNION ALL SELECT study_id, polarity, group_id, weight, 'PC 16:0_18:1', floor((100 - share) * weight + 0.5), (injection, ms2_id, 1) FROM ro),
+sm AS (SELECT study_id, polarity, group_id, comp, sum(v) AS v, sum(weight) AS w, min(arr) AS arr FROM cm GROUP BY ALL),
+pu AS (SELECT study_id, polarity, group_id, arg_min(comp, (-v, arr)) AS top_comp, max(v) / sum(w) AS gp, count(*) AS n, sum(v) AS total FROM sm GROUP BY ALL),
+rp AS (SELECT *, CASE WHEN coalesce(gp, 0) < 75 OR (60 + group_id % 41 < 75 AND top_name <> sum_name) THEN sum_name ELSE top_name END AS name FROM vote JOIN tp USING (study_id, polarity, group_id) LEFT JOIN pu USING (study_id, polarity, group_id))"""
+
+
+@query("p24_reported_name", f"""WITH {REPORTED}, own AS (SELECT DISTINCT study_id, polarity, group_id FROM rp JOIN sm USING (study_id, polarity, group_id) WHERE {_chains('sm.comp')} = {_chains('rp.name')})
+SELECT rp.study_id, rp.polarity, rp.group_id, rp.name, split_part(top_name, ' ', 1) AS lipid_class,
+  CASE WHEN rp.name NOT LIKE '%\\_%' ESCAPE '\\' THEN '' WHEN top_comp IS NULL THEN 'not eligible' WHEN own.group_id IS NOT NULL THEN 'fragments' ELSE 'library name' END AS chain_evidence,
+  CASE WHEN top_comp IS NULL THEN '' WHEN top_comp = rp.name OR {_chains('top_comp')} = {_chains('rp.name')} OR {_summed('top_comp')} = {_summed('rp.name')} THEN 'self' ELSE top_comp END AS purity_source
+FROM rp LEFT JOIN own USING (study_id, polarity, group_id)""")
 def p24(spark, d):
     n = named(spark, d)
     v = G.vote_sum_name(n)
@@ -231,7 +270,10 @@ def p24(spark, d):
     return out.select("study_id", "polarity", "group_id", "name", "lipid_class", "chain_evidence", "purity_source")
 
 
-@query("a8_support_scores_adduct")
+@query("a8_support_scores_adduct", f"""WITH {REPORTED}, x AS (SELECT h.*, f.mz AS lib_mz, g.mz AS quant, g.adduct, g.dot AS gd FROM hs h JOIN rp USING (study_id, polarity, group_id, sum_name) JOIN ft f USING (study_id, polarity, group_id, injection) JOIN groups g USING (study_id, polarity, group_id)
+  WHERE rp.name = h.sum_name OR h.name = rp.top_name),
+s AS (SELECT study_id, polarity, group_id, count(*) AS ms2_spectra, count(DISTINCT injection) AS ms2_files, max(dot)::double AS dot, (max(gd) + 150)::double AS reverse_dot, cast(max(share) AS int) AS purity, any_value(adduct) AS adducts, any_value(quant) AS quant, arg_min(lib_mz, abs(lib_mz - quant)) AS theo FROM x GROUP BY ALL)
+SELECT * EXCLUDE (quant, theo), round(theo, 6) AS theoretical_mz, round((quant - theo) / theo * 1e6, 6) AS mass_error_ppm FROM s""")
 def a8(spark, d):
     n = named(spark, d)
     v = G.vote_sum_name(n)
@@ -241,14 +283,16 @@ def a8(spark, d):
                       F.round("theoretical_mz", 6).alias("theoretical_mz"), F.round("mass_error_ppm", 6).alias("mass_error_ppm"))
 
 
-@query("k3_spectral_components")
+@query("k3_spectral_components", f"""WITH {REPORTED} SELECT sm.study_id, sm.polarity, sm.group_id, rp.name, comp AS component, round(v / total * 100, 2) AS share, CASE WHEN {_summed('rp.name')} = {_summed('comp')} THEN 'yes' ELSE 'no' END AS isomer,
+  cast(row_number() OVER (PARTITION BY sm.study_id, sm.polarity, sm.group_id ORDER BY v DESC, comp) AS int) AS component_rank FROM sm JOIN rp USING (study_id, polarity, group_id) WHERE n >= 2 AND total > 0""")
 def k3(spark, d):
     n = named(spark, d)
     v = G.vote_sum_name(n)
     return G.spectral_components(G.reported_name(v, G.pool_candidates(n, v), G.weighted_purity(n, v)))
 
 
-@query("k2_associated_spectra")
+@query("k2_associated_spectra", f"""WITH {ASSOCIATED} SELECT k.study_id, k.polarity, k.injection, k.ms2_id, 1::int AS rank, k.name, coalesce(b[1]::varchar, '') AS group_ids, CASE WHEN b IS NULL THEN '' ELSE 'Associated' END AS associated
+FROM k LEFT JOIN asc_ USING (study_id, polarity, injection, ms2_id)""")
 def k2(spark, d):
     h = hits(spark, d)
     out = G.with_links(h, G.associate(h, features(spark, d), S.groups(spark, d)))

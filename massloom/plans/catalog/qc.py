@@ -6,7 +6,7 @@ from massloom.operators import qc as K
 from massloom.operators import matrix as M
 from massloom.plans import standin as S
 from massloom.plans.catalog.matrix import CELLS
-from massloom.plans.registry import query
+from massloom.plans.registry import ORACLES, query
 
 
 def named_groups(spark, d):
@@ -229,7 +229,9 @@ def a32(spark, d):
     return r(K.profile_screen(S.areas(spark, d), S.injections(spark, d)), 9, "rho").drop("run_order")
 
 
-@query("a34_verdict")
+@query("a34_verdict", f"""WITH p AS ({ORACLES['a21_precision']}), dr AS ({ORACLES['w10_run_order_drift']}), ps AS ({ORACLES['a32_profile_screen']}),
+f AS (SELECT study_id, polarity, count_if(below_sample_band AND role <> 'blank') AS failed FROM ps GROUP BY ALL), j AS (SELECT *, CASE WHEN tested > 0 THEN drifting / tested ELSE 0 END AS share FROM p LEFT JOIN dr USING (study_id, polarity) LEFT JOIN f USING (study_id, polarity))
+SELECT study_id, polarity, median_pool_cv, round(share, 6) AS drift_share, coalesce(failed, 0) AS failed, CASE WHEN NOT usable THEN 'cannot be assessed' WHEN median_pool_cv > 30 OR share > 0.3 OR failed > 0 THEN 'not fit' ELSE 'fit' END AS verdict FROM j""")
 def a34(spark, d):
     g, a, i = S.groups(spark, d), S.areas(spark, d), S.injections(spark, d)
     out = K.verdict(K.precision(g, a, i), K.run_order_drift(a, i), K.profile_screen(a, i))
