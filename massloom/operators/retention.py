@@ -214,7 +214,7 @@ def ladders(edges: DataFrame, low: str, high: str) -> DataFrame:
     """
     steps = edges.select(*RUN, F.col(low).alias("node"), F.array(high).alias("rungs"), F.col(high).alias("tail"))
     while True:
-        steps = cut_lineage(steps.select(*[F.col(c).alias(c) for c in steps.columns]))
+        steps = cut_lineage(steps)
         onward = steps.select(*[F.col(c).alias(c) for c in RUN], F.col("node").alias("tail"), F.col("rungs").alias("more"), F.col("tail").alias("end"))
         longer = steps.join(onward, [*RUN, "tail"], "left")
         if longer.filter("end IS NOT NULL").isEmpty():

@@ -244,11 +244,6 @@ def align_rt(features: DataFrame, ppm: float = 10.0, window: float = 0.5, least:
             .withColumn("aligned", good | (F.col("injection") == F.col("ref"))).drop("ref", "n_pairs", "slope", "intercept", "rt"))
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Checkpoint under fresh column identities, so that it may be joined with what it came from."""
-    return cut_lineage(df.select(*[F.col(c).alias(c) for c in df.columns]))
-
-
 def link_features(features: DataFrame, ppm: float = 10.0, window: float = 0.25) -> DataFrame:
     """Features with a run-wide ``link``: the injection and feature_id of the group's centre.
 
@@ -263,7 +258,7 @@ def link_features(features: DataFrame, ppm: float = 10.0, window: float = 0.25)
     cell = ["__x", "__y"]
     spot = [(F.floor(F.log("mz") / F.lit(reach))).alias("__x"), F.floor(F.col("rt_aligned") / F.lit(window)).alias("__y")]
     rank = F.struct((-F.col("area")).alias("n"), "feature_id", "injection", "mz", F.col("rt_aligned").alias("rt"))
-    free = _cut(features.select(*RUN, *spot, "injection", "feature_id", "mz", "rt_aligned", rank.alias("__rank")))
+    free = cut_lineage(features.select(*RUN, *spot, "injection", "feature_id", "mz", "rt_aligned", rank.alias("__rank")))
     around = F.explode(F.expr("flatten(transform(sequence(-1, 1), x -> transform(sequence(-1, 1), y -> struct(__x + x AS x, __y + y AS y))))"))
     done = None
     while not free.isEmpty():
@@ -276,9 +271,9 @@ def link_features(features: DataFrame, ppm: float = 10.0, window: float = 0.25)
         near = near.filter((off_mz <= 1) & (off_rt <= 1)).withColumn("d", off_mz * off_mz + off_rt * off_rt)
         mine = near.groupBy(*INJ, "feature_id").agg(F.min(F.struct("d", "c", "__rank")).alias("m")).select(*INJ, "feature_id", "m.*")
         kept = mine.groupBy(*INJ, "c").agg(F.min(F.struct("d", "__rank")).alias("k")).select(*INJ, F.col("k.__rank.feature_id").alias("feature_id"), F.concat_ws("/", "c.injection", F.col("c.feature_id").cast("string")).alias("link"))
-        kept = _cut(kept)
+        kept = cut_lineage(kept)
         done = kept if done is None else done.union(kept)
-        free = _cut(free.join(kept, [*INJ, "feature_id"], "left_anti"))
+        free = cut_lineage(free.join(kept, [*INJ, "feature_id"], "left_anti"))
     if done is None:
         return features.withColumn("link", F.lit(None).cast("string"))
     return features.join(done, [*INJ, "feature_id"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "massloom", master: str | None = None, **conf) -> SparkSession:
@@ -52,9 +53,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df`` in the shared folder."""
+    """Reliable checkpoint of ``df`` in the shared folder, under fresh column identities, so that it may be joined with
+    what it came from."""
     spark = df.sparkSession
     folder = shared_folder(spark)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return df.select(*[F.col(f"`{c}`").alias(c) for c in df.columns]).checkpoint(eager=True)
