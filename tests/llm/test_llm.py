@@ -10,7 +10,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from massloom.llm import bpe, chat, decontaminate, language, pii, quality, secrets, simhash, substring
+from massloom.llm import bpe, chat, decontaminate, language, near_dedup, pii, quality, secrets, simhash, substring
 from massloom.llm.exact_dedup import exact_dedup
 from massloom.llm.graph import components
 from massloom.llm.queries import tokenizer_path
@@ -250,3 +250,36 @@ def test_pipeline_stages(spark, tmp_path):
     got = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     near_pair = (brute_print(rows[2][1]) ^ brute_print(rows[3][1])).bit_count() <= 2
     assert set(got) == ({2, 3, 8} if near_pair else {2, 3, 4, 8}) and all(r.round_trip for r in got.values())
+
+
+def test_jaccard_groups_by_brute_force(spark, docs, empty):
+    r = random.Random(8)
+    rows = [(None, None), (1, ""), (2, " \n"), (3, "one two"), (4, "ONE two"), (5, "one three")]
+    for g in range(12):
+        text = prose(200, 1000 + g).split()
+        for _ in range(6):
+            rows.append((len(rows), " ".join(text)))
+            for _ in range(r.randint(1, 4)):
+                text[r.randrange(len(text))] = "changed"
+    line = prose(20, 77)
+    rows += [(len(rows) + k, f"{prose(40, 2000 + k)} {line}") for k in range(20)]
+    sets = [near_dedup.shingles(t or "") for _, t in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) * 5 >= len(sets[i] | sets[j]) * 4:
+                a, b = root[i], root[j]
+                root = [b if x == a else x for x in root]
+    least = {x: min((rows[k][0] for k in range(len(rows)) if root[k] == x and rows[k][0] is not None), default=None) for x in root}
+    frame = spark.createDataFrame([(i, t, "", "", 0, "", "", "") for i, t in rows], SCHEMA).repartition(3)
+    got = {r.doc_id: r.component_id for r in near_dedup.jaccard_groups(frame).collect()}
+    assert got == {rows[k][0]: least[root[k]] for k in range(len(rows))}
+    assert near_dedup.jaccard_groups(docs).count() == len(TEXTS) and near_dedup.jaccard_groups(empty).count() == 0
+
+
+def test_near_stage_links_edited_copies(spark):
+    text = prose(200, 31).split()
+    copy = [*text[:50], "changed", *text[51:120], "changed", *text[121:]]
+    frame = spark.createDataFrame([(1, " ".join(text)), (2, " ".join(copy)), (3, prose(200, 32))], "doc_id long, text string")
+    assert (simhash.fingerprint(" ".join(text)) ^ simhash.fingerprint(" ".join(copy))).bit_count() > simhash.BUDGET
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, frame, "").collect()) == [1, 3]
