@@ -1,4 +1,4 @@
-"""Duplicate passages by relative Lempel-Ziv parsing against indexed reference blocks."""
+"""Duplicate passages by content-defined blocks and window hashes."""
 
 from __future__ import annotations
 
@@ -211,10 +211,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Every text without the words of passages (13 words or more) that also start in a document with a smaller doc_id.
 
     Every document is cut into content-defined reference blocks, and all blocks are indexed by anchor and content
-    with the smallest doc_id that has them. A document is then parsed against the whole index: a block whose
-    content occurs earlier extends the current factor. At the ends of a factor, where blocks share an anchor but
-    not all of their words, the single windows of each block's first document are looked up. What the factors cover
-    is removed.
+    with the smallest doc_id that has them. An equality join marks the blocks of a document whose content occurs
+    earlier. Where blocks share an anchor but not all of their words, the single windows of each block's first
+    document are joined by their hashes. What the marked windows cover is removed. This stands in for greedy relative
+    Lempel-Ziv factoring, which would need the reference text in the task of each document.
 
     Blocks are summed up in each task before they are sent, so a passage that a third of the documents carry
     costs a row per task. Contents are compared by 128 bits of hash (64 of the anchor, 64 of the rest).
