@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 import re
 import string
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,6 +24,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IDENTIFIER = re.compile(r"[A-Za-z0-9]+(?:[-./_:][A-Za-z0-9]+)*")
 #: Distinct seeds that a pattern needs, the confidence that makes it count, rounds of scoring, patterns looked for in one scan.
 LEAST_SEEDS, CONFIDENCE, ROUNDS, BLOCK_PATTERNS = 5, 0.8, 3, 200_000
+#: Distinct ordinary words of contexts held in a task before they are sent.
+FLUSH = 200_000
 _MARK = "\x00"
 _EDGE = "^"
 
@@ -119,10 +120,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def _fillers(docs: DataFrame, patterns: list[tuple[str, str, str]]) -> DataFrame:
-    """What else stands in the given contexts: a row for each identifier with its place, and the number of other words."""
+    """What else stands in the given contexts: a row for each identifier with its place, and the distinct other words (column word)."""
     sent = docs.sparkSession.sparkContext.broadcast({f: {p[1:] for p in patterns if p[0] == f} for f in ("before", "around")})
-    names = ["form", "c1", "c2", "value", "doc_id", "text_key", "start", "end", "n"]
-    kinds = [*[pa.string()] * 4, *[pa.int64()] * 2, pa.int32(), pa.int32(), pa.int64()]
+    names = ["form", "c1", "c2", "value", "doc_id", "text_key", "start", "end", "word"]
+    kinds = [*[pa.string()] * 4, *[pa.int64()] * 2, pa.int32(), pa.int32(), pa.string()]
+
+    def ordinary(plain: set[tuple[str, str, str, str]]) -> pa.RecordBatch:
+        rows = [(*context, None, None, None, None, None, word) for *context, word in plain]
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     def shaped(word: str) -> re.Match | None:
         m = _IDENTIFIER.search(word) if sum(c.isdigit() for c in word) >= 2 else None
@@ -130,7 +135,7 @@ def _fillers(docs: DataFrame, patterns: list[tuple[str, str, str]]) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, around = sent.value["before"], sent.value["around"]
-        plain: Counter = Counter()
+        plain: set[tuple[str, str, str, str]] = set()
         for part in slices(batches):
             rows = []
             for doc_id, text, key in zip(*(c.to_pylist() for c in part.columns), strict=True):
@@ -147,19 +152,21 @@ def _fillers(docs: DataFrame, patterns: list[tuple[str, str, str]]) -> DataFrame
                     if shaped(words[k]):
                         wanted.setdefault(k, []).append((form, *p))
                     else:
-                        plain[form, *p] += 1
+                        plain.add((form, *p, words[k]))
                 if wanted:
                     for k, (start, word) in enumerate(_word_places(text, spans)):
                         for context in wanted.get(k, ()):
                             m = shaped(word)
-                            rows.append((*context, m.group(), doc_id, key, start + m.start(), start + m.end(), 1))
+                            rows.append((*context, m.group(), doc_id, key, start + m.start(), start + m.end(), None))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+            if len(plain) >= FLUSH:
+                yield ordinary(plain)
+                plain.clear()
         if plain:
-            rows = [(*context, None, None, None, None, None, n) for context, n in plain.items()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+            yield ordinary(plain)
 
-    return docs.select("doc_id", "text", "text_key").mapInArrow(run, "form string, c1 string, c2 string, value string, doc_id long, text_key long, start int, end int, n long")
+    return docs.select("doc_id", "text", "text_key").mapInArrow(run, "form string, c1 string, c2 string, value string, doc_id long, text_key long, start int, end int, word string")
 
 
 def _word_places(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, str]]:
@@ -182,14 +189,14 @@ def _score(seeds: DataFrame, fillers: DataFrame, rounds: int, confidence: float)
     """form, c1, c2, kind_no, value of the identifiers that confident patterns vouch for.
 
     The graph joins patterns (context and kind) with the values in their slot. A pattern's score is the share of
-    its slot values that count: its own kind's seeds count 1, other kinds' seeds and ordinary words 0, unseen
+    its distinct slot values that count: its own kind's seeds count 1, other kinds' seeds and ordinary words 0, unseen
     identifiers their score so far. An identifier's score is the chance that not all of its patterns err.
     """
     context = ["form", "c1", "c2"]
     own = seeds.groupBy(*context, "kind_no").agg(F.count("*").alias("good"))
     every = own.groupBy(*context).agg(F.sum("good").alias("seeded"))
     unseen = fillers.filter("value IS NOT NULL").select(*context, F.lower("value").alias("value")).distinct()
-    ordinary = fillers.filter("value IS NULL").groupBy(*context).agg(F.sum("n").alias("plain"))
+    ordinary = fillers.filter("value IS NULL").select(*context, "word").distinct().groupBy(*context).agg(F.count("*").alias("plain"))
     width = unseen.groupBy(*context).agg(F.count("*").alias("open"))
     patterns = own.join(every, context).join(ordinary, context, "left").join(width, context, "left")
     patterns = written(patterns.select(*context, "kind_no", "good", (F.col("seeded") + F.coalesce("plain", F.lit(0)) + F.coalesce("open", F.lit(0))).alias("slots")))

@@ -283,3 +283,11 @@ def test_near_stage_links_edited_copies(spark):
     frame = spark.createDataFrame([(1, " ".join(text)), (2, " ".join(copy)), (3, prose(200, 32))], "doc_id long, text string")
     assert (simhash.fingerprint(" ".join(text)) ^ simhash.fingerprint(" ".join(copy))).bit_count() > simhash.BUDGET
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, frame, "").collect()) == [1, 3]
+
+
+def test_pii_copies_weigh_once(spark):
+    rows = [(k, f"{prose(5, k)} reach me at user{k}@x.com today", *["x"] * 2, 0, "", "", "") for k in range(12)]
+    rows += [(50, "please reach me at user-77-on-chat2 today", *["x"] * 2, 0, "", "", "")]
+    rows += [(100 + k, "please reach me at home today", *["x"] * 2, 0, "", "", "") for k in range(100)]
+    got = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [(s.start, s.kind_no, s.end) for s in got[50].spans] == [(19, 0, 35)] and got[100].spans == []
