@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from massloom.llm.common import keyed, slices
 
-#: Words of a passage; a text of more than MOST passages has longer ones, so it is encoded whole in bounded memory.
+#: Words of a passage, whatever the length of the text; passages that a labelled document teaches at most.
 PASSAGE, MOST = 64, 64
+#: Passages weighed at once.
+BLOCK = 2048
 #: Hashed trigrams of character classes, and statistics beside them.
 SHAPES, STATISTICS = 96, 8
 WIDTH = SHAPES + STATISTICS
@@ -55,12 +57,11 @@ def encode_passages(text: str) -> np.ndarray:
     if not len(starts):
         return np.zeros((1, WIDTH), dtype=np.float32)
     n = len(starts)
-    length = max(PASSAGE, -(-n // MOST))
-    passages = -(-n // length)
+    passages = -(-n // PASSAGE)
     begins = np.zeros(len(codes), dtype=np.int64)
     begins[starts] = 1
     word_of = np.cumsum(begins) - 1
-    passage_of = np.maximum(word_of, 0) // length
+    passage_of = np.maximum(word_of, 0) // PASSAGE
     padded = np.concatenate([[0], kind, [0]])
     shape = (padded[:-2] * 4096 + padded[1:-1] * 64 + padded[2:]) * 0x9E3779B1 % (1 << 32) >> 12
     counts = np.bincount(passage_of * SHAPES + shape % SHAPES, minlength=passages * SHAPES).reshape(passages, SHAPES)
@@ -70,7 +71,7 @@ def encode_passages(text: str) -> np.ndarray:
     sizes = ends - starts
     weight = np.where(inside, (codes.astype(np.uint64) + np.uint64(7)) * _POWERS[(np.arange(len(codes)) - starts[np.maximum(word_of, 0)]) % 32], 0)
     word = np.add.reduceat(weight, starts)
-    own = np.arange(n) // length
+    own = np.arange(n) // PASSAGE
     per = np.bincount(own, minlength=passages)
 
     def mean(values: np.ndarray) -> np.ndarray:
@@ -112,11 +113,42 @@ class Model:
     def standard(self, features: np.ndarray) -> np.ndarray:
         return np.clip((features - self.mean) / self.scale, -8, 8).astype(np.float64)
 
-    def score(self, documents: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Score and attention of each document."""
-        first = np.cumsum([0, *[len(d) for d in documents[:-1]]])
-        f = self.forward(self.standard(np.concatenate(documents)), first)
-        return f["score"], np.split(f["attention"], first[1:])
+    def score(self, documents: Iterable[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Score and attention of each document; those of up to BLOCK passages together, longer ones block by block."""
+        values, weights, held = [], [], []
+
+        def settle() -> None:
+            if held:
+                first = np.cumsum([0, *[len(d) for d in held[:-1]]])
+                f = self.forward(self.standard(np.concatenate(held)), first)
+                values.extend(f["score"])
+                weights.extend(np.split(f["attention"], first[1:]))
+                held.clear()
+
+        for d in documents:
+            if sum(map(len, held)) + len(d) > BLOCK:
+                settle()
+            if len(d) > BLOCK:
+                value, weight = self.stream(d)
+                values.append(value)
+                weights.append(weight)
+            else:
+                held.append(d)
+        settle()
+        return np.array(values), weights
+
+    def stream(self, document: np.ndarray, block: int = BLOCK) -> tuple[float, np.ndarray]:
+        """Score and attention of one document from a running maximum, sum and weighted encoding over its blocks."""
+        w, top, total, z, raws = self.weights, -np.inf, 0.0, np.zeros(HIDDEN), []
+        for at in range(0, len(document), block):
+            h = np.tanh(self.standard(document[at:at + block]) @ w["E"] + w["e"])
+            raw = (np.tanh(h @ w["V"]) / (1 + np.exp(-(h @ w["U"])))) @ w["a"]
+            new = max(top, raw.max())
+            e, past = np.exp(raw - new), np.exp(top - new)
+            top, total, z = new, total * past + e.sum(), z * past + e @ h
+            raws.append(raw)
+        logit = z / total @ w["c"] + w["d"][0]
+        return float(1 / (1 + np.exp(-np.clip(logit, -30, 30)))), np.exp(np.concatenate(raws) - top) / total
 
 
 def fit(documents: list[np.ndarray], labels: np.ndarray) -> Model:
@@ -159,11 +191,16 @@ def fit(documents: list[np.ndarray], labels: np.ndarray) -> Model:
     return model
 
 
+def _spaced(features: np.ndarray) -> np.ndarray:
+    """MOST passages at even distances of a document to learn from, all of them if there are no more."""
+    return features if len(features) <= MOST else features[np.linspace(0, len(features) - 1, MOST).astype(np.int64)]
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", *, sample_docs: int = SAMPLE_DOCS) -> Model | None:
     """A model from the labelled documents given; None without a label of both kinds.
 
     Learns from the ``sample_docs`` labelled ids with the smallest hash, half of them of either label as far as there
-    are any. Their passages (MOST feature rows a document at most) are all that the driver gets. Null labels and labels other than
+    are any. Their passages (MOST of a document, at even distances) are all that the driver gets. Null labels and labels other than
     0 and 1 teach nothing; an id with both labels counts as 0; an id on several documents labels each.
     """
     marks = labels.select(F.col(id_col).cast("long").alias("i"), F.col(label_col).cast("int").alias("label")).filter("i IS NOT NULL AND label IN (0, 1)").groupBy("i").agg(F.min("label").alias("label"))
@@ -173,7 +210,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            found = [encode_passages(t) for t in part.column(2).to_pylist()]
+            found = [_spaced(encode_passages(t)) for t in part.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([f.tobytes() for f in found], pa.binary())], ["doc_id", "label", "features"])
 
     rows = keyed(docs, id_col, text_col)
@@ -188,7 +225,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = THRESHOLD) -> DataFrame:
     """Quality of every whole text.
 
-    Every passage is encoded, gated attention weighs the passages of a document, and the weighted sum is scored.
+    Every passage of 64 words is encoded, gated attention weighs the passages of a document, and the weighted sum is scored.
     Result: doc_id, text_key, score (0 to 1, higher: label 1 likelier), predicted (1 if score >= threshold), n_passages,
     attention (weight of each passage). One row per row of the input; null and empty texts are one passage of zeros;
     without a model every score is 0.5. An empty table gives no rows.
@@ -197,10 +234,14 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 64):
-            found = [encode_passages(t) for t in part.column(1).to_pylist()]
-            values, weights = sent.value.score(found) if sent.value else (np.full(len(found), 0.5), [np.full(len(f), 1 / len(f)) for f in found])
+            found = map(encode_passages, part.column(1).to_pylist())
+            if sent.value:
+                values, weights = sent.value.score(found)
+            else:
+                weights = [np.full(len(f), 1 / len(f)) for f in found]
+                values = np.full(len(weights), 0.5)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(2), pa.array(values), pa.array((values >= threshold).astype(np.int32)), pa.array([len(f) for f in found], pa.int32()), pa.array([w.tolist() for w in weights], pa.list_(pa.float64()))],
+                [part.column(0), part.column(2), pa.array(values), pa.array((values >= threshold).astype(np.int32)), pa.array([len(w) for w in weights], pa.int32()), pa.array([w.tolist() for w in weights], pa.list_(pa.float64()))],
                 ["doc_id", "text_key", "score", "predicted", "n_passages", "attention"])
 
     return keyed(docs, id_col, text_col).mapInArrow(run, "doc_id long, text_key long, score double, predicted int, n_passages int, attention array<double>")

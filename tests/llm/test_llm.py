@@ -291,3 +291,18 @@ def test_pii_copies_weigh_once(spark):
     rows += [(100 + k, "please reach me at home today", *["x"] * 2, 0, "", "", "") for k in range(100)]
     got = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert [(s.start, s.kind_no, s.end) for s in got[50].spans] == [(19, 0, 35)] and got[100].spans == []
+
+
+def test_quality_passages_of_long_texts():
+    text = prose(64 * 100, 61)
+    whole = quality.encode_passages(text)
+    assert len(whole) == 100 and abs(whole[50, quality.SHAPES + 3] - len(set(text.split()[3200:3264])) / 64) < 1e-6
+    assert len(quality._spaced(whole)) == quality.MOST
+    r = np.random.default_rng(3)
+    model = quality.fit([r.random((3, quality.WIDTH), dtype=np.float32) for _ in range(20)], np.arange(20) % 2)
+    (value,), (weights,) = model.score([whole])
+    for block in (1, 7, 100):
+        v, w = model.stream(whole, block)
+        assert abs(v - value) < 1e-12 and np.allclose(w, weights, atol=1e-12)
+    values, parts = model.score([whole, whole[:1], np.tile(whole, (30, 1))])
+    assert np.allclose(values[[0, 2]], value) and [len(p) for p in parts] == [100, 1, 3000]
