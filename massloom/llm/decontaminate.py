@@ -18,7 +18,7 @@ from massloom.llm.common import keyed, slices
 
 #: Words of a window, and how many of them must agree.
 WINDOW, SIMILARITY = 13, 0.8
-#: Benchmark items with fewer words than this are no evidence; those shorter than a window must occur whole.
+#: Benchmark items with fewer words than this are no evidence; those shorter than a window are one window.
 SHORTEST = 8
 #: Benchmark words searched for in one scan of the documents; larger benchmarks are searched block by block.
 BLOCK_WORDS = 250_000
@@ -89,7 +89,7 @@ class Index:
         for length, places in sorted(starts.items()):
             places = np.array(places, dtype=np.int64)
             seeds = []
-            for kept in masks(window) if length == window else [list(range(length))]:
+            for kept in masks(length):
                 h = seed_hashes(flat, kept, length)[places]
                 order = np.argsort(h, kind="stable")
                 present = np.zeros(1 << _BITS, dtype=bool)
@@ -110,7 +110,7 @@ class Index:
                 for p in np.nonzero(present[(h >> np.uint64(64 - _BITS)).astype(np.int64)])[0]:
                     lo, hi = np.searchsorted(sorted_hashes, h[p], "left"), np.searchsorted(sorted_hashes, h[p], "right")
                     hits.update((int(p), int(q)) for q in places[lo:hi])
-            need = math.ceil(similarity * window) if length == window else length
+            need = math.ceil(similarity * length)
             for p, q in sorted(hits):
                 if int((doc[p:p + length] == self.tokens[q:q + length]).sum()) >= need:
                     own = spans.setdefault(int(self.items[q]), [])
@@ -129,10 +129,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     Verified windows of an item that touch are one overlap. The benchmark is searched in blocks of about
     ``block_words`` words, each a scan of the documents, so what is sent to the tasks has a fixed bound.
 
-    Result: a row for each contaminated document and block: doc_id, text_key, item_ids, n_words, n_covered (words in
+    Result: a row for each contaminated document, whatever the number of blocks: doc_id, text_key, item_ids, n_words, n_covered (words in
     an overlap), overlaps (item_id, start, end in words). Clean documents have no row. Null and empty texts have no
-    words. Repeated rows have a row each; null ids are reported as null. Items under 8 words are no evidence, those of
-    8 to 12 must occur whole. Empty tables give no rows.
+    words. Repeated rows have a row each; null ids are reported as null. Items under 8 words are no evidence; those of
+    8 to 12 are one window, with the same share of agreeing words. Empty tables give no rows.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("text"))
@@ -142,10 +142,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     for k in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).distinct().orderBy("item_id", "text").collect() if blocks > 1 else items.distinct().orderBy("item_id", "text").collect()
         parts.append(_search(docs, spark.sparkContext.broadcast(([r["item_id"] for r in block], Index.of([tuple(r) for r in block]))), id_col, text_col))
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.unionAll(more)
-    return out
+    return parts[0] if blocks == 1 else _merged(parts)
+
+
+def _merged(parts: list[DataFrame]) -> DataFrame:
+    """One row for each contaminated row of the documents, from the results of all blocks.
+
+    Rows of equal doc_id and text have equal results in every block, so they are merged as one and then repeated as often
+    as a block has them.
+    """
+    out = None
+    for k, part in enumerate(parts):
+        part = part.withColumn("block", F.lit(k))
+        out = part if out is None else out.unionAll(part)
+    key = ["doc_id", "text_key"]
+    single = out.groupBy(*key, "block").agg(F.count("*").alias("times"), F.first("n_words").alias("n_words"), F.first("overlaps").alias("overlaps"))
+    whole = single.groupBy(*key).agg(F.max("times").cast("int").alias("times"), F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("overlaps"))).alias("overlaps"))
+    spans = F.array_sort(F.transform("overlaps", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    state = F.struct(F.lit(0).alias("reach"), F.lit(0).cast("long").alias("n"))
+    step = lambda a, s: F.struct(F.greatest(a["reach"], s["end"]).alias("reach"), (a["n"] + F.greatest(F.lit(0), s["end"] - F.greatest(a["reach"], s["start"]))).alias("n"))
+    whole = whole.withColumn("n_covered", F.aggregate(spans, state, step, lambda a: a["n"])).withColumn("item_ids", F.array_distinct(F.transform("overlaps", lambda s: s["item_id"])))
+    return whole.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*key, "item_ids", "n_words", "n_covered", "overlaps")
 
 
 def _search(docs: DataFrame, index, id_col: str, text_col: str) -> DataFrame:
@@ -160,7 +177,7 @@ def _search(docs: DataFrame, index, id_col: str, text_col: str) -> DataFrame:
             out = []
             for doc_id, text, key in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 tokens = words(text, hashes)
-                found = found_in.overlaps(tokens)
+                found = sorted(found_in.overlaps(tokens), key=lambda s: (ids[s[0]] is not None, ids[s[0]] or 0, s[1], s[2]))
                 if found:
                     covered = np.zeros(len(tokens), dtype=bool)
                     for _, a, b in found:

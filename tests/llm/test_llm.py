@@ -285,6 +285,19 @@ def test_near_stage_links_edited_copies(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, frame, "").collect()) == [1, 3]
 
 
+def test_decontamination_merges_blocks(spark):
+    one, two = prose(20, 501), prose(20, 502)
+    short = prose(10, 503).split()
+    both = f"{prose(30, 504)} {one} {two} tail"
+    rows = [(1, both), (1, both), (1, one), (None, both), (2, " ".join([*short[:4], "other", *short[5:]])), (3, " ".join([*short[:7], "a", "b", "c"]))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    items = spark.createDataFrame([(7, one), (8, two), (9, " ".join(short))], "item_id long, text string")
+    flat = lambda n: sorted(((str(r.doc_id), r.text_key, tuple(r.item_ids), r.n_words, r.n_covered, tuple(map(tuple, r.overlaps))) for r in decontaminate.contaminated(frame, items, block_words=n).collect()))
+    whole, parts = flat(250_000), flat(5)
+    assert whole == parts and len(whole) == 5
+    assert sum(r[2] == (7, 8) and r[4] == 40 for r in parts) == 3 and [r[2] for r in parts if r[0] == "2"] == [(9,)]
+
+
 def test_pii_copies_weigh_once(spark):
     rows = [(k, f"{prose(5, k)} reach me at user{k}@x.com today", *["x"] * 2, 0, "", "", "") for k in range(12)]
     rows += [(50, "please reach me at user-77-on-chat2 today", *["x"] * 2, 0, "", "", "")]
