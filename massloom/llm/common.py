@@ -22,13 +22,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, removed when the driver's JVM ends."""
+    """``df`` as a Parquet table in the shared folder, removed when the driver's JVM ends or by ``dropped``."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/massloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Removes ``written`` tables that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:
@@ -58,13 +67,11 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """One row of ``docs``, all columns, for each (doc_id, text_key) in ``kept``."""
-    names = docs.columns
-    key = F.xxhash64(text_of("text"))
-    wanted = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key"))
-    rows = docs.withColumn("_text_key", key)
-    rows = rows.join(wanted, rows["doc_id"].cast("long").eqNullSafe(wanted["_kept_id"]) & (rows["_text_key"] == wanted["_kept_key"]), "left_semi")
-    return rows.dropDuplicates(["doc_id", "_text_key"]).select(*names)
+    """One row of ``docs``, all columns, for each (doc_id, text_key) in ``kept``; columns of any name are left as they are."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(text_of("text")).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    wanted = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
+    rows = rows.join(wanted, rows["id"].eqNullSafe(wanted["kept_id"]) & (rows["key"] == wanted["kept_key"]), "left_semi")
+    return rows.dropDuplicates(["id", "key"]).select("row.*")
 
 
 def in_held_out(doc_id: str = "doc_id") -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from massloom.llm.common import written
+from massloom.llm.common import dropped, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -13,7 +13,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Large-star and small-star rounds alternate until the links are stars around the smallest node. Minima are
     combined before the shuffle; the join that follows is one that adaptive execution splits where a centre is hot.
-    Each round is a written table, so nothing is recomputed when an executor is lost.
+    Each round is a written table, so nothing is recomputed when an executor is lost; a table goes when its successor
+    is written.
     """
     edges = written(links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     size = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -25,7 +26,8 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        edges = written(small.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+        older, edges = edges, written(small.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+        dropped(older, large)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == size:
             break
