@@ -119,8 +119,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return keyed(docs, id_col, text_col).mapInArrow(run, "doc_id long, text_key long, base array<struct<start:int,kind_no:int,end:int>>, seeds array<struct<form:string,c1:string,c2:string,kind_no:int,value:string>>")
 
 
-def _fillers(docs: DataFrame, patterns: list[tuple[str, str, str]]) -> DataFrame:
-    """What else stands in the given contexts: a row for each identifier with its place, and the distinct other words (column word)."""
+def _fillers(docs: DataFrame, patterns: list[tuple[str, str, str]], identifiers: bool) -> DataFrame:
+    """What else stands in the given contexts: a row for each identifier with its place, or the distinct other words (column word)."""
     sent = docs.sparkSession.sparkContext.broadcast({f: {p[1:] for p in patterns if p[0] == f} for f in ("before", "around")})
     names = ["form", "c1", "c2", "value", "doc_id", "text_key", "start", "end", "word"]
     kinds = [*[pa.string()] * 4, *[pa.int64()] * 2, pa.int32(), pa.int32(), pa.string()]
@@ -149,10 +149,11 @@ def _fillers(docs: DataFrame, patterns: list[tuple[str, str, str]]) -> DataFrame
                 for k, form, p in hits:
                     if seen[k] == "#":
                         continue
-                    if shaped(words[k]):
+                    if not shaped(words[k]):
+                        if not identifiers:
+                            plain.add((form, *p, words[k]))
+                    elif identifiers:
                         wanted.setdefault(k, []).append((form, *p))
-                    else:
-                        plain.add((form, *p, words[k]))
                 if wanted:
                     for k, (start, word) in enumerate(_word_places(text, spans)):
                         for context in wanted.get(k, ()):
@@ -213,9 +214,10 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Personal data of every text: the fixed forms, and identifiers that stand where the fixed forms stand.
 
     Seeds are the fixed forms. Their contexts (two words before, or the words on both sides, lower case) with at least
-    ``least_seeds`` distinct seeds of a kind are patterns. The documents are scanned for whatever else stands in
-    those contexts, in blocks of about ``block_patterns`` patterns, so what the driver and the tasks hold at once is bounded. Pattern
-    and instance scores are then renewed in turn for ``rounds`` rounds, as joins; identifier-shaped words (five
+    ``least_seeds`` distinct seeds of a kind are patterns. The documents are scanned for identifiers that stand in
+    those contexts, and for the ordinary words of the contexts that hold any; a context without an identifier can add
+    none and shares no value with another. Scans take about ``block_patterns`` patterns at a time, so what the driver
+    and the tasks hold at once is bounded. Pattern and instance scores are then renewed in turn for ``rounds`` rounds, as joins; identifier-shaped words (five
     letters or digits, two of them digits) in a pattern of at least ``confidence`` are added with the pattern's kind.
 
     Result: doc_id, text_key, base and spans (array of start, kind_no, end in code points, by start and kind; an added
@@ -227,15 +229,24 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     seeds = found.select(F.explode("seeds").alias("s")).select("s.*").distinct()
     context = ["form", "c1", "c2"]
     patterns = written(seeds.groupBy(*context, "kind_no").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= least_seeds).select(*context).distinct())
-    blocks = max(1, math.ceil(patterns.count() / block_patterns))
-    fillers = None
-    for k in range(blocks):
-        part = patterns.filter(F.pmod(F.xxhash64(*context), F.lit(blocks)) == k).collect()
-        if part:
-            some = written(_fillers(rows, [tuple(r) for r in part]))
-            fillers = some if fillers is None else fillers.union(some)
-    if fillers is None:
+
+    def standing(patterns: DataFrame, identifiers: bool) -> DataFrame | None:
+        """In blocks of patterns, each block one scan."""
+        blocks, out = max(1, math.ceil(patterns.count() / block_patterns)), None
+        for k in range(blocks):
+            part = patterns.filter(F.pmod(F.xxhash64(*context), F.lit(blocks)) == k).collect()
+            if part:
+                some = written(_fillers(rows, [tuple(r) for r in part], identifiers))
+                out = some if out is None else out.union(some)
+        return out
+
+    unseen = standing(patterns, True)
+    if unseen is None:
+        return found.select("doc_id", "text_key", "base", F.col("base").alias("spans"))
+    ordinary = standing(written(unseen.select(*context).distinct()), False)
+    if ordinary is None:
         return found.select("doc_id", "text_key", "base", F.col("base").alias("spans"))
+    fillers = unseen.union(ordinary)
     trusted = _score(seeds.join(patterns, context), fillers, rounds, confidence)
     placed = fillers.filter("value IS NOT NULL AND doc_id IS NOT NULL").withColumn("value", F.lower("value")).join(trusted, [*context, "value"])
     added = placed.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.struct("start", "kind_no", "end"))).alias("added"))
