@@ -8,8 +8,6 @@ isolation_target, isolation_lower, has_selection, injection_time, tic.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,15 +15,11 @@ from massloom.functions import names as N
 from massloom.functions.peaks import top_peaks
 from massloom.operators.band import Band, band_exists, band_join, island_bins
 from massloom.operators.matrix import INJ, RUN
+from massloom.operators.series import CH2, REPEATS, assign_series
 
 CLUSTER_PPM, BLANK_TOL = 10.0, 0.01
 MIN_SCANS, MIN_GRADIENT = 5, 0.5
-# ---- fixed values: repeat units of common contaminants ----------------------------------------
-REPEATS = {"polysiloxane": 74.01872, "PEG": 44.02621, "PPG": 58.04186, "PTFE/PFPE": 99.99361,
-           "PFPE": 65.99146, "sodium formate": 67.98738, "sodium acetate": 82.00303}
 DIAGNOSTIC = {"sodium formate": "formate", "sodium acetate": "acetate"}
-CH2, CH2_GUARD = 14.01565, 0.02
-SERIES_TOL, MIN_NAMED, MIN_UNNAMED, UNNAMED_RANGE = 0.01, 3, 4, (20.0, 200.0)
 DIA_WIDTH, DIA_REUSE, ALL_ION_WIDTH = 5.0, 20.0, 100.0
 
 
@@ -68,74 +62,6 @@ def in_blank(rows: DataFrame, blank_precursors: DataFrame, tol: float = BLANK_TO
                        Band("mz", "blank_mz", tol), "in_blank", keys=RUN)
 
 
-def _next_index(mz: np.ndarray, step: float, tol: float) -> np.ndarray:
-    """Index of the mass nearest ``mz + step`` within ``tol`` (the heavier on a tie), or -1."""
-    target = mz + step
-    hi = np.searchsorted(mz, target + tol, side="right") - 1
-    lo = np.searchsorted(mz, target - tol, side="left")
-    out = np.full(len(mz), -1)
-    for i in np.flatnonzero(hi >= lo):
-        window = np.abs(mz[lo[i]:hi[i] + 1] - target[i])
-        best = np.flatnonzero(window == window.min())[-1]
-        if window[best] <= tol:
-            out[i] = lo[i] + best
-    return out
-
-
-def label_series(mz: np.ndarray, repeats: dict[str, float] = REPEATS, tol: float = SERIES_TOL,
-                 discover: bool = True) -> np.ndarray:
-    """Repeat-unit label of each mass (sorted ascending), empty where it belongs to no series."""
-    labels = np.full(len(mz), "", dtype=object)
-
-    def claim(step: float, name: str, least: int) -> bool:
-        free = np.flatnonzero(labels == "")
-        follow = _next_index(mz[free], step, tol)
-        taken = np.zeros(len(free), dtype=bool)
-        for start in range(len(free)):
-            chain, at = [], start
-            while at >= 0 and not taken[at]:
-                chain.append(at)
-                at = follow[at]
-            if len(chain) >= least:
-                taken[chain] = True
-        labels[free[taken]] = name
-        return bool(taken.any())
-
-    for name, step in repeats.items():
-        claim(step, name, MIN_NAMED)
-    while discover:
-        free = mz[labels == ""]
-        lo = np.searchsorted(free, free + UNNAMED_RANGE[0], side="left")
-        hi = np.searchsorted(free, free + UNNAMED_RANGE[1], side="right")
-        steps = np.concatenate([free[a:b] - x for x, a, b in zip(free, lo, hi)] or [np.empty(0)])
-        key = np.round(steps, 2)
-        usable = np.abs(key - np.round(key / CH2) * CH2) > CH2_GUARD
-        steps, key = steps[usable], key[usable]
-        if not len(key):
-            break
-        values, first, counts = np.unique(key, return_index=True, return_counts=True)
-        top = min(np.flatnonzero(counts == counts.max()), key=lambda i: first[i])
-        if counts[top] < MIN_UNNAMED - 1:
-            break
-        step = float(steps[key == values[top]].mean())
-        if not claim(step, f"unnamed d{step:.3f}", MIN_UNNAMED):
-            break
-    return labels
-
-
-def assign_series(rows: DataFrame, keys: list[str] = RUN, discover: bool = True) -> DataFrame:
-    """``rows`` (one per distinct precursor, column ``mz``) plus ``series``.
-
-    The rows of one key are distinct precursors, so their number is bounded by mass range over
-    cluster width whatever the number of scans behind them.
-    """
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("mz", kind="stable").reset_index(drop=True)
-        return pdf.assign(series=label_series(pdf["mz"].to_numpy(), discover=discover).astype(str))
-
-    return rows.groupBy(*keys).applyInPandas(run, rows.withColumn("series", F.lit("")).schema)
-
-
 def duty_cycle(wasted: DataFrame, scans: DataFrame) -> DataFrame:
     """Share of each run's MS2 spent on the candidates."""
     total = scans.groupBy(*RUN).agg(F.count(F.lit(1)).alias("total_ms2"))

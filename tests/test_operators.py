@@ -397,16 +397,6 @@ def test_loess_follows_a_smooth_shift():
 
 # ---- acquisition, scans, calibration ----------------------------------------------------------
 
-def test_series_labels():
-    peg = np.array([300.0 + 44.02621 * k for k in range(5)])
-    assert set(A.label_series(peg)) == {"PEG"}
-    ch2 = np.array([400.0 + 14.01565 * k for k in range(8)])
-    assert set(A.label_series(ch2)) == {""}
-    assert set(A.label_series(np.array([300.0, 344.02621]))) == {""}
-    odd = np.sort(np.array([500.0 + 33.333 * k for k in range(5)]))
-    assert set(A.label_series(odd)) == {"unnamed d33.333"}
-
-
 def _trace(spark, signal, step=0.05):
     rows = [("A", "+", "S", 1, [(i * step, float(v)) for i, v in enumerate(signal)])]
     return spark.createDataFrame(rows, f"{RUN}, injection string, target_id int, trace array<struct<rt double, signal double>>")
