@@ -73,24 +73,26 @@ def claimed(rungs: DataFrame, least: int, keys: list[str] = RUN, tol: float = SE
 
 
 def delta_votes(masses: DataFrame, keys: list[str] = RUN, span: tuple[float, float] = UNNAMED_RANGE, salt: int = 8) -> DataFrame:
-    """``cell, n, step, first``: how many pairs of masses differ by each hundredth, their mean difference and the first pair.
+    """``cell, n, step, first``: how many pairs of masses differ by each hundredth, their mean difference and their lightest mass.
 
     Multiples of CH2, which lipid series step by, have no vote.  The pairs of a mass lie within ``span``, and counts are
     combined where they arise; only one row a cell and task is sent.
     """
-    middle, half = (span[0] + span[1]) / 2, (span[1] - span[0]) / 2
-    left = masses.select(*keys, F.col("mz").alias("low"), (F.col("mz") + middle).alias("centre"))
-    pairs = band_join(left, masses.select(*keys, F.col("mz").alias("high")), [Band("centre", "high", half * (1 + 1e-9))], keys=keys, salt=salt)
-    delta = F.col("high") - F.col("low")
-    pairs = pairs.withColumn("delta", delta).filter(F.col("delta").between(*span)).withColumn("cell", F.bround("delta", 2))
+    parts = int(masses.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a fixed number: few masses still make many pairs
+    place = [*keys, "tile", "salt"]
+    left = masses.select(*keys, F.col("mz").alias("low"), F.floor(F.col("mz") / span[1]).alias("tile"), F.pmod(F.xxhash64("mz"), F.lit(salt)).alias("salt"))
+    right = masses.select(*keys, F.col("mz").alias("high"), F.floor(F.col("mz") / span[1]).alias("t")).withColumn("tile", F.explode(F.array(F.col("t") - 1, F.col("t")))).drop("t")
+    right = right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
+    pairs = left.repartition(parts, *place).join(right.repartition(parts, *place), place)
+    pairs = pairs.withColumn("delta", F.col("high") - F.col("low")).filter(F.col("delta").between(*span)).withColumn("cell", F.bround("delta", 2))
     lipid = F.abs(F.col("cell") - F.rint(F.col("cell") / CH2) * CH2) <= CH2_GUARD
-    return pairs.filter(~lipid).groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("n"), F.avg("delta").alias("step"), F.min(F.struct("low", "high")).alias("first"))
+    return pairs.filter(~lipid).groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("n"), F.avg("delta").alias("step"), F.min("low").alias("first"))
 
 
 def commonest_step(masses: DataFrame, keys: list[str] = RUN, least: int = MIN_UNNAMED - 1) -> DataFrame:
     """``step, n`` of the cell with most votes, at least ``least``; of equals the one met first from the lightest mass."""
     votes = delta_votes(masses, keys).filter(F.col("n") >= least)
-    best = F.max_by(F.struct("step", "n"), F.struct("n", -F.col("first.low"), -F.col("first.high")))
+    best = F.max_by(F.struct("step", "n"), F.struct("n", -F.col("first"), -F.col("cell")))
     return votes.groupBy(*keys).agg(best.alias("__b")).select(*keys, "__b.step", "__b.n")
 
 

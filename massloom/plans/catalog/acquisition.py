@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from massloom.functions import ions
 from massloom.operators import acquisition as A
+from massloom.operators import series as R
 from massloom.operators.band import Band, band_exists, band_join, islands
 from massloom.plans import standin as S
 from massloom.plans.registry import query
@@ -58,10 +59,54 @@ def j23(spark, d):
     return wasted(spark, d, False).select("study_id", "polarity", F.round("mz", 6).alias("mz"), "in_blank")
 
 
-@query("w2_series")
+def series_sql(source: str, keys: str = "study_id, polarity", discover: bool = True) -> str:
+    """CTEs up to ``labelled`` (keys, mz, series): one recursive step is one unit over the sorted masses of each run.
+
+    ``fst`` holds the place of the first mass from each whole number on; ``nxt`` the place of each mass's next rung.
+    """
+    names = "[" + ", ".join(f"'{n}'" for n in R.REPEATS) + "]"
+    steps = "[" + ", ".join(f"{x!r}::double" for x in R.REPEATS.values()) + "]"
+    n, free = len(R.REPEATS), f"unnest(list_filter(p.m, lambda x, i: p.l[i] = '' AND p.turn >= {len(R.REPEATS)}))"
+    more = f"(turn < {n} OR len(list_filter(t, lambda f: f)) > len(list_filter(l, lambda x: x <> '')))" if discover else "false"
+    return f"""sorted_masses AS (SELECT {keys}, list(DISTINCT mz ORDER BY mz) AS m FROM {source} GROUP BY {keys}),
+pass AS (
+  SELECT {keys}, m, list_transform(m, lambda x: '') AS l, list_transform(range(0, 2500), lambda k: len(list_filter(m, lambda x: x < k)) + 1) AS fst, 0 AS turn, true AS going FROM sorted_masses
+  UNION ALL
+  SELECT {keys}, m, list_transform(t, lambda f, i: CASE WHEN l[i] = '' AND f THEN label ELSE l[i] END), fst, turn + 1, turn + 1 < {n} OR {more}
+  FROM (SELECT *, list_reduce(list_prepend({{'s': 0, 't': list_transform(l, lambda x: x <> '')}}, list_transform(list_filter(range(1, len(m) + 1), lambda i: nxt[i] <> 0), lambda i: {{'s': i, 't': []::boolean[]}})), lambda a, x:
+      CASE WHEN a.t[x.s] THEN a ELSE list_transform([list_reduce(list_prepend([x.s], list_transform(range(0, 100), lambda i: []::bigint[])), lambda p, e:
+        CASE WHEN nxt[p[-1]] = 0 OR a.t[nxt[p[-1]]] THEN p ELSE list_append(p, nxt[p[-1]]) END)], lambda p: CASE WHEN len(p) >= CASE WHEN turn < {n} THEN 3 ELSE 4 END
+        THEN {{'s': x.s, 't': list_transform(a.t, lambda f, k: f OR list_contains(p, k))}} ELSE a END)[1] END).t AS t
+    FROM (SELECT *, list_transform(m, lambda x, i: CASE WHEN l[i] <> '' THEN 0 ELSE coalesce(list_sort(list_transform(list_filter(range(fst[cast(floor(x + step - 0.02) AS int) + 1], fst[cast(floor(x + step + 0.02) AS int) + 2]),
+          lambda j: l[j] = '' AND abs(x + step - m[j]) <= 0.01), lambda j: {{'e': abs(x + step - m[j]), 'h': -m[j], 'j': j}}))[1].j, 0) END) AS nxt
+      FROM (SELECT p.*, coalesce(({names})[turn + 1], 'unnamed Δ' || printf('%.3f', step)) AS label FROM (SELECT p.*, coalesce(({steps})[turn + 1], (
+          SELECT arg_max(st, (c, -fa, -fb)) FROM (SELECT count(*) AS c, avg(b - a) AS st, min({{'a': a, 'b': b}}).a AS fa, min({{'a': a, 'b': b}}).b AS fb FROM (SELECT {free} AS a) u, (SELECT {free} AS b) v
+            WHERE b - a BETWEEN 20 AND 200 AND abs(round_even(b - a, 2) - round_even(round_even(b - a, 2) / {R.CH2}, 0) * {R.CH2}) > {R.CH2_GUARD} GROUP BY round_even(b - a, 2) HAVING count(*) >= 3) w)) AS step
+        FROM pass p WHERE going) p WHERE step IS NOT NULL) q) r) z
+), last_pass AS (SELECT {keys}, m, l FROM pass QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY turn DESC) = 1
+), labelled AS (SELECT {keys}, unnest(m) AS mz, unnest(l) AS series FROM last_pass)"""
+
+
+@query("w2_series", f"""WITH RECURSIVE {CLUSTERS}, grid AS (SELECT study_id, polarity, cluster, round(mz, 6) AS mz, scans FROM cl), {series_sql('grid')}
+SELECT study_id, polarity, cluster, mz, scans, series FROM grid JOIN labelled USING (study_id, polarity, mz)""")
 def w2(spark, d):
-    c = A.cluster_mz(S.scans(spark, d)).select("study_id", "polarity", "cluster", "mz", "scans")
-    return A.assign_series(c).select("study_id", "polarity", "cluster", F.round("mz", 6).alias("mz"), "scans", "series")
+    c = A.cluster_mz(S.scans(spark, d)).select("study_id", "polarity", "cluster", F.round("mz", 6).alias("mz"), "scans")
+    return R.assign_series(c)
+
+
+@query("w2_named_series", f"""WITH RECURSIVE {CLUSTERS}, grid AS (SELECT study_id, polarity, cluster, round(mz, 6) AS mz FROM cl), {series_sql('grid', discover=False)}
+SELECT study_id, polarity, cluster, mz, series FROM grid JOIN labelled USING (study_id, polarity, mz)""")
+def w2_named(spark, d):
+    c = A.cluster_mz(S.scans(spark, d)).select("study_id", "polarity", "cluster", F.round("mz", 6).alias("mz"))
+    return R.assign_series(c, discover=False)
+
+
+@query("w2_delta_votes", f"""WITH {CLUSTERS}, grid AS (SELECT study_id, polarity, round(mz, 6) AS mz FROM cl),
+v AS (SELECT a.study_id, a.polarity, round_even(b.mz - a.mz, 2) AS cell, count(*) AS n, avg(b.mz - a.mz) AS step FROM grid a JOIN grid b ON a.study_id = b.study_id AND a.polarity = b.polarity AND b.mz - a.mz BETWEEN 20 AND 200 GROUP BY ALL)
+SELECT study_id, polarity, cell, n, round(step, 6) AS step FROM v WHERE abs(cell - round_even(cell / {R.CH2}, 0) * {R.CH2}) > {R.CH2_GUARD}""")
+def w2_votes(spark, d):
+    c = A.cluster_mz(S.scans(spark, d)).select("study_id", "polarity", F.round("mz", 6).alias("mz"))
+    return R.delta_votes(c).select("study_id", "polarity", "cell", "n", F.round("step", 6).alias("step"))
 
 
 @query("a18_duty_cycle", f"""WITH {WASTED},
@@ -74,10 +119,13 @@ def a18(spark, d):
     return out.withColumn("wasted_fraction", F.round("wasted_fraction", 9))
 
 
-@query("a18_series_breakdown")
+@query("a18_series_breakdown", f"""WITH RECURSIVE {WASTED}, grid AS (SELECT study_id, polarity, round(mz, 6) AS mz, scans FROM w), {series_sql('grid')},
+t AS (SELECT study_id, polarity, count(*) AS total_ms2 FROM scans GROUP BY ALL)
+SELECT study_id, polarity, CASE WHEN series = '' THEN 'unassigned' ELSE series END AS series, count(*) AS precursors, cast(sum(scans) AS bigint) AS scans, round(sum(scans) / any_value(total_ms2), 9) AS share
+FROM grid JOIN labelled USING (study_id, polarity, mz) JOIN t USING (study_id, polarity) GROUP BY ALL""")
 def a18b(spark, d):
     s = S.scans(spark, d)
-    rows = A.assign_series(wasted(spark, d, False).select("study_id", "polarity", "mz", "scans"))
+    rows = R.assign_series(wasted(spark, d, False).select("study_id", "polarity", F.round("mz", 6).alias("mz"), "scans"))
     return A.series_breakdown(rows, s).withColumn("share", F.round("share", 9))
 
 
@@ -164,7 +212,10 @@ def w13(spark, d):
     return out.select("injection", "scan_no", F.round("mz", 6).alias("mz"), F.round("intensity", 6).alias("intensity"))
 
 
-@query("a19_modifier")
+@query("a19_modifier", f"""WITH RECURSIVE {SC}, grid AS (SELECT DISTINCT study_id, polarity, injection, round(precursor_mz, 4) AS mz FROM scans), {series_sql('grid', 'study_id, polarity, injection', False)},
+c AS (SELECT study_id, polarity, count_if(series = 'sodium formate') AS formate, count_if(series = 'sodium acetate') AS acetate FROM labelled GROUP BY ALL)
+SELECT *, CASE WHEN greatest(formate, acetate) >= 30 AND (least(formate, acetate) = 0 OR greatest(formate, acetate) >= 2 * least(formate, acetate)) THEN CASE WHEN formate >= acetate THEN 'formate' ELSE 'acetate' END END AS call,
+  CASE WHEN greatest(formate, acetate) = 0 THEN 'no series' WHEN greatest(formate, acetate) < 30 THEN 'too thin' WHEN least(formate, acetate) > 0 AND greatest(formate, acetate) < 2 * least(formate, acetate) THEN 'both present' ELSE '' END AS reason FROM c""")
 def a19(spark, d):
     s = S.scans(spark, d).selectExpr("study_id", "polarity", "injection", "precursor_mz AS mz")
     return A.detect_modifier(s)

@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from massloom.operators import acquisition as A
+from massloom.operators.series import assign_series
 from massloom.plans import standin as S
-from massloom.plans.catalog.acquisition import WASTED, wasted
+from massloom.plans.catalog.acquisition import WASTED, series_sql, wasted
 from massloom.plans.catalog.qc import verdicts
 from massloom.plans.catalog.scans import sized
 from massloom.plans.registry import query
@@ -46,9 +46,11 @@ def k4(spark, d):
     return out.select("study_id", "polarity", F.col("`m/z`").alias("mass"), F.col("MS2 scans wasted").alias("wasted"), F.col("In blank").alias("in_blank"))
 
 
-@query("k4_exclusion_instrument")
+@query("k4_exclusion_instrument", f"""WITH RECURSIVE {WASTED}, grid AS (SELECT study_id, polarity, round(mz, 6) AS mz, scans FROM w), {series_sql('grid')}
+SELECT study_id, polarity AS run_polarity, printf('%.4f', mz) AS mass, '' AS formula, '' AS species, 1::int AS cs, CASE WHEN polarity = '+' THEN 'Positive' ELSE 'Negative' END AS polarity, '' AS start, '' AS "end", '' AS ce, '' AS msx,
+  CASE WHEN series = '' THEN 'background, never identified' ELSE series || ' contamination' END || ' (' || scans::varchar || ' MS2)' AS comment FROM grid JOIN labelled USING (study_id, polarity, mz)""")
 def k4i(spark, d):
-    rows = A.assign_series(wasted(spark, d, False))
+    rows = assign_series(wasted(spark, d, False).withColumn("mz", F.round("mz", 6)))
     return K.exclusion_instrument(rows).toDF("study_id", "run_polarity", "mass", "formula", "species", "cs", "polarity", "start", "end", "ce", "msx", "comment")
 
 
