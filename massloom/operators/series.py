@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from massloom.operators.band import Band, band_join
 from massloom.operators.matrix import RUN
-from massloom.session import cut_lineage
+from massloom.session import next_round
 
 # ---- fixed values: repeat units of common contaminants ----------------------------------------
 REPEATS = {"polysiloxane": 74.01872, "PEG": 44.02621, "PPG": 58.04186, "PTFE/PFPE": 99.99361,
@@ -73,7 +73,8 @@ def claimed(rungs: DataFrame, least: int, keys: list[str] = RUN, tol: float = SE
 
 
 def delta_votes(masses: DataFrame, keys: list[str] = RUN, span: tuple[float, float] = UNNAMED_RANGE, salt: int = 8) -> DataFrame:
-    """``cell, n, step, first``: how many pairs of masses differ by each hundredth, their mean difference and their lightest mass.
+    """``cell, n, step, first``: how many pairs of masses differ by each hundredth (halves to the even one), their mean difference
+    and their lightest mass.
 
     Multiples of CH2, which lipid series step by, have no vote.  The pairs of a mass lie within ``span``, and counts are
     combined where they arise; only one row a cell and task is sent.
@@ -84,9 +85,14 @@ def delta_votes(masses: DataFrame, keys: list[str] = RUN, span: tuple[float, flo
     right = masses.select(*keys, F.col("mz").alias("high"), F.floor(F.col("mz") / span[1]).alias("t")).withColumn("tile", F.explode(F.array(F.col("t") - 1, F.col("t")))).drop("t")
     right = right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
     pairs = left.repartition(parts, *place).join(right.repartition(parts, *place), place)
-    pairs = pairs.withColumn("delta", F.col("high") - F.col("low")).filter(F.col("delta").between(*span)).withColumn("cell", F.bround("delta", 2))
+    # whole millionths: halves of a cell and sums are exact, whatever order the pairs come in
+    pairs = pairs.withColumn("delta", F.rint((F.col("high") - F.col("low")) * 1e6).cast("long")).filter(F.col("delta").between(*[round(x * 1e6) for x in span]))
+    under, rest = F.expr("delta div 10000"), F.expr("delta % 10000")
+    up = (rest > 5000) | ((rest == 5000) & (under % 2 == 1))
+    pairs = pairs.withColumn("cell", (under + up.cast("long")) / F.lit(100.0))
     lipid = F.abs(F.col("cell") - F.rint(F.col("cell") / CH2) * CH2) <= CH2_GUARD
-    return pairs.filter(~lipid).groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("n"), F.avg("delta").alias("step"), F.min("low").alias("first"))
+    mean = F.sum("delta") / F.count(F.lit(1)) / F.lit(1e6)
+    return pairs.filter(~lipid).groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("n"), mean.alias("step"), F.min("low").alias("first"))
 
 
 def commonest_step(masses: DataFrame, keys: list[str] = RUN, least: int = MIN_UNNAMED - 1) -> DataFrame:
@@ -103,23 +109,27 @@ def assign_series(rows: DataFrame, keys: list[str] = RUN, discover: bool = True,
     most votes among the masses left.  Rows of one mass share its series; a null mass has none.
     """
     masses = rows.filter("mz IS NOT NULL").select(*keys, F.col("mz").cast("double").alias("mz")).distinct()
-    labels = cut_lineage(masses.withColumn("series", F.lit(None).cast("string")).withColumn("turn", F.lit(-1)))
+    labels = next_round(masses.withColumn("series", F.lit(None).cast("string")).withColumn("turn", F.lit(-1)))
 
-    def claim(free: DataFrame, least: int, name, turn: int) -> DataFrame:
+    def claim(free: DataFrame, least: int, name, turn: int, *older: DataFrame) -> DataFrame:
         found = claimed(next_rung(free, keys), least, keys).select(*keys, "mz", name.alias("__s"))
         marked = labels.join(found, [*keys, "mz"], "left").withColumn("turn", F.when(F.col("__s").isNotNull(), turn).otherwise(F.col("turn")))
-        return cut_lineage(marked.withColumn("series", F.coalesce("series", "__s")).select(*keys, "mz", "series", "turn"))
+        return next_round(marked.withColumn("series", F.coalesce("series", "__s")).select(*keys, "mz", "series", "turn"), labels, *older)
 
     turn = 0
     for turn, (name, step) in enumerate(repeats.items()):
         labels = claim(labels.filter("series IS NULL").select(*keys, "mz", F.lit(step).alias("step")), MIN_NAMED, F.lit(name), turn)
-    active = None
+    # a run votes again while its last turn claimed something; one without a winner has ended
+    running = None
     while discover:
         free = labels.filter("series IS NULL").select(*keys, "mz")
-        free = free if active is None else free.join(active, keys, "left_semi")
+        free = free if running is None else free.join(running, keys, "left_semi")
+        winners = next_round(commonest_step(free, keys))
+        if winners.isEmpty():
+            break
         turn += 1
-        labels = claim(free.join(commonest_step(free, keys), keys), MIN_UNNAMED, F.format_string("unnamed Δ%.3f", "step"), turn)
-        active = labels.filter(F.col("turn") == turn).select(*keys).distinct()
-        discover = not active.isEmpty()
+        free = labels.filter("series IS NULL").select(*keys, "mz").join(winners.select(*keys, "step"), keys)
+        labels = claim(free, MIN_UNNAMED, F.format_string("unnamed Δ%.3f", "step"), turn, winners)
+        running = labels.filter(F.col("turn") == turn).select(*keys).distinct()
     found = labels.filter("series IS NOT NULL").select(*keys, "mz", F.col("series").alias("__s"))
     return rows.join(found, [*keys, "mz"], "left").select(*rows.columns, F.coalesce("__s", F.lit("")).alias("series"))

@@ -59,6 +59,10 @@ def j23(spark, d):
     return wasted(spark, d, False).select("study_id", "polarity", F.round("mz", 6).alias("mz"), "in_blank")
 
 
+#: Hundredths of a whole number ``d`` of millionths, halves to the even one.
+CELL = "(d // 10000 + CASE WHEN d % 10000 > 5000 OR (d % 10000 = 5000 AND d // 10000 % 2 = 1) THEN 1 ELSE 0 END) / 100.0::double AS cell"
+
+
 def series_sql(source: str, keys: str = "study_id, polarity", discover: bool = True) -> str:
     """CTEs up to ``labelled`` (keys, mz, series): one recursive step is one unit over the sorted masses of each run.
 
@@ -80,22 +84,25 @@ pass AS (
     FROM (SELECT *, list_transform(m, lambda x, i: CASE WHEN l[i] <> '' THEN 0 ELSE coalesce(list_sort(list_transform(list_filter(range(fst[cast(floor(x + step - 0.02) AS int) + 1], fst[cast(floor(x + step + 0.02) AS int) + 2]),
           lambda j: l[j] = '' AND abs(x + step - m[j]) <= 0.01), lambda j: {{'e': abs(x + step - m[j]), 'h': -m[j], 'j': j}}))[1].j, 0) END) AS nxt
       FROM (SELECT p.*, coalesce(({names})[turn + 1], 'unnamed Δ' || printf('%.3f', step)) AS label FROM (SELECT p.*, coalesce(({steps})[turn + 1], (
-          SELECT arg_max(st, (c, -fa, -fb)) FROM (SELECT count(*) AS c, avg(b - a) AS st, min({{'a': a, 'b': b}}).a AS fa, min({{'a': a, 'b': b}}).b AS fb FROM (SELECT {free} AS a) u, (SELECT {free} AS b) v
-            WHERE b - a BETWEEN 20 AND 200 AND abs(round_even(b - a, 2) - round_even(round_even(b - a, 2) / {R.CH2}, 0) * {R.CH2}) > {R.CH2_GUARD} GROUP BY round_even(b - a, 2) HAVING count(*) >= 3) w)) AS step
+          SELECT arg_max(st, (c, -fa, -fb)) FROM (SELECT count(*) AS c, sum(d)::bigint / count(*) / 1e6 AS st, min({{'a': a, 'b': b}}).a AS fa, min({{'a': a, 'b': b}}).b AS fb
+            FROM (SELECT *, {CELL}
+              FROM (SELECT a, b, cast(round_even((b - a) * 1e6, 0) AS bigint) AS d FROM (SELECT {free} AS a) u, (SELECT {free} AS b) v WHERE b - a BETWEEN 19 AND 201) y WHERE d BETWEEN 20000000 AND 200000000) x
+            WHERE abs(cell - round_even(cell / {R.CH2}, 0) * {R.CH2}) > {R.CH2_GUARD} GROUP BY cell HAVING count(*) >= 3) w)) AS step
         FROM pass p WHERE going) p WHERE step IS NOT NULL) q) r) z
 ), last_pass AS (SELECT {keys}, m, l FROM pass QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY turn DESC) = 1
 ), labelled AS (SELECT {keys}, unnest(m) AS mz, unnest(l) AS series FROM last_pass)"""
 
 
-@query("w2_series", f"""WITH RECURSIVE {CLUSTERS}, grid AS (SELECT study_id, polarity, cluster, round(mz, 6) AS mz, scans FROM cl), {series_sql('grid', discover=False)}
+@query("w2_series", f"""WITH RECURSIVE {CLUSTERS}, grid AS (SELECT study_id, polarity, cluster, round(mz, 6) AS mz, scans FROM cl), {series_sql('grid')}
 SELECT study_id, polarity, cluster, mz, scans, series FROM grid JOIN labelled USING (study_id, polarity, mz)""")
 def w2(spark, d):
     c = A.cluster_mz(S.scans(spark, d)).select("study_id", "polarity", "cluster", F.round("mz", 6).alias("mz"), "scans")
-    return R.assign_series(c, discover=False)  # unnamed units over all clusters did not finish in time, see README
+    return R.assign_series(c)
 
 
 @query("w2_delta_votes", f"""WITH {CLUSTERS}, grid AS (SELECT study_id, polarity, round(mz, 6) AS mz FROM cl),
-v AS (SELECT a.study_id, a.polarity, round_even(b.mz - a.mz, 2) AS cell, count(*) AS n, avg(b.mz - a.mz) AS step FROM grid a JOIN grid b ON a.study_id = b.study_id AND a.polarity = b.polarity AND b.mz - a.mz BETWEEN 20 AND 200 GROUP BY ALL)
+p AS (SELECT a.study_id, a.polarity, cast(round_even((b.mz - a.mz) * 1e6, 0) AS bigint) AS d FROM grid a JOIN grid b ON a.study_id = b.study_id AND a.polarity = b.polarity AND b.mz - a.mz BETWEEN 19 AND 201),
+v AS (SELECT study_id, polarity, {CELL}, count(*) AS n, sum(d)::bigint / count(*) / 1e6 AS step FROM p WHERE d BETWEEN 20000000 AND 200000000 GROUP BY ALL)
 SELECT study_id, polarity, cell, n, round(step, 6) AS step FROM v WHERE abs(cell - round_even(cell / {R.CH2}, 0) * {R.CH2}) > {R.CH2_GUARD}""")
 def w2_votes(spark, d):
     c = A.cluster_mz(S.scans(spark, d)).select("study_id", "polarity", F.round("mz", 6).alias("mz"))

@@ -4,10 +4,10 @@ from pyspark.sql import functions as F
 
 from massloom.operators.series import assign_series
 from massloom.plans import standin as S
-from massloom.plans.catalog.acquisition import WASTED, series_sql, wasted
+from massloom.plans.catalog.acquisition import WASTED, j22, series_sql, wasted
 from massloom.plans.catalog.qc import verdicts
 from massloom.plans.catalog.scans import sized
-from massloom.plans.registry import query
+from massloom.plans.registry import ORACLES, query
 from massloom.sources import sinks as K
 
 
@@ -58,3 +58,22 @@ def k4i(spark, d):
 def k5(spark, d):
     out = K.inclusion_instrument(S.groups(spark, d).withColumn("mz", F.col("mz") + 0.00002), 1.503).toDF("study_id", "run_polarity", "mass", "formula", "species", "cs", "polarity", "start_min", "end_min", "ce", "msx", "comment")
     return out.select("study_id", "mass", "start_min", "end_min")
+
+
+PLACE = "row_number() OVER (PARTITION BY study_id, polarity ORDER BY {order}) AS place"
+
+
+@query("o3_groups_by_retention", f"""WITH {S.cte('groups')} SELECT study_id, polarity, group_id, {PLACE.format(order='rt, group_id')} FROM groups""")
+def o3_groups(spark, d):
+    return K.in_order(S.groups(spark, d), "groups").select("study_id", "polarity", "group_id", "place")
+
+
+@query("o3_wasted_by_scans", f"""WITH {WASTED} SELECT study_id, polarity, round(mz, 6) AS mz, scans, {PLACE.format(order='scans DESC, mz')} FROM w""")
+def o3_wasted(spark, d):
+    rows = K.in_order(wasted(spark, d, False), "wasted")
+    return rows.select("study_id", "polarity", F.round("mz", 6).alias("mz"), "scans", "place")
+
+
+@query("o3_inclusion_by_area", f"""SELECT study_id, polarity, group_id, max_area, {PLACE.format(order='max_area, group_id')} FROM ({ORACLES['j22_inclusion']}) z""")
+def o3_inclusion(spark, d):
+    return K.in_order(j22(spark, d), "inclusion").select("study_id", "polarity", "group_id", "max_area", "place")

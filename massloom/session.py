@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,3 +61,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(folder)
     return df.select(*[F.col(f"`{c}`").alias(c) for c in df.columns]).checkpoint(eager=True)
+
+
+def next_round(df: DataFrame, *older: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, for loops whose rounds join what earlier rounds left.
+
+    A checkpoint keeps the planner's size estimate and joins multiply estimates, so in a loop the digits of that number
+    grow exponentially and planning stalls; a table has the size of its files.  ``older`` are tables of earlier
+    rounds that nothing reads any more: they are removed once ``df`` is written.  The rest goes when the driver's JVM ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/massloom-round-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.deleteOnExit(folder)
+    for table in older:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(table._round_path), True)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._round_path = path
+    return out

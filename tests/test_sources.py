@@ -198,3 +198,24 @@ def test_attach_measured_rt(spark):
     w = spark.createDataFrame([("A", "+", 0.1)], "study_id string, polarity string, run_fwhm double")
     got = {r["group_id"]: r["rt_measured"] for r in T.attach_measured_rt(f, u, w).collect()}
     assert got == {1: 5.05, 2: None}
+
+
+def test_ordered(spark, tmp_path):
+    """Places equal a plain sort by run, with a run that holds most rows, null keys, ties and an empty table."""
+    import random
+
+    from massloom.sources import sinks
+    r = random.Random(5)
+    data = [("A" if r.random() < 0.8 else r.choice(["B", None]), r.choice("+-"), i, r.choice([1.0, 2.0, None, r.random()])) for i in range(3000)]
+    rows = spark.createDataFrame(data, "study_id string, polarity string, group_id long, rt double").repartition(7)
+    got = {x.group_id: x.place for x in sinks.in_order(rows, "groups").collect()}
+    want, seen = {}, {}
+    for study, polarity, i, _ in sorted(data, key=lambda x: (x[3] is not None, x[3] or 0.0, x[2])):
+        seen[study, polarity] = want[i] = seen.get((study, polarity), 0) + 1
+    assert got == want
+    assert sinks.in_order(rows.filter("false"), "groups").count() == 0
+    sinks.write_ordered(rows.withColumn("scans", rows["group_id"] % 9).withColumn("mz", rows["group_id"].cast("double")), "wasted", str(tmp_path / "w"), "parquet")
+    import pyarrow.parquet as pq
+    read = [x for f in sorted((tmp_path / "w").glob("*.parquet")) for x in pq.read_table(f).to_pylist() if x["study_id"] == "A" and x["polarity"] == "+"]
+    assert [x["place"] for x in read] == list(range(1, len(read) + 1))
+    assert [(-x["scans"], x["mz"]) for x in read] == sorted((-x["scans"], x["mz"]) for x in read)
