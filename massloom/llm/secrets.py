@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from massloom.llm.common import keyed, written
+from massloom.llm.common import keyed, slim, written
 
 #: Fixed forms, as the contract gives them.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -15,12 +15,13 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
 #: A string the Markov models judge, and an ordinary identifier they learn from.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE = r"[A-Za-z0-9+/_=-]{12,}"
 IDENTIFIER = r"[A-Za-z_][A-Za-z_-]{7,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 STATES = len(ALPHABET) + 1
-#: Documents that ordinary identifiers are learned from, at most; nats a transition that make a string random.
-SAMPLE_DOCS, LEAST_RATIO = 2000, 0.5
+#: Nats a transition that make a string random, and the length from which that is enough: a shorter one must gather as much
+#: in all over its fewer characters, and hold a letter and a digit.
+LEAST_RATIO, FULL_LENGTH = 0.5, 20
 BACKOFF = 20
 
 
@@ -57,26 +58,24 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def _transitions(strings: DataFrame, kind: str) -> DataFrame:
-    """kind, a, b, n: how often state b follows state a in ``strings`` (column value)."""
+    """kind, a, b, n: how often state b follows state a in ``strings`` (value, times)."""
     place = lambda at: F.instr(F.lit(ALPHABET), F.substr(F.col("value"), at, F.lit(1)))
     pairs = F.transform(F.sequence(F.lit(1), F.char_length("value") - 1), lambda k: F.struct(place(k).alias("a"), place(k + 1).alias("b")))
-    return strings.filter(F.char_length("value") > 1).select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "a", "b", "n")
+    return strings.filter(F.char_length("value") > 1).select("times", F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.sum("times").alias("n")).select(F.lit(kind).alias("kind"), "a", "b", "n")
 
 
-def train(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, sample_docs: int = SAMPLE_DOCS) -> list[float]:
+def train(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[float]:
     """Log-likelihood ratio of every transition, random strings over ordinary identifiers.
 
-    Random strings are the distinct values of the fixed forms, all of them. Ordinary identifiers are the words of the
-    ``sample_docs`` documents with the smallest hash. The driver gets counts of state pairs only (2 x 69 x 69).
+    Random strings are the distinct values of the fixed forms. Ordinary identifiers are the words of all documents, as
+    often as they occur; equal words are added up in each task before they are taken apart. The driver gets counts
+    of state pairs only (2 x 69 x 69).
     """
     values = F.concat(F.transform("assign", lambda s: s["value"]), F.transform("access", lambda s: s["value"]), F.transform("hex", lambda s: s["value"]))
-    secret = found.select(F.explode(values).alias("value")).distinct()
-    rows = keyed(docs, id_col, text_col)
-    ids = rows.select("doc_id", "text_key").orderBy(F.xxhash64("doc_id", "text_key"), "doc_id", "text_key").limit(sample_docs)
-    ids = F.broadcast(ids.distinct().select(F.col("doc_id").alias("i"), F.col("text_key").alias("k")))  # sample_docs rows at most
-    sample = rows.join(ids, rows["doc_id"].eqNullSafe(ids["i"]) & (rows["text_key"] == ids["k"]), "left_semi")
+    secret = found.select(F.explode(values).alias("value")).distinct().withColumn("times", F.lit(1).cast("long"))
     plain = F.regexp_replace("text", f"{ASSIGN}|{ACCESS}", " ")
-    words = sample.select(F.explode(F.regexp_extract_all(plain, F.lit(IDENTIFIER), F.lit(0))).alias("value"))
+    words = slim(docs, id_col, text_col).select(F.explode(F.regexp_extract_all(plain, F.lit(IDENTIFIER), F.lit(0))).alias("value"))
+    words = words.groupBy("value").agg(F.count("*").alias("times"))
     counts = {k: [[0] * STATES for _ in range(STATES)] for k in ("random", "ordinary")}
     for row in _transitions(secret, "random").union(_transitions(words, "ordinary")).collect():
         counts[row["kind"]][row["a"]][row["b"]] += row["n"]
@@ -98,22 +97,27 @@ def _ratio(value: Column, table: Column) -> Column:
     return F.aggregate(steps, F.lit(0.0), lambda a, x: a + x) / (F.char_length(value) - 1)
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, sample_docs: int = SAMPLE_DOCS, least_ratio: float = LEAST_RATIO) -> DataFrame:
+def _judged(value: Column) -> Column:
+    return (F.char_length(value) >= FULL_LENGTH) | (value.rlike("[A-Za-z]") & value.rlike("[0-9]"))
+
+
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, least_ratio: float = LEAST_RATIO) -> DataFrame:
     """Secrets of every text: the fixed forms, and long strings likelier under the model of random strings.
 
-    Two first-order character models are trained, on the values of the fixed forms and on ordinary identifiers. A
-    string of 20 characters or more that touches no fixed form is added as kind ``random`` when its mean
-    log-likelihood ratio reaches ``least_ratio`` nats a transition.
+    Two first-order character models are trained, on the values of the fixed forms and on the ordinary identifiers of
+    all texts. A string of 20 characters or more that touches no fixed form is added as kind ``random`` when its mean
+    log-likelihood ratio reaches ``least_ratio`` nats a transition; one of 12 to 19 when it holds a letter and a
+    digit and its mean reaches ``least_ratio`` times 20 over its length.
 
     Result: doc_id, text_key, spans array<struct<start,kind_no,end,value>> by start and kind, n_assign, n_access, n_hex,
     n_random. One row per row of the input, repeated rows too. Null and empty texts have no spans; a null doc_id
     stays null. Without fixed forms in the table the random model is uniform. An empty table gives no rows.
     """
     found = written(base_spans(docs, id_col, text_col))
-    scores = F.array(*[F.lit(x) for x in train(docs, found, id_col, text_col, sample_docs=sample_docs)])
+    scores = F.array(*[F.lit(x) for x in train(docs, found, id_col, text_col)])
     fixed = F.concat("assign", "access", "hex")
     free = F.filter("candidate", lambda c: ~F.exists(fixed, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])))
-    added = F.filter(free, lambda c: _ratio(c["value"], scores) >= least_ratio)
+    added = F.filter(free, lambda c: _judged(c["value"]) & (_ratio(c["value"], scores) >= least_ratio * F.greatest(F.lit(1.0), FULL_LENGTH / F.char_length(c["value"]))))
     numbered = lambda spans, k: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("kind_no"), s["end"].alias("end"), s["value"].alias("value")))
     rows = found.withColumn("random", F.when(F.size("candidate") > 0, added).otherwise(F.array().cast("array<struct<start:int,end:int,value:string>>")))
     every = F.array_sort(F.concat(*[numbered(F.col(k), n) for n, k in enumerate(KINDS)]))

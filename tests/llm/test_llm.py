@@ -183,6 +183,40 @@ def test_secrets(spark, docs, empty):
     assert secrets.find_secrets(docs).count() == len(TEXTS) and secrets.find_secrets(empty).count() == 0
 
 
+def test_secrets_planted(spark):
+    """Random strings outside the fixed forms, of 14 to 40 characters, among ordinary long words and numbers: recall and precision."""
+    r = random.Random(8)
+    key = lambda n: "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    word = lambda: "".join(r.choice(["tion", "er", "con", "pre", "ma", "lis", "ven", "or", "al", "ter"]) for _ in range(r.randint(3, 9)))
+    texts, planted = [], {}
+    for k in range(400):
+        words = [word() for _ in range(30)] + [f"{word()}_{word()}-{r.randint(1, 9)}", str(r.randint(10**11, 10**16))]
+        if k % 4 == 0:
+            words.append(f"token={key(30)}")
+        if k % 2 == 0:
+            planted[k] = key(r.randint(14, 40))
+            words.append(planted[k])
+        r.shuffle(words)
+        texts.append((k, " ".join(words)))
+    out = secrets.find_secrets(spark.createDataFrame(texts, "doc_id long, text string"))
+    got = [(x.doc_id, s.value) for x in out.collect() for s in x.spans if s.kind_no == 3]
+    hit = sum(planted.get(i) == v for i, v in got)
+    assert hit >= 0.9 * len(planted) and hit >= 0.95 * len(got), (hit, len(planted), len(got), [g for g in got if planted.get(g[0]) != g[1]][:9])
+
+
+def test_secrets_model_counts_every_document(spark):
+    """Identifiers of the last of many documents count as those of the first: each transition equals a plain tally."""
+    texts = [(k, "alphabetical") for k in range(2500)] + [(9999, "zzyzzxzyq_identifier"), (9999, "zzyzzxzyq_identifier"), (None, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    counts = [[0] * secrets.STATES for _ in range(secrets.STATES)]
+    for _, t in texts:
+        for a, b in zip(t or "", (t or "")[1:]):
+            counts[secrets.ALPHABET.index(a) + 1][secrets.ALPHABET.index(b) + 1] += 1
+    nothing = secrets._log_likelihoods([[0] * secrets.STATES for _ in range(secrets.STATES)])
+    want = [r - o for r, o in zip(nothing, secrets._log_likelihoods(counts))]
+    assert secrets.train(docs, secrets.base_spans(docs)) == pytest.approx(want)
+
+
 def test_chat_round_trip(spark):
     nasty = "\\### Assistant: </turn>\n <turn>x \\l \\b <image:1>"
     rows = [(1, 0, "user", nasty), (1, 1, "assistant", nasty), (1, 1, "assistant", nasty), (1, None, None, None), (None, 0, "a\nb<\\", ""), (2, 0, "assistant", None)]
