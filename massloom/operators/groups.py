@@ -10,16 +10,16 @@ Decisions are append-only verdict rows (``group_id, reason``); no table is mutat
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from massloom.functions import names as N
 from massloom.functions.numeric import abs_ppm, half_up, ppm
 from massloom.functions.peaks import peak_height_at, relative_height
-from massloom.operators.band import Band, band_join, components
+from massloom.operators.band import Band, band_join
 from massloom.operators.matrix import GROUP, INJ, RUN
 from massloom.operators.qc import pair_corr
+from massloom.operators.resolve import BLOCK, follow, settle_in_order
 
 ASSOCIATION_PPM, ISOBARIC_PPM, RT_MULTIPLIER, MAX_SHIFT = 20.0, 5.0, 2.0, 1.0
 MIN_DOT, MIN_REVERSE, MIN_PURITY = 500.0, 700.0, 75.0
@@ -423,76 +423,57 @@ def sweep_pairs(groups: DataFrame, adducts: DataFrame, areas: DataFrame, injecti
     return tracked.withColumn("tracks", F.col("r").isNull() | (F.col("r") >= min_r)).drop("id_a", "id_b")
 
 
-SWEEP_SCHEMA = "study_id string, polarity string, group_id long, reason string, merged_into long"
-
-
-def _frame(columns: dict) -> pd.DataFrame:
-    """Result frame whose text columns stay plain objects, also when it is empty."""
-    frame = pd.DataFrame(columns)
-    return frame.astype({c: object for c in frame.columns if c in ("study_id", "polarity", "reason", "kind")})
-
-
-def _replay(pairs: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
-    """Verdicts of one component: pairs walked later-group ascending, earlier-group descending."""
-    g = info.drop_duplicates("group_id").set_index("group_id")
-    mz, rt, area = g["mz"].to_dict(), g["rt"].to_dict(), g["max_area"].to_dict()
-    named = g["identified"].to_dict()
-    keep, reason, into = dict.fromkeys(mz, True), {}, {}
-
-    def drop(k, why):
-        keep[k] = False
-        reason[k] = why
-
-    order = pairs.assign(lr=pairs["later"].map(rt), er=pairs["earlier"].map(rt)).sort_values(
-        ["lr", "later", "er", "earlier"], ascending=[True, True, False, False])
-    for (cur, oth), rules in order.groupby(["later", "earlier"], sort=False):
-        have = {(r.rule, bool(r.forward)) for r in rules.itertuples()}
-        kinds = {r for r, _ in have}
-        tracks = bool(rules["tracks"].iloc[0])
-        heavy = cur if mz[cur] > mz[oth] else oth
-        if "isotope" in kinds and not named[heavy] and keep[heavy] and tracks:
-            drop(heavy, "M+1 isotope")
-        if keep[cur] and keep[oth]:
-            if "known" in kinds and named[cur] != named[oth] and tracks:
-                drop(oth if named[cur] else cur, "Adduct of existing identified peak")
-            if keep[cur] and keep[oth] and "unknown" in kinds and not named[cur] and not named[oth] and tracks:
-                drop(cur if area[cur] < area[oth] else oth, "Adduct of existing peak")
-        if ("source", True) in have:
-            drop(oth, "In-source fragment")
-        elif ("source", False) in have:
-            drop(cur, "In-source fragment")
-        if "dimer" in kinds and tracks and not named[heavy]:
-            drop(heavy, "Dimer")
-        if "redundant" in kinds and named[cur] and named[oth]:
-            if keep[cur] != keep[oth]:
-                win = cur if keep[cur] else oth
-            else:
-                win = cur if area[cur] > area[oth] else oth
-            lose = oth if win == cur else cur
-            drop(lose, "Redundant Identification")
-            into[lose] = win
-    ids = list(reason)
-    return _frame({"study_id": g["study_id"].iloc[0], "polarity": g["polarity"].iloc[0], "group_id": ids,
-                         "reason": [reason[k] for k in ids],
-                         "merged_into": pd.array([into.get(k) for k in ids], dtype="Int64")})
-
-
-def _by_component(pairs: DataFrame, a: str, b: str, info: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs and the groups they touch, both labelled with their component of the pair graph."""
-    key = lambda c: F.xxhash64("study_id", "polarity", c)
-    edges = pairs.select(key(a).alias("u"), key(b).alias("v")).distinct()
-    label = components(edges, "u", "v")
-    p = pairs.withColumn("node", key(a)).join(label, "node").drop("node")
-    i = info.withColumn("node", key("group_id")).join(label, "node").drop("node")
-    return p, i.toDF(*i.columns)  # fresh column identities: both sides descend from the same tables
-
-
-def resolve_sweep(pairs: DataFrame, groups: DataFrame) -> DataFrame:
-    """Verdicts of the sweep.  Rules see earlier decisions, so each connected component of the sparse
-    pair graph is replayed in order; components, not retention islands, are the unit of work."""
-    info = groups.select(*GROUP, "mz", "rt", "max_area", F.col("adduct").isNotNull().alias("identified"))
-    p, i = _by_component(pairs, "later", "earlier", info)
-    return p.groupBy("component").cogroup(i.groupBy("component")).applyInPandas(_replay, SWEEP_SCHEMA)
+VERDICT = {"reason": "string", "merged_into": "long"}
+
+
+def _blank(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return rows.withColumns({c: F.lit(None).cast(t) for c, t in columns.items()})
+
+
+def _sweep_rules(pair: dict, later: dict, earlier: dict) -> None:
+    """The rules of the sweep on one pair, in their order; each sees what the ones before it have dropped."""
+    rules, tracks = set(pair["rules"]), pair["tracks"]
+    named = [g for g in (later, earlier) if g["identified"]]
+    heavy, light = (later, earlier) if later["mz"] > earlier["mz"] else (earlier, later)
+    weak, strong = (later, earlier) if later["max_area"] < earlier["max_area"] else (earlier, later)
+
+    def both_kept() -> bool:
+        return later["reason"] is None and earlier["reason"] is None
+
+    if tracks and "isotope" in rules and heavy["reason"] is None and not heavy["identified"]:
+        heavy["reason"] = "M+1 isotope"
+    if tracks and "known" in rules and both_kept() and len(named) == 1:
+        (earlier if named[0] is later else later)["reason"] = "Adduct of existing identified peak"
+    if tracks and "unknown" in rules and both_kept() and not named:
+        weak["reason"] = "Adduct of existing peak"
+    if "source" in rules:  # the later group explains the earlier one
+        earlier["reason"] = "In-source fragment"
+    elif "source back" in rules:
+        later["reason"] = "In-source fragment"
+    if tracks and "dimer" in rules and not heavy["identified"]:
+        heavy["reason"] = "Dimer"
+    if "redundant" in rules and len(named) == 2:
+        kept = [g for g in (later, earlier) if g["reason"] is None]
+        # the one that is kept, else the larger; of equal areas the earlier
+        winner = kept[0] if len(kept) == 1 else later if later["max_area"] > earlier["max_area"] else earlier
+        loser = earlier if winner is later else later
+        loser["reason"], loser["merged_into"] = "Redundant Identification", winner["group_id"]
+
+
+def resolve_sweep(pairs: DataFrame, groups: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Verdicts of the sweep: pairs in the order later group ascending, earlier group descending.
+
+    The rules of a pair see earlier decisions, so pairs are settled in that order by ``settle_in_order``.  A group that no
+    pair drops has no row; a null area counts as 0.
+    """
+    info = groups.select(*GROUP, "mz", "rt", F.coalesce("max_area", F.lit(0.0)).alias("max_area"), F.col("adduct").isNotNull().alias("identified"))
+    place = lambda k: groups.select(*RUN, F.col("group_id").alias(k), F.col("rt").alias(f"{k}_rt"))
+    rule = F.when((F.col("rule") == "source") & ~F.col("forward"), "source back").otherwise(F.col("rule"))
+    one = pairs.groupBy(*RUN, "later", "earlier").agg(F.collect_set(rule).alias("rules"), F.max("tracks").alias("tracks"))
+    one = one.join(place("later"), [*RUN, "later"]).join(place("earlier"), [*RUN, "earlier"])
+    order = [F.col("later_rt"), F.col("later"), F.col("earlier_rt").desc(), F.col("earlier").desc()]
+    done = settle_in_order(one, order, ("later", "earlier"), _blank(info, VERDICT), _sweep_rules, block=block)
+    return done.filter("reason IS NOT NULL").select(*GROUP, *VERDICT)
 
 
 def correlated_unidentified(groups: DataFrame, areas: DataFrame, injections: DataFrame, min_r: float = 0.95,
@@ -529,7 +510,7 @@ def adduct_pair_candidates(groups: DataFrame, adducts: DataFrame, max_ppm: float
 
 
 def remove_adduct_pairs(groups: DataFrame, adducts: DataFrame, areas: DataFrame, injections: DataFrame, max_ppm: float = 10.0,
-                        widths: float = 1.0, min_r: float = 0.8, min_points: int = 8) -> DataFrame:
+                        widths: float = 1.0, min_r: float = 0.8, min_points: int = 8, block: int = BLOCK) -> DataFrame:
     """Verdicts for the weaker row of each confirmed pair.
 
     Direction comes from the mass evidence; when both directions hold the better-supported row wins
@@ -552,24 +533,17 @@ def remove_adduct_pairs(groups: DataFrame, adducts: DataFrame, areas: DataFrame,
     accuse = rows.withColumn("stands", stands).filter("stands")
     reason = F.concat(F.lit("Adduct pair: "), F.when(F.col("same_molecule"), "the same molecule on its ").otherwise("the "), "as_adduct",
                       F.lit(" of "), "parent_name", F.lit(" at "), F.format_string("%.3f", "parent_rt"), F.lit(" min"))
-    return _greedy(accuse.withColumn("reason", reason), groups)
-
+    # in retention order of (first, second); an accusation against or by a removed row lapses
+    ends = [F.struct(F.col(f"{k}_rt").alias("rt"), F.col(k).alias("group_id")) for k in ("parent", "ghost")]
+    ordered_pairs = accuse.select(*RUN, "parent", "ghost", reason.alias("reason"), F.least(*ends).alias("low"), F.greatest(*ends).alias("high"))
+    nodes = _blank(groups.select(*GROUP), VERDICT)
+    done = settle_in_order(ordered_pairs, [F.col("low"), F.col("high")], ("parent", "ghost"), nodes, _accuse, block=block)
+    return done.filter("reason IS NOT NULL").select(*GROUP, *VERDICT)
 
-def _greedy(accuse: DataFrame, groups: DataFrame) -> DataFrame:
-    """Accusations applied in retention order of (first, second); one against or by a removed row lapses."""
-    def run(pairs: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
-        rt = info.set_index("group_id")["rt"].to_dict()
-        key = lambda k: (rt[k], k)
-        rows = sorted(pairs.itertuples(), key=lambda p: (min(key(p.parent), key(p.ghost)), max(key(p.parent), key(p.ghost))))
-        gone: dict = {}
-        for p in rows:
-            if p.parent not in gone and p.ghost not in gone:
-                gone[p.ghost] = (p.reason, p.parent)
-        return _frame({"study_id": info["study_id"].iloc[0], "polarity": info["polarity"].iloc[0], "group_id": list(gone),
-                             "reason": [v[0] for v in gone.values()], "merged_into": pd.array([None] * len(gone), dtype="Int64")})
 
-    p, i = _by_component(accuse.select(*RUN, "parent", "ghost", "reason"), "parent", "ghost", groups.select(*GROUP, "rt"))
-    return p.groupBy("component").cogroup(i.groupBy("component")).applyInPandas(run, SWEEP_SCHEMA)
+def _accuse(pair: dict, parent: dict, ghost: dict) -> None:
+    if parent["reason"] is None and ghost["reason"] is None:
+        ghost["reason"] = pair["reason"]
 
 
 # ---- split peaks ------------------------------------------------------------------------------
@@ -611,7 +585,7 @@ def _split_test(a: np.ndarray, b: np.ndarray, pool: np.ndarray, p: dict) -> str
 
 def merge_split_peaks(groups: DataFrame, areas: DataFrame, injections: DataFrame, max_ppm: float = 10.0, widths: float = 2.0,
                       improvement: float = 1.5, min_pools: int = 3, rho: float = 0.8, ratio_cv: float = 25.0,
-                      min_shared: int = 6) -> DataFrame:
+                      min_shared: int = 6, block: int = BLOCK) -> DataFrame:
     """Merges of one peak integrated as two rows: ``group_id`` (absorbed), ``merged_into``, the final
     ``survivor`` and ``kind``.
 
@@ -622,47 +596,44 @@ def merge_split_peaks(groups: DataFrame, areas: DataFrame, injections: DataFrame
     """
     inj = injections.filter("role IN ('sample', 'qc')")
     pools = inj.groupBy(*RUN).agg(F.count_if(F.col("role") == "qc").alias("n_pool")).filter(F.col("n_pool") >= min_pools)
-    place = F.row_number().over(Window.partitionBy(*RUN).orderBy("injection")) - 1
+    # pools come first, so a vector of areas holds them in front
+    place = F.row_number().over(Window.partitionBy(*RUN).orderBy(F.col("role") == "sample", "injection")) - 1
     inj = inj.join(pools, RUN, "left_semi").withColumn("pos", place)
     cand = split_peak_candidates(groups, max_ppm, widths).join(pools, RUN, "left_semi")
     touched = cand.select(*RUN, F.col("first").alias("group_id")).union(cand.select(*RUN, F.col("second"))).distinct()
-    vec = (areas.join(touched, GROUP, "left_semi").join(inj.select(*INJ, "pos"), INJ)
-           .groupBy(*GROUP).agg(F.collect_list("pos").alias("pos"), F.collect_list(F.col("area").cast("double")).alias("area")))
-    shape = inj.groupBy(*RUN).agg(F.max("pos").alias("last"), F.collect_set(F.when(F.col("role") == "qc", F.col("pos"))).alias("pool_pos"))
-    info = (groups.select(*GROUP, "rt", "name").join(touched, GROUP, "left_semi").join(vec, GROUP, "left").join(shape, RUN))
+    cells = (areas.join(touched, GROUP, "left_semi").join(inj.select(*INJ, "pos"), INJ)
+             .groupBy(*GROUP).agg(F.collect_list("pos").alias("pos"), F.collect_list(F.col("area").cast("double")).alias("area")))
+    shape = inj.groupBy(*RUN).agg(F.count(F.lit(1)).alias("width")).join(pools, RUN)
+    info = groups.select(*GROUP, "rt").join(touched, GROUP, "left_semi").join(cells, GROUP, "left").join(shape, RUN)
+    at = lambda k: groups.select(*RUN, F.col("group_id").alias(k), F.col("rt").alias(f"{k}_rt"))
+    pairs = cand.join(at("first"), [*RUN, "first"]).join(at("second"), [*RUN, "second"])
     p = {"min_pools": min_pools, "improvement": improvement, "min_shared": min_shared, "ratio_cv": ratio_cv, "rho": rho}
 
-    def run(pairs: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        rt = rows.set_index("group_id")["rt"].to_dict()
-        value = {}
-        for r in rows.itertuples():
-            v = np.zeros(int(r.last) + 1)
-            if isinstance(r.pos, (list, np.ndarray)):
-                v[np.asarray(r.pos, dtype=int)] = r.area
-            value[r.group_id] = v
-        pool = np.asarray(sorted(rows["pool_pos"].iloc[0]), dtype=int)
-        out, into = [], {}
-        for q in sorted(pairs.itertuples(), key=lambda q: (rt[q.first], q.first, rt[q.second], q.second)):
-            if q.first in into or q.second in into:
-                continue
-            win, lose = (q.second, q.first) if value[q.first].max() < value[q.second].max() else (q.first, q.second)
-            kind = _split_test(value[win], value[lose], pool, p)
-            if kind:
-                value[win] = value[win] + value[lose]
-                into[lose] = win
-                out.append((lose, win, kind, f"Split peak, merged into {q.name} at {rt[win]:.3f} min"))
-
-        def last(k):
-            while k in into:
-                k = into[k]
-            return k
-
-        return _frame({"study_id": rows["study_id"].iloc[0], "polarity": rows["polarity"].iloc[0], "group_id": [o[0] for o in out],
-                             "merged_into": [o[1] for o in out], "survivor": [last(o[1]) for o in out], "kind": [o[2] for o in out], "reason": [o[3] for o in out]})
-
-    pr, i = _by_component(cand, "first", "second", info)
-    return pr.groupBy("component").cogroup(i.groupBy("component")).applyInPandas(
-        run, "study_id string, polarity string, group_id long, merged_into long, survivor long, kind string, reason string")
+    def absorb(pair: dict, first: dict, second: dict) -> None:
+        if first["merged_into"] is not None or second["merged_into"] is not None:
+            return
+        one, other = _dense(first), _dense(second)
+        win, lose = (second, first) if one.max() < other.max() else (first, second)
+        larger, smaller = (other, one) if win is second else (one, other)
+        kind = _split_test(larger, smaller, np.arange(win["n_pool"]), p)
+        if kind:
+            win["area"], win["pos"] = (larger + smaller).tolist(), list(range(win["width"]))
+            lose.update(merged_into=win["group_id"], kind=kind, reason=f"Split peak, merged into {pair['name']} at {win['rt']:.3f} min")
+
+    order = [F.col("first_rt"), F.col("first"), F.col("second_rt"), F.col("second")]
+    nodes = _blank(info, {"merged_into": "long", "kind": "string", "reason": "string"})
+    done = settle_in_order(pairs, order, ("first", "second"), nodes, absorb, block=block)
+    merges = done.filter("merged_into IS NOT NULL").select(*GROUP, "merged_into", "kind", "reason")
+    ends = follow(merges, "group_id", "merged_into").withColumnRenamed("merged_into", "survivor")
+    return merges.join(ends, GROUP).select(*GROUP, "merged_into", "survivor", "kind", "reason")
+
+
+def _dense(group: dict) -> np.ndarray:
+    """Areas by position, 0 where a group was not detected."""
+    out = np.zeros(group["width"])
+    if group["pos"]:
+        out[group["pos"]] = group["area"]
+    return out
 
 
 def absorb_areas(areas: DataFrame, merges: DataFrame) -> DataFrame:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from massloom.functions import names as N
 from massloom.operators.groups import duplicate_names, duplicate_verdicts, lipid_keys
 from massloom.operators.matrix import GROUP, RUN, apply_factors, median_factors, pooled_cv, recentre, wide_matrix
-from massloom.session import next_round
+from massloom.operators.order import ordered
 
 
 def result_rows(groups: DataFrame, areas: DataFrame, injections: DataFrame, verdicts: DataFrame, table: str = "final",
@@ -74,28 +74,6 @@ def inclusion_instrument(rows: DataFrame, window: float = 0.5) -> DataFrame:
     return _instrument(rows, fmt(F.greatest(F.col("rt") - window, F.lit(0.0))), fmt(F.col("rt") + window), F.lit("inclusion: MS1 feature never fragmented"))
 
 
-def ordered(rows: DataFrame, *order: Column, keys: list[str] = RUN, place: str = "place") -> DataFrame:
-    """``rows`` plus ``place``, their number from 1 in the ``order`` of each key.
-
-    The whole table is cut into ranges of (keys, order), each range is sorted in its task, and the places come from the
-    numbers of rows in the ranges before it; no key is ever sorted in one task.  ``order`` should be total: rows
-    that tie in it are numbered in any order.  The ranges are a written table, so a lost executor cannot number anew
-    what others have read.  An empty table stays empty.
-    """
-    by = [*[F.col(k) for k in keys], *order]
-    cut = rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__at", F.monotonically_increasing_id())
-    # the identifier holds the range in its upper bits and the row within it in the lower 33
-    cut = next_round(cut.withColumn("__range", F.shiftright("__at", 33)))
-    sizes = cut.groupBy("__range").agg(F.count(F.lit(1)).alias("n"))
-    # one row for each range: as many as there are shuffle partitions
-    before = sizes.select("__range", (F.sum("n").over(Window.orderBy("__range")) - F.col("n")).alias("__before"))
-    global_place = F.col("__at").bitwiseAND((1 << 33) - 1) + F.col("__before") + 1
-    numbered = cut.join(F.broadcast(before), "__range").withColumn("__global", global_place)
-    starts = numbered.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.min("__global").alias("__first"))
-    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    return numbered.join(starts, same).select(*[f"`{c}`" for c in rows.columns], (F.col("__global") - F.col("__first") + 1).alias(place))
-
-
 #: Named orders of the lists: most wasted scans first, faintest feature first, earliest group first.
 ORDERS = {"wasted": ("scans DESC", "mz"), "inclusion": ("max_area", "group_id"), "groups": ("rt", "group_id")}
 
