@@ -82,13 +82,56 @@ def sweep_input(spark, d):
         F.col("name").isNotNull(), F.array(F.col("mz") + 21.98194, F.col("mz") / 2)))
 
 
-@query("j8_j12_sweep_pairs")
+SWEEP = f"""{CELLS}, {ADD}, mx AS (SELECT study_id, polarity, group_id, cast(max(area) AS double) AS max_area FROM areas GROUP BY ALL),
+w AS MATERIALIZED (SELECT g.* EXCLUDE (adduct), CASE WHEN name IS NOT NULL THEN adduct END AS adduct, coalesce(max_area, 0) AS max_area, {SUMNAME} AS sn, 0.4e0 AS fw FROM groups g LEFT JOIN mx USING (study_id, polarity, group_id)),
+nb AS MATERIALIZED (SELECT a.study_id, a.polarity, a.group_id AS ai, b.group_id AS bi, a.mz AS am, b.mz AS bm, a.adduct AS aa, b.adduct AS ba, a.name AS an, a.sn AS asn, b.sn AS bsn,
+  (a.rt, a.group_id) > (b.rt, b.group_id) AS fwd FROM w a JOIN w b USING (study_id, polarity) WHERE a.group_id <> b.group_id AND abs(a.rt - b.rt) < 0.4e0 / 2),
+ru AS (SELECT *, 'isotope' AS rule, fwd AS forward FROM nb WHERE abs(am + 1.003 - bm) < 0.01
+ UNION ALL SELECT nb.*, 'known', fwd FROM nb JOIN ad x ON x.adduct = aa WHERE EXISTS (SELECT 1 FROM ad y WHERE abs(bm - y.adduct_mass - (am - x.adduct_mass)) / (am - x.adduct_mass) * 1e6 < 20)
+ UNION ALL SELECT DISTINCT nb.*, 'unknown', true FROM nb CROSS JOIN ad x CROSS JOIN ad y WHERE fwd AND aa IS NULL AND ba IS NULL AND x.adduct_rank <> y.adduct_rank AND abs(bm - y.adduct_mass - (am - x.adduct_mass)) / (am - x.adduct_mass) * 1e6 < 20
+ UNION ALL SELECT *, 'source', fwd FROM nb WHERE an IS NOT NULL AND least(abs(am + 21.98194e0 - bm), abs(am / 2 - bm)) / bm * 1e6 < 20
+ UNION ALL SELECT DISTINCT nb.*, 'dimer', fwd FROM nb JOIN ad x ON x.pol = polarity WHERE abs((am - adduct_mass) * 2 - (bm - adduct_mass)) / CASE WHEN fwd THEN bm - adduct_mass ELSE (am - adduct_mass) * 2 END * 1e6 < 20
+ UNION ALL SELECT *, 'redundant', true FROM nb WHERE fwd AND asn = bsn),
+pr AS (SELECT study_id, polarity, CASE WHEN fwd THEN ai ELSE bi END AS later, CASE WHEN fwd THEN bi ELSE ai END AS earlier, rule, forward FROM ru),
+tr AS (SELECT study_id, polarity, later, earlier, count(*) AS n, CASE WHEN min(x.area) = max(x.area) OR min(y.area) = max(y.area) THEN 0 ELSE corr(x.area, y.area) END AS r
+  FROM (SELECT DISTINCT study_id, polarity, later, earlier FROM pr) p JOIN cells x USING (study_id, polarity) JOIN cells y USING (study_id, polarity, injection)
+  WHERE x.group_id = later AND y.group_id = earlier AND x.role IN ('sample', 'qc', 'standard') GROUP BY ALL),
+sw AS (SELECT pr.*, coalesce(n, 0) < 5 OR r >= 0.5 AS tracks FROM pr LEFT JOIN tr USING (study_id, polarity, later, earlier))"""
+
+
+@query("j8_j12_sweep_pairs", f"WITH {SWEEP} SELECT * FROM sw")
 def sweep(spark, d):
     return G.sweep_pairs(sweep_input(spark, d), ions.adduct_table(spark), S.areas(spark, d), S.injections(spark, d)).select(
         "study_id", "polarity", "later", "earlier", "rule", "forward", "tracks")
 
 
-@query("j8_j12_sweep_verdicts")
+def _drop(condition: str, group: str, reason: str, into: str = "NULL") -> str:
+    """One more entry of a walk's log where ``condition`` holds."""
+    return f"CASE WHEN {condition} THEN [{{'id': {group}, 'reason': '{reason}', 'into': {into}::BIGINT}}] ELSE [] END"
+
+
+# one pair of every run a step; ``dead`` lists what is dropped, ``log`` all verdicts in their order
+SWEEP_WALK = f"""WITH RECURSIVE {SWEEP},
+st AS MATERIALIZED (SELECT s.*, l.name IS NOT NULL AS ln, e.name IS NOT NULL AS en, l.max_area AS la, e.max_area AS ea, CASE WHEN l.mz > e.mz THEN later ELSE earlier END AS heavy, CASE WHEN l.mz > e.mz THEN l.name ELSE e.name END IS NOT NULL AS hn,
+  row_number() OVER (PARTITION BY study_id, polarity ORDER BY l.rt, later, e.rt DESC, earlier DESC) AS i
+  FROM (SELECT study_id, polarity, later, earlier, bool_or(tracks) AS tracks, bool_or(rule = 'isotope') AS iso, bool_or(rule = 'known') AS kn, bool_or(rule = 'unknown') AS un, bool_or(rule = 'source' AND forward) AS sf,
+    bool_or(rule = 'source' AND NOT forward) AS sb, bool_or(rule = 'dimer') AS di, bool_or(rule = 'redundant') AS re FROM sw GROUP BY ALL) s
+  JOIN w l USING (study_id, polarity) JOIN w e USING (study_id, polarity) WHERE l.group_id = later AND e.group_id = earlier),
+walk AS (SELECT DISTINCT study_id, polarity, 0::BIGINT AS i, []::BIGINT[] AS dead, []::STRUCT(id BIGINT, reason VARCHAR, "into" BIGINT)[] AS log FROM st
+ UNION ALL SELECT study_id, polarity, i, list_distinct(dead || list_transform(acts, lambda x: x.id)), log || acts FROM (
+  SELECT *, a4 || {_drop("re AND ln AND en", "CASE WHEN win = later THEN earlier ELSE later END", "Redundant Identification", "win")} AS acts FROM (
+  SELECT *, CASE WHEN gl <> ge THEN CASE WHEN ge THEN later ELSE earlier END WHEN la > ea THEN later ELSE earlier END AS win FROM (
+  SELECT *, list_contains(dead || list_transform(a4, lambda x: x.id), later) AS gl, list_contains(dead || list_transform(a4, lambda x: x.id), earlier) AS ge FROM (
+  SELECT *, a3 || {_drop("sf", "earlier", "In-source fragment")} || {_drop("sb AND NOT sf", "later", "In-source fragment")} || {_drop("di AND tracks AND NOT hn", "heavy", "Dimer")} AS a4 FROM (
+  SELECT *, a2 || {_drop("un AND tracks AND NOT ln AND NOT en AND len(a2) = 0 AND NOT gl0 AND NOT ge0", "CASE WHEN la < ea THEN later ELSE earlier END", "Adduct of existing peak")} AS a3 FROM (
+  SELECT *, a1 || {_drop("kn AND tracks AND ln <> en AND len(a1) = 0 AND NOT gl0 AND NOT ge0", "CASE WHEN ln THEN earlier ELSE later END", "Adduct of existing identified peak")} AS a2 FROM (
+  SELECT *, {_drop("iso AND tracks AND NOT hn AND NOT list_contains(dead, heavy)", "heavy", "M+1 isotope")} AS a1 FROM (
+  SELECT st.*, dead, log, list_contains(dead, later) AS gl0, list_contains(dead, earlier) AS ge0 FROM walk JOIN st ON st.study_id = walk.study_id AND st.polarity = walk.polarity AND st.i = walk.i + 1) z1) z2) z3) z4) z5) z6) z7) z8),
+fin AS (SELECT study_id, polarity, unnest(log) AS e, generate_subscripts(log, 1) AS k FROM (SELECT *, row_number() OVER (PARTITION BY study_id, polarity ORDER BY i DESC) AS rn FROM walk) z WHERE rn = 1)
+SELECT study_id, polarity, e.id AS group_id, arg_max(e.reason, k) AS reason, arg_max(e."into", k) AS merged_into FROM fin GROUP BY ALL"""
+
+
+@query("j8_j12_sweep_verdicts", SWEEP_WALK)
 def sweep_verdicts(spark, d):
     g = sweep_input(spark, d)
     pairs = G.sweep_pairs(g, ions.adduct_table(spark), S.areas(spark, d), S.injections(spark, d))
