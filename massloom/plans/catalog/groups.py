@@ -153,17 +153,39 @@ def pair_groups(spark, d):
     return S.groups(spark, d).withColumn("keep", F.lit(True)).withColumn("sum_name", sum_composition(F.col("name")))
 
 
-@query("j14_adduct_pair_candidates", f"""WITH {BASE}, {ADD}, s AS (SELECT g.*, {SUMNAME} AS sn FROM groups g WHERE name IS NOT NULL),
+ADDUCT_PAIRS = f"""{CELLS}, {ADD}, s AS (SELECT g.*, {SUMNAME} AS sn FROM groups g WHERE name IS NOT NULL),
 c AS (SELECT a.study_id, a.polarity, a.group_id AS parent, b.group_id AS ghost, y.adduct AS as_adduct, y.adduct_rank, a.sn = b.sn AS same_molecule
  FROM s a JOIN ad x ON x.adduct = a.adduct JOIN s b USING (study_id, polarity) JOIN ad y ON y.pol = b.polarity
  WHERE a.group_id <> b.group_id AND abs(a.rt - b.rt) <= 0.09e0 AND NOT (a.sn = b.sn AND a.adduct = b.adduct) AND abs(abs(a.mz - b.mz) - 1.0033548) >= 0.01
-  AND abs(b.mz - y.adduct_mass - (a.mz - x.adduct_mass)) / (a.mz - x.adduct_mass) * 1e6 < 10)
-SELECT study_id, polarity, parent, ghost, arg_min(as_adduct, adduct_rank) AS as_adduct, any_value(same_molecule) AS same_molecule FROM c GROUP BY ALL""")
+  AND abs(b.mz - y.adduct_mass - (a.mz - x.adduct_mass)) / (a.mz - x.adduct_mass) * 1e6 < 10),
+ac AS (SELECT study_id, polarity, parent, ghost, arg_min(as_adduct, adduct_rank) AS as_adduct, any_value(same_molecule) AS same_molecule FROM c GROUP BY ALL)"""
+CANONICAL = " ".join(f"WHEN '{c}' THEN adduct = '{a}'" for c, a in G.CANONICAL_ADDUCT.items())
+
+
+@query("j14_adduct_pair_candidates", f"WITH {ADDUCT_PAIRS} SELECT * FROM ac")
 def j14c(spark, d):
     return G.adduct_pair_candidates(pair_groups(spark, d), ions.adduct_table(spark))
 
 
-@query("j14_remove_adduct_pairs")
+# one accusation of every run a step; ``gone`` lists the removed rows
+ADDUCT_WALK = f"""WITH RECURSIVE {ADDUCT_PAIRS}, id AS (SELECT *, least(parent, ghost) AS id_a, greatest(parent, ghost) AS id_b FROM ac),
+xy AS (SELECT study_id, polarity, id_a, id_b, x.area AS x, y.area AS y FROM (SELECT DISTINCT study_id, polarity, id_a, id_b FROM id) p JOIN cells x USING (study_id, polarity) JOIN cells y USING (study_id, polarity, injection)
+  WHERE x.group_id = id_a AND y.group_id = id_b AND x.role IN ('sample', 'qc', 'standard')),
+rk AS (SELECT *, {rank_of('id_a, id_b', 'x')} AS rx, {rank_of('id_a, id_b', 'y')} AS ry FROM xy),
+ok AS (SELECT study_id, polarity, id_a, id_b FROM rk GROUP BY ALL HAVING count(*) >= 8 AND min(rx) < max(rx) AND min(ry) < max(ry) AND corr(rx, ry) >= 0.8),
+gr AS (SELECT *, (coalesce(CASE lipid_class {CANONICAL} END, adduct IN ('[M+H]+', '[M-H]-')), coalesce(dot, 0)) AS support FROM groups),
+gd AS (SELECT id.*, p.support AS ps, g.support AS gs, (p.rt, parent) AS pk, (g.rt, ghost) AS gk, p.name AS pn, p.rt AS prt, count(*) OVER (PARTITION BY study_id, polarity, id_a, id_b) > 1 AS two
+  FROM id SEMI JOIN ok USING (study_id, polarity, id_a, id_b) JOIN gr p USING (study_id, polarity) JOIN gr g USING (study_id, polarity) WHERE p.group_id = parent AND g.group_id = ghost),
+st AS MATERIALIZED (SELECT study_id, polarity, parent, ghost, 'Adduct pair: ' || CASE WHEN same_molecule THEN 'the same molecule on its ' ELSE 'the ' END || as_adduct || ' of ' || pn || ' at ' || format('{{:.3f}}', prt) || ' min' AS reason,
+  row_number() OVER (PARTITION BY study_id, polarity ORDER BY least(pk, gk), greatest(pk, gk)) AS i FROM gd WHERE ps > gs OR (ps = gs AND (NOT two OR pk < gk))),
+walk AS (SELECT DISTINCT study_id, polarity, 0::BIGINT AS i, []::BIGINT[] AS gone, []::STRUCT(id BIGINT, reason VARCHAR)[] AS log FROM st
+ UNION ALL SELECT study_id, polarity, i, CASE WHEN hit THEN list_append(gone, ghost) ELSE gone END, CASE WHEN hit THEN list_append(log, {{'id': ghost, 'reason': reason}}) ELSE log END
+  FROM (SELECT st.*, gone, log, NOT list_contains(gone, parent) AND NOT list_contains(gone, ghost) AS hit FROM walk JOIN st ON st.study_id = walk.study_id AND st.polarity = walk.polarity AND st.i = walk.i + 1) z),
+fin AS (SELECT study_id, polarity, unnest(log) AS e FROM (SELECT *, row_number() OVER (PARTITION BY study_id, polarity ORDER BY i DESC) AS rn FROM walk) z WHERE rn = 1)
+SELECT study_id, polarity, e.id AS group_id, e.reason AS reason, NULL::BIGINT AS merged_into FROM fin"""
+
+
+@query("j14_remove_adduct_pairs", ADDUCT_WALK)
 def j14(spark, d):
     return G.remove_adduct_pairs(pair_groups(spark, d), ions.adduct_table(spark), S.areas(spark, d), S.injections(spark, d))
 
@@ -174,9 +196,55 @@ def j15c(spark, d):
     return G.split_peak_candidates(pair_groups(spark, d))
 
 
-@query("j15_merge_split_peaks")
+# the groups around a lipid are pieces of its peak, whose shares are steady, change from injection to injection, or both
+SPLIT_GROUPS = """SELECT g.study_id, g.polarity, g.group_id, g.m, g.b, p.mz + g.m % 4 * 0.0002e0 AS mz, p.rt + g.m % 4 * 0.02e0 AS rt, g.fwhm, p.name, p.adduct
+FROM {groups} g JOIN {groups} p ON p.group_id = g.b"""
+SPLIT_AREAS = """SELECT a.study_id, a.polarity, a.injection, a.group_id, cast((1000000 + area_raw % 100000) * CASE WHEN g.b % 3 = 0 THEN CASE g.m WHEN 0 THEN 20 + 15 * (slot % 4) WHEN 3 THEN 80 - 15 * (slot % 4) ELSE 4 + 9 * (slot % 2) END
+   WHEN g.b % 3 = 1 THEN CASE g.m WHEN 0 THEN 50 WHEN 1 THEN 20 WHEN 2 THEN 18 ELSE 12 END ELSE CASE g.m WHEN 0 THEN 30 + 10 * (slot % 3) WHEN 1 THEN 25 WHEN 2 THEN 12 + slot % 2 ELSE 60 - 10 * (slot % 3) END END AS bigint) AS area
+FROM (SELECT a.study_id, a.polarity, a.injection, a.group_id, a.area AS area_raw, i.inj_id % 4 + i.inj_id % 3 AS slot FROM {areas} a JOIN {injections} i ON a.study_id = i.study_id AND a.polarity = i.polarity AND a.injection = i.injection) a
+JOIN {groups} g ON a.group_id = g.group_id"""
+
+
+def split_groups(spark, d):
+    return spark.sql(SPLIT_GROUPS, groups=S.groups(spark, d)).withColumn("keep", F.lit(True))
+
+
+def split_areas(spark, d):
+    return spark.sql(SPLIT_AREAS, groups=S.groups(spark, d), areas=S.areas(spark, d), injections=S.injections(spark, d))
+
+
+def _cv(v: str) -> str:
+    return f"CASE WHEN len(list_filter({v}, lambda x: x > 0)) >= 3 AND list_avg({v}) > 0 THEN 100 * list_stddev_samp({v}) / list_avg({v}) END"
+
+
+# one pair of every run a step; ``into`` lists the absorbed rows, ``vecs`` the summed areas of the rows that absorbed them
+SPLIT_WALK = f"""WITH RECURSIVE {S.cte('areas', 'injections')}, sg AS ({SPLIT_GROUPS.format(groups='groups')}), sa AS ({SPLIT_AREAS.format(groups='groups', areas='areas', injections='injections')}),
+np AS (SELECT study_id, polarity, count(*) AS np FROM injections WHERE role = 'qc' GROUP BY ALL HAVING count(*) >= 3),
+vc AS MATERIALIZED (SELECT study_id, polarity, group_id, list(coalesce(area, 0)::DOUBLE ORDER BY role = 'sample', injection) AS v FROM sg JOIN injections USING (study_id, polarity) LEFT JOIN sa USING (study_id, polarity, group_id, injection)
+  WHERE role IN ('sample', 'qc') GROUP BY ALL),
+st AS MATERIALIZED (SELECT a.study_id, a.polarity, a.name, a.group_id AS f, b.group_id AS s, a.rt AS frt, b.rt AS srt, x.v AS fv, y.v AS sv, np, row_number() OVER (PARTITION BY a.study_id, a.polarity ORDER BY a.rt, a.group_id, b.rt, b.group_id) AS i
+  FROM sg a JOIN sg b ON a.study_id = b.study_id AND a.polarity = b.polarity AND a.name = b.name AND a.adduct = b.adduct JOIN np ON np.study_id = a.study_id AND np.polarity = a.polarity JOIN vc x ON x.group_id = a.group_id JOIN vc y ON y.group_id = b.group_id
+  WHERE (a.rt, a.group_id) < (b.rt, b.group_id) AND abs(a.rt - b.rt) <= 0.18e0 AND abs(a.mz - b.mz) / b.mz * 1e6 <= 10),
+walk AS (SELECT DISTINCT study_id, polarity, 0::BIGINT AS i, []::BIGINT[] AS gone, []::STRUCT(id BIGINT, v DOUBLE[])[] AS vecs, []::STRUCT(id BIGINT, "into" BIGINT, kind VARCHAR, reason VARCHAR)[] AS log FROM st
+ UNION ALL SELECT study_id, polarity, i, CASE WHEN kind IS NULL THEN gone ELSE list_append(gone, lose) END, CASE WHEN kind IS NULL THEN vecs ELSE list_append(vecs, {{'id': win, 'v': t}}) END,
+  CASE WHEN kind IS NULL THEN log ELSE list_append(log, {{'id': lose, 'into': win, 'kind': kind, 'reason': 'Split peak, merged into ' || name || ' at ' || format('{{:.3f}}', wrt) || ' min'}}) END FROM (
+  SELECT *, CASE WHEN list_contains(gone, win) OR list_contains(gone, lose) THEN NULL WHEN cw * 1.5 <= greatest(cl, cm) AND cl IS NOT NULL AND cm IS NOT NULL THEN 'precision' WHEN len(k) < 6 OR 100 * list_stddev_samp(q) / list_avg(q) > 25 THEN NULL
+    WHEN list_sum(list_transform(k, lambda x: (l[x] - al) * (m[x] - am))) / sqrt(list_sum(list_transform(k, lambda x: (l[x] - al) ** 2)) * list_sum(list_transform(k, lambda x: (m[x] - am) ** 2))) >= 0.8 THEN 'systematic' END AS kind FROM (
+  SELECT *, {_cv('l[1:np]')} AS cl, {_cv('m[1:np]')} AS cm, {_cv('t[1:np]')} AS cw, list_transform(k, lambda x: l[x] / m[x]) AS q, list_avg(list_transform(k, lambda x: l[x])) AS al, list_avg(list_transform(k, lambda x: m[x])) AS am FROM (
+  SELECT *, list_transform(range(1, len(l) + 1), lambda x: l[x] + m[x]) AS t, list_filter(range(1, len(l) + 1), lambda x: l[x] > 0 AND m[x] > 0) AS k FROM (
+  SELECT *, CASE WHEN sw THEN s ELSE f END AS win, CASE WHEN sw THEN f ELSE s END AS lose, CASE WHEN sw THEN v2 ELSE v1 END AS l, CASE WHEN sw THEN v1 ELSE v2 END AS m, CASE WHEN sw THEN srt ELSE frt END AS wrt FROM (
+  SELECT *, list_max(v1) < list_max(v2) AS sw FROM (
+  SELECT st.*, gone, vecs, log, coalesce(list_filter(vecs, lambda x: x.id = f)[-1].v, fv) AS v1, coalesce(list_filter(vecs, lambda x: x.id = s)[-1].v, sv) AS v2
+   FROM walk JOIN st ON st.study_id = walk.study_id AND st.polarity = walk.polarity AND st.i = walk.i + 1) z1) z2) z3) z4) z5) z6),
+fin AS MATERIALIZED (SELECT study_id, polarity, unnest(log) AS e FROM (SELECT *, row_number() OVER (PARTITION BY study_id, polarity ORDER BY i DESC) AS rn FROM walk) z WHERE rn = 1),
+fo AS (SELECT study_id, polarity, e.id AS id, e."into" AS top FROM fin UNION ALL SELECT fo.study_id, fo.polarity, fo.id, fin.e."into" FROM fo JOIN fin ON fin.study_id = fo.study_id AND fin.polarity = fo.polarity AND fin.e.id = fo.top)
+SELECT study_id, polarity, e.id AS group_id, e."into" AS merged_into, top AS survivor, e.kind AS kind, e.reason AS reason FROM fin JOIN fo USING (study_id, polarity)
+WHERE fo.id = e.id AND NOT EXISTS (SELECT 1 FROM fin n WHERE n.study_id = fo.study_id AND n.polarity = fo.polarity AND n.e.id = fo.top)"""
+
+
+@query("j15_merge_split_peaks", SPLIT_WALK)
 def j15(spark, d):
-    return G.merge_split_peaks(pair_groups(spark, d), S.areas(spark, d), S.injections(spark, d))
+    return G.merge_split_peaks(split_groups(spark, d), split_areas(spark, d), S.injections(spark, d))
 
 
 def features(spark, d):
