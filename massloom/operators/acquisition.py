@@ -15,6 +15,7 @@ from massloom.functions import names as N
 from massloom.functions.peaks import top_peaks
 from massloom.operators.band import Band, band_exists, band_join, island_bins
 from massloom.operators.matrix import INJ, RUN
+from massloom.operators.order import quantiles
 from massloom.operators.series import CH2, REPEATS, assign_series
 
 CLUSTER_PPM, BLANK_TOL = 10.0, 0.01
@@ -166,10 +167,10 @@ def injection_time_audit(scan_table: DataFrame, ceiling: float | None = None) ->
     else:
         ms2 = ms2.withColumn("ceiling", F.lit(float(ceiling)))
     at = F.col("injection_time") >= F.col("ceiling") - 1e-9
-    return ms2.groupBy(*RUN).agg(
-        F.count(F.lit(1)).alias("ms2"), F.avg(at.cast("int")).alias("at_ceiling"),
-        F.median("injection_time").alias("median_time"), F.median(F.when(at, F.col("tic"))).alias("tic_at_ceiling"),
-        F.median(F.when(~at, F.col("tic"))).alias("tic_early")).withColumn(
+    shares = ms2.groupBy(*RUN).agg(F.count(F.lit(1)).alias("ms2"), F.avg(at.cast("int")).alias("at_ceiling"))
+    middles = quantiles(ms2, RUN, {"median_time": (F.col("injection_time"), 0.5), "tic_at_ceiling": (F.when(at, F.col("tic")), 0.5),
+                                   "tic_early": (F.when(~at, F.col("tic")), 0.5)})
+    return shares.join(middles, RUN, "left").withColumn(
         "tic_ratio", F.col("tic_early") / F.greatest(F.col("tic_at_ceiling"), F.lit(1.0)))
 
 

@@ -10,6 +10,7 @@ from massloom.functions.numeric import ppm
 from massloom.functions.peaks import shift_masses
 from massloom.operators.band import Band, band_join
 from massloom.operators.matrix import GROUP, INJ, RUN
+from massloom.operators.order import quantiles
 from massloom.operators.scans import ms1_peaks
 
 # ---- fixed values ------------------------------------------------------------------------------
@@ -94,23 +95,23 @@ def derive_setting(name: str, values: DataFrame, column: str) -> DataFrame:
         raise ValueError(f"{name!r} decides what counts as a hit; it is never derived from the data")
     x = F.col(column)
     good = values.filter(x.isNotNull() & ~F.isnan(x.cast("double")))
-    n = F.col("n")
+    n, v = F.col("n"), F.col("v")
+    if name == "noise_threshold":
+        s = noise_floor(good, column)
+        return _setting(name, s, F.col("floor") * NOISE_MULTIPLIER, F.col("floor"), n >= 1000, "fewer than 1000 MS1 peaks")
+
+    def stats(rows: DataFrame, value: Column, share: float) -> DataFrame:
+        return rows.groupBy(*RUN).agg(F.count(x).alias("n")).join(quantiles(rows, RUN, {"v": (value, share)}), RUN)
+
     if name == "mass_offset_ppm":
-        s = good.groupBy(*RUN).agg(F.count(x).alias("n"), F.median(x).alias("v"))
-        return _setting(name, s, F.col("v"), F.col("v"), n >= 50, "fewer than 50 matched spectra")
+        return _setting(name, stats(good, x, 0.5), v, v, n >= 50, "fewer than 50 matched spectra")
     if name in ("chrom_fwhm", "min_fwhm", "max_fwhm"):
         q = {"chrom_fwhm": 0.5, "min_fwhm": 0.01, "max_fwhm": 0.99}[name]
-        s = good.filter(x > 0).groupBy(*RUN).agg(F.count(x).alias("n"), F.percentile(x, q).alias("v"))
-        return _setting(name, s, F.col("v"), F.col("v"), n >= 50, "fewer than 50 detected features")
+        return _setting(name, stats(good.filter(x > 0), x, q), v, v, n >= 50, "fewer than 50 detected features")
     if name == "align_rt_max_difference":
-        s = good.groupBy(*RUN).agg(F.count(x).alias("n"), (F.percentile(F.abs(x), 0.95) * 4).alias("v"))
-        return _setting(name, s, F.col("v"), F.col("v"), n >= 20, "fewer than 20 aligned features")
-    if name == "noise_threshold":
-        s = noise_floor(good, column)
-        return _setting(name, s, F.col("floor") * NOISE_MULTIPLIER, F.col("floor"), n >= 1000, "fewer than 1000 MS1 peaks")
+        return _setting(name, stats(good, F.abs(x), 0.95), v * 4, v * 4, n >= 20, "fewer than 20 aligned features")
     if name == "retention_model_max_error":
-        s = good.filter(x > 0).groupBy(*RUN).agg(F.count(x).alias("n"), (F.median(x) * 3).alias("v"))
-        return _setting(name, s, F.col("v"), F.col("v"), n >= 3, "fewer than 3 fitted class models")
+        return _setting(name, stats(good.filter(x > 0), x, 0.5), v * 3, v * 3, n >= 3, "fewer than 3 fitted class models")
     raise ValueError(f"unknown descriptive parameter {name!r}")
 
 
@@ -188,7 +189,8 @@ def ms2_axis(errors: DataFrame, configured: float = 0.01) -> DataFrame:
     """Per run: offset, share captured per ladder window after the offset, the smallest window with
     97 %, clamped to the analyser's band, and whether the configured window may stay (in band and
     capturing 90 %).  Below 200 calibrant peaks the configured window stands."""
-    mid = errors.groupBy(*RUN).agg(F.count(F.lit(1)).alias("n_peaks"), F.median("error_da").alias("offset_da"), F.mode("analyzer").alias("analyzer"))
+    mid = errors.groupBy(*RUN).agg(F.count(F.lit(1)).alias("n_peaks"), F.mode("analyzer").alias("analyzer"))
+    mid = mid.join(quantiles(errors, RUN, {"offset_da": (F.col("error_da"), 0.5)}), RUN, "left").select(*RUN, "n_peaks", "offset_da", "analyzer")
     dev = errors.select(*RUN, "error_da").join(mid, RUN).withColumn("dev", F.abs(F.col("error_da") - F.col("offset_da")))
     caps = F.array(*[F.avg((F.col("dev") <= w).cast("int")) for w in LADDER])
     at = F.avg((F.col("dev") <= configured).cast("int"))

@@ -10,6 +10,7 @@ from massloom.functions.ions import isotope_ions, peak_width
 from massloom.functions.numeric import spearman
 from massloom.operators.band import Band, band_exists, band_join
 from massloom.operators.matrix import GROUP, RUN
+from massloom.operators.order import quantiles
 
 
 def fragmentation_audit(groups: DataFrame, scans: DataFrame, ppm: float = 10.0, rt_tol: float = 0.1,
@@ -36,8 +37,10 @@ def failed_spectra(groups: DataFrame, ms2: DataFrame, artefacts: dict[str, float
     art = F.aggregate(F.filter("peaks", lambda p: F.abs(p["mz"] - bad) < 0.01), F.lit(0.0), lambda a, p: a + p["intensity"])
     s = ms2.select(*RUN, F.col("precursor_mz").alias("s_mz"), F.col("rt").alias("s_rt"), F.size("peaks").alias("n_peaks"), total.alias("tic"), art.alias("art"))
     rows = band_join(s.filter("tic > 0"), groups.select(*GROUP, "evidence", "mz", "rt"), [Band("s_mz", "mz", ppm, "ppm"), Band("s_rt", "rt", rt_tol)], keys=RUN)
-    return rows.groupBy(*RUN, "evidence").agg(F.count(F.lit(1)).alias("spectra"), F.median("tic").alias("median_tic"), F.median("n_peaks").alias("median_peaks"),
-                                              F.median(F.col("art") / F.col("tic")).alias("artefact_share"))
+    keys = [*RUN, "evidence"]
+    middles = quantiles(rows, keys, {"median_tic": (F.col("tic"), 0.5), "median_peaks": (F.col("n_peaks"), 0.5),
+                                     "artefact_share": (F.col("art") / F.col("tic"), 0.5)})
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("spectra")).join(middles, keys, "left")
 
 
 def _sum_names(rows: DataFrame) -> DataFrame:
@@ -216,11 +219,13 @@ def method_summary(groups: DataFrame, run_minutes: float) -> DataFrame:
     """Elution window (1st to 99th percentile), density, median gap and co-isolated share per run."""
     order = Window.partitionBy(*RUN).orderBy("ev")  # one run's identified rows
     gaps = groups.withColumn("gap", F.col("ev") - F.lag("ev").over(order))
-    base = gaps.groupBy(*RUN).agg(
-        F.count(F.lit(1)).alias("n"), (F.percentile("rt", 0.99) - F.percentile("rt", 0.01)).alias("window_min"),
-        (F.percentile("ev", 0.99) - F.percentile("ev", 0.01)).alias("window_ul"), F.median("gap").alias("median_gap_ul"))
-    co = coisolation(groups).groupBy(*RUN).agg((100 * F.avg((F.col("neighbours") > 0).cast("int"))).alias("pct_coisolated"),
-                                               F.median("neighbours").alias("median_neighbours"), F.avg("neighbours").alias("mean_neighbours"))
+    rt, ev = F.col("rt"), F.col("ev")
+    ends = quantiles(gaps, RUN, {"rt_low": (rt, 0.01), "rt_high": (rt, 0.99), "ev_low": (ev, 0.01), "ev_high": (ev, 0.99), "median_gap_ul": (F.col("gap"), 0.5)})
+    base = gaps.groupBy(*RUN).agg(F.count(F.lit(1)).alias("n")).join(ends, RUN, "left").select(
+        *RUN, "n", (F.col("rt_high") - F.col("rt_low")).alias("window_min"), (F.col("ev_high") - F.col("ev_low")).alias("window_ul"), "median_gap_ul")
+    near = coisolation(groups)
+    co = near.groupBy(*RUN).agg((100 * F.avg((F.col("neighbours") > 0).cast("int"))).alias("pct_coisolated"), F.avg("neighbours").alias("mean_neighbours"))
+    co = co.join(quantiles(near, RUN, {"median_neighbours": (F.col("neighbours"), 0.5)}), RUN, "left")
     return base.join(co, RUN).withColumn("pct_of_run", 100 * F.col("window_min") / run_minutes).withColumn("ids_per_ml", 1000 * F.col("n") / F.col("window_ul"))
 
 

@@ -29,3 +29,44 @@ def ordered(rows: DataFrame, *order: Column, keys: list[str] = RUN, place: str =
     starts = numbered.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.min("__global").alias("__first"))
     same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
     return numbered.join(starts, same).select(*[f"`{c}`" for c in rows.columns], (F.col("__global") - F.col("__first") + 1).alias(place))
+
+
+#: Cells of the logarithmic grid per factor e, and the shift that puts those of every positive double above 0.
+CELLS, SHIFT = 1000, 800_000
+
+
+def quantiles(rows: DataFrame, keys: list[str], wanted: dict[str, tuple[Column, float]]) -> DataFrame:
+    """``keys`` and one column per name of ``wanted`` (value, share): exact quantiles, interpolated like ``percentile``.
+
+    Values of either sign are counted on a logarithmic grid, with map-side combine.  The cells that hold the wanted ranks
+    follow from the counts, and only values of these cells are put in order, as (value, count) pairs: no task holds the
+    distinct values of a key.  Nulls and NaN are left out; a name without a value is null, and a key without any has no row.
+    Key columns are not null.
+    """
+    values = list({str(v): v for v, _ in wanted.values()}.values())
+    tags = {str(v): i for i, v in enumerate(values)}
+    entry = F.explode(F.array(*[F.struct(F.lit(i).alias("tag"), v.cast("double").alias("v")) for i, v in enumerate(values)]))
+    v = F.col("v")
+    size = F.floor(F.log(F.abs(v)) * CELLS).cast("long") + SHIFT
+    p = (rows.select(*keys, entry.alias("__e")).select(*keys, "__e.tag", "__e.v").filter(v.isNotNull() & ~F.isnan(v))
+         .withColumn("cell", F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0).cast("long"))))
+    at = [*keys, "tag"]
+    cells = p.groupBy(*at, "cell").agg(F.count(F.lit(1)).alias("n"))
+    up = Window.partitionBy(*at).orderBy("cell")
+    cells = cells.withColumn("upto", F.sum("n").over(up)).withColumn("total", F.sum("n").over(Window.partitionBy(*at)))
+    place = lambda q: (F.col("total") - 1) * F.lit(float(q))
+    asked = F.array(*[F.struct(F.lit(tags[str(c)]).alias("t"), F.lit(name).alias("name"), side.alias("side"), rank.cast("long").alias("rank"), place(q).alias("place"))
+                      for name, (c, q) in wanted.items() for side, rank in ((F.lit(0), F.floor(place(q)) + 1), (F.lit(1), F.ceil(place(q)) + 1))])
+    inside = lambda r: (r["t"] == F.col("tag")) & (r["rank"] <= F.col("upto")) & (r["rank"] > F.col("upto") - F.col("n"))
+    held = cells.withColumn("asked", F.filter(asked, inside)).filter(F.size("asked") > 0).withColumn("before", F.col("upto") - F.col("n"))
+    counts = p.join(held.select(*at, "cell"), [*at, "cell"], "left_semi").groupBy(*at, "cell", "v").agg(F.count(F.lit(1)).alias("c"))
+    placed = counts.withColumn("last", F.sum("c").over(Window.partitionBy(*at, "cell").orderBy("v")))
+    found = (placed.join(held.select(*at, "cell", "before", F.explode("asked").alias("r")), [*at, "cell"])
+             .filter((F.col("before") + F.col("last") >= F.col("r.rank")) & (F.col("before") + F.col("last") - F.col("c") < F.col("r.rank"))))
+    side = lambda name, k: F.max(F.when((F.col("r.name") == name) & (F.col("r.side") == k), v))
+
+    def between(name: str) -> Column:
+        low, high, spot = side(name, 0), side(name, 1), F.max(F.when(F.col("r.name") == name, F.col("r.place")))
+        return F.when(low == high, low).otherwise((F.ceil(spot) - spot) * low + (spot - F.floor(spot)) * high)
+
+    return found.groupBy(*keys).agg(*[between(name).alias(name) for name in wanted])

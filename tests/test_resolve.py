@@ -2,9 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from massloom.operators.order import quantiles
 from massloom.operators.resolve import follow, settle_in_order
 
 KEYS = ["study_id", "polarity"]
@@ -39,7 +41,7 @@ def _frames(spark, pairs, nodes):
     return p, n.withColumn("into", F.lit(None).cast("long"))
 
 
-@pytest.mark.parametrize("block", [3, 40, 10_000])
+@pytest.mark.parametrize("block", [25, 10_000])
 def test_any_block_gives_the_walk(spark, block):
     rng = random.Random(5)
     pairs, nodes = [], []
@@ -70,3 +72,19 @@ def test_edges(spark):
     to = spark.createDataFrame([("A", "+", i, i + 1) for i in range(9)] + [("B", "+", 1, 2)], "study_id string, polarity string, group_id long, into long")
     ends = {(r.study_id, r.group_id): r.into for r in follow(to, "group_id", "into").collect()}
     assert ends == {**{("A", i): 9 for i in range(9)}, ("B", 1): 2}
+
+
+def test_quantiles_against_sorting(spark):
+    rng = random.Random(9)
+    rows = [("A", rng.choice([rng.uniform(-50, 50), rng.gauss(0, 1e-3), 10 ** rng.uniform(-8, 8), -(10 ** rng.uniform(-3, 3)), 0.0, 2.5, 2.5, None, float("nan")]), 1.0) for _ in range(700)]
+    rows += [("B", 7.0, None)] * 50 + [("C", -1.0, 2.0), ("C", 4.0, None), ("D", None, float("nan"))]
+    df = spark.createDataFrame(rows, "k string, x double, y double")
+    shares = [0.0, 0.01, 0.25, 0.5, 0.95, 1.0]
+    wanted = {f"q{i}": (F.col("x"), q) for i, q in enumerate(shares)}
+    got = {r["k"]: r for r in quantiles(df, ["k"], {**wanted, "y_mid": (F.abs(F.col("y")) * -1, 0.5)}).collect()}
+    assert set(got) == {"A", "B", "C"}  # D has no value
+    for k in got:
+        x = sorted(v for key, v, _ in rows if key == k and v is not None and v == v)
+        assert [got[k][f"q{i}"] for i in range(len(shares))] == pytest.approx([float(np.quantile(x, q)) for q in shares], rel=1e-12, abs=1e-15)
+    assert got["A"]["y_mid"] == -1.0 and got["B"]["y_mid"] is None and got["C"]["y_mid"] == -2.0
+    assert quantiles(df.limit(0), ["k"], wanted).count() == 0
