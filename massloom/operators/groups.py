@@ -20,6 +20,7 @@ from massloom.operators.band import Band, band_join
 from massloom.operators.matrix import GROUP, INJ, RUN
 from massloom.operators.qc import pair_corr
 from massloom.operators.resolve import BLOCK, follow, settle_in_order
+from massloom.session import next_round
 
 ASSOCIATION_PPM, ISOBARIC_PPM, RT_MULTIPLIER, MAX_SHIFT = 20.0, 5.0, 2.0, 1.0
 MIN_DOT, MIN_REVERSE, MIN_PURITY = 500.0, 700.0, 75.0
@@ -44,6 +45,41 @@ def build_groups(features: DataFrame, injections: DataFrame, min_files: int = 2)
     return agg.filter(F.col("n_files") >= min_files)
 
 
+def distinct_ions(features: DataFrame, keys: list[str] = GROUP, order: tuple[str, ...] = ("injection", "mz"), min_ppm: float = ASSOCIATION_PPM) -> DataFrame:
+    """``keys, mz, ion_rank``: ions of a group at least ``min_ppm`` apart, taken in the ``order`` of its features.
+
+    A feature opens an ion when none opened before it lies nearer, in ppm of that ion.  A round opens the first feature left
+    of every group and drops what is near it, so there are as many rounds as the richest group has ions, and no group is
+    brought together.  Null masses open none; ``order`` ends in the mass, so that equal features are one.
+    """
+    place = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    left = next_round(features.filter("mz IS NOT NULL").groupBy(*keys, "mz").agg(F.min(place).alias("place")))
+    ions = next_round(left.select(*keys, "mz", F.lit(0).alias("ion_rank")).limit(0))
+    turn = 0
+    while not left.isEmpty():
+        turn += 1
+        opened = left.groupBy(*keys).agg(F.min_by("mz", "place").alias("ion"))
+        ions = next_round(ions.unionByName(opened.select(*keys, F.col("ion").alias("mz"), F.lit(turn).alias("ion_rank"))), ions)
+        near = ions.filter(F.col("ion_rank") == turn).select(*keys, F.col("mz").alias("ion"))
+        far = F.coalesce(abs_ppm(F.col("mz"), F.col("ion")) >= min_ppm, F.lit(False))
+        left = next_round(left.join(near, keys).filter(far & (F.col("mz") != F.col("ion"))).select(*left.columns), left)
+    return ions
+
+
+def quant_ions(features: DataFrame, keys: list[str] = GROUP, sign: str = "polarity", order: tuple[str, ...] = ("injection", "mz"),
+               min_ppm: float = ASSOCIATION_PPM) -> DataFrame:
+    """Per group: ``quant_ion`` and ``quant_polarity`` of its largest feature (of equal areas the first), ``n_ions`` distinct ions,
+    and whether it has a ``positive`` and a ``negative`` feature."""
+    # the later of two places is smaller here: a maximum of (area, nearness to the start)
+    first = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    top = features.groupBy(*keys).agg(F.max("area").alias("__area"))
+    best = (features.join(top, keys).filter(F.col("area") == F.col("__area")).groupBy(*keys)
+            .agg(F.min_by(F.struct("mz", sign), first).alias("q")).select(*keys, F.col("q.mz").alias("quant_ion"), F.col(f"q.{sign}").alias("quant_polarity")))
+    flags = features.groupBy(*keys).agg(F.bool_or(F.col(sign) == "+").alias("positive"), F.bool_or(F.col(sign) == "-").alias("negative"))
+    ions = distinct_ions(features, keys, order, min_ppm).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_ions"))
+    return flags.join(best, keys, "left").join(ions, keys, "left").na.fill(0, ["n_ions"])
+
+
 def run_fwhm(groups: DataFrame) -> DataFrame:
     return groups.groupBy(*RUN).agg(F.avg("fwhm").alias("run_fwhm"))
 

@@ -267,7 +267,40 @@ def a7(spark, d):
     return g.select("study_id", "polarity", "group_id", F.round("mz", 6).alias("mz"), F.round("rt", 6).alias("rt"), F.round("fwhm", 6).alias("fwhm"), "max_area", "n_features", "n_files")
 
 
-@query("a6_run_fwhm", f"WITH {BASE} SELECT study_id, polarity, round(avg(fwhm), 9) AS run_fwhm FROM groups GROUP BY ALL")
+# features of both polarities linked into one group per study, with masses up to 39 ppm apart
+IONS = """SELECT a.study_id, g.b AS group_id, CASE WHEN i.run_order % 6 = 5 THEN '-' ELSE '+' END AS polarity, a.injection, p.mz * (1 + ((i.run_order * 7 + a.group_id) % 40) * 1e-6) AS mz, a.area
+FROM {areas} a JOIN {injections} i ON a.study_id = i.study_id AND a.polarity = i.polarity AND a.injection = i.injection JOIN {groups} g ON a.group_id = g.group_id JOIN {groups} p ON p.group_id = g.b"""
+LINKED = ["study_id", "group_id"]
+
+
+def linked(spark, d):
+    return spark.sql(IONS, areas=S.areas(spark, d), injections=S.injections(spark, d), groups=S.groups(spark, d))
+
+
+# one feature of every group a step
+ION_WALK = f"""WITH RECURSIVE {S.cte('areas', 'injections')}, lf AS MATERIALIZED ({IONS.format(areas='areas', injections='injections', groups='groups')}),
+st AS MATERIALIZED (SELECT study_id, group_id, mz, row_number() OVER (PARTITION BY study_id, group_id ORDER BY injection, mz) AS i FROM lf),
+walk AS (SELECT DISTINCT study_id, group_id, 0::BIGINT AS i, []::DOUBLE[] AS ions FROM st
+ UNION ALL SELECT st.study_id, st.group_id, st.i, CASE WHEN len(list_filter(ions, lambda x: abs(st.mz - x) / x * 1e6 < 20)) = 0 THEN list_append(ions, st.mz) ELSE ions END
+  FROM walk JOIN st ON st.study_id = walk.study_id AND st.group_id = walk.group_id AND st.i = walk.i + 1),
+pk AS (SELECT study_id, group_id, arg_max(ions, i) AS ions FROM walk GROUP BY ALL)"""
+
+
+@query("a5_distinct_ions", f"""{ION_WALK}
+SELECT study_id, group_id, round(unnest(ions), 9) AS mz, generate_subscripts(ions, 1)::int AS ion_rank FROM pk""")
+def a5(spark, d):
+    return G.distinct_ions(linked(spark, d), LINKED).withColumn("mz", F.round("mz", 9))
+
+
+@query("a5_quant_ions", f"""{ION_WALK},
+fl AS (SELECT study_id, group_id, bool_or(polarity = '+') AS positive, bool_or(polarity = '-') AS negative, max(area) AS top FROM lf GROUP BY ALL),
+qi AS (SELECT study_id, group_id, arg_min((mz, polarity), (injection, mz)) AS q FROM lf JOIN fl USING (study_id, group_id) WHERE area = top GROUP BY ALL)
+SELECT study_id, group_id, positive, negative, round(q[1], 9) AS quant_ion, q[2] AS quant_polarity, len(ions) AS n_ions FROM fl JOIN qi USING (study_id, group_id) JOIN pk USING (study_id, group_id)""")
+def a5q(spark, d):
+    return G.quant_ions(linked(spark, d), LINKED).withColumn("quant_ion", F.round("quant_ion", 9))
+
+
+@query("a6_run_fwhm",f"WITH {BASE} SELECT study_id, polarity, round(avg(fwhm), 9) AS run_fwhm FROM groups GROUP BY ALL")
 def a6(spark, d):
     return G.run_fwhm(S.groups(spark, d)).withColumn("run_fwhm", F.round("run_fwhm", 9))
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from massloom.operators import groups as G
 from massloom.operators.order import quantiles
 from massloom.operators.resolve import follow, settle_in_order
 
@@ -88,3 +89,25 @@ def test_quantiles_against_sorting(spark):
         assert [got[k][f"q{i}"] for i in range(len(shares))] == pytest.approx([float(np.quantile(x, q)) for q in shares], rel=1e-12, abs=1e-15)
     assert got["A"]["y_mid"] == -1.0 and got["B"]["y_mid"] is None and got["C"]["y_mid"] == -2.0
     assert quantiles(df.limit(0), ["k"], wanted).count() == 0
+
+
+def test_ions_are_packed_in_order(spark):
+    def walk(rows):
+        ions = {}
+        for g, _, mz in sorted(r[:3] for r in rows if r[2] is not None):
+            kept = ions.setdefault(g, [])
+            if all(abs(mz - q) / q * 1e6 >= 20 for q in kept):
+                kept.append(mz)
+        return {(g, mz, i + 1) for g, kept in ions.items() for i, mz in enumerate(kept)}
+
+    rng = random.Random(2)
+    rows = [(g, f"S_{i:02d}", 500.0 * (1 + rng.randrange(90) * 1e-6), float(rng.randrange(9)), rng.choice("+-")) for g in range(12) for i in range(25)]
+    rows += [(99, "S_00", None, None, "+"), (98, "S_00", 400.0, 5.0, "-"), (98, "S_00", 400.0, 5.0, "-")]
+    f = spark.createDataFrame(rows, "group_id long, injection string, mz double, area double, polarity string")
+    assert {tuple(r) for r in G.distinct_ions(f, ["group_id"]).collect()} == walk(rows)
+    quant = {r["group_id"]: r for r in G.quant_ions(f, ["group_id"]).collect()}
+    assert (quant[99]["quant_ion"], quant[99]["n_ions"], quant[99]["positive"], quant[99]["negative"]) == (None, 0, True, False)
+    for g in range(12):
+        best = min((r for r in rows if r[0] == g), key=lambda r: (-r[3], r[1], r[2]))
+        assert (quant[g]["quant_ion"], quant[g]["quant_polarity"]) == (best[2], best[4])
+    assert G.distinct_ions(f.limit(0), ["group_id"]).count() == 0
