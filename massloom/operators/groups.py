@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from massloom.functions import names as N
 from massloom.functions.numeric import abs_ppm, half_up, ppm
 from massloom.functions.peaks import peak_height_at, relative_height
-from massloom.operators.band import Band, band_join
+from massloom.operators.band import Band, band_join, spread
 from massloom.operators.matrix import GROUP, INJ, RUN
 from massloom.operators.qc import pair_corr
 from massloom.operators.resolve import BLOCK, follow, settle_in_order
@@ -87,7 +87,7 @@ def run_fwhm(groups: DataFrame) -> DataFrame:
 def isobaric_neighbours(features: DataFrame, groups: DataFrame) -> DataFrame:
     """Ordered pairs of features of one injection within 5 ppm and six mean peak widths."""
     f = features.select(*INJ, F.col("group_id").alias("id_a"), F.col("mz").alias("mz_a"), F.col("rt_aligned").alias("rt_a"))
-    g = (features.join(run_fwhm(groups), RUN).select(*INJ, F.col("group_id").alias("id_b"), F.col("mz").alias("mz_b"),
+    g = (features.join(F.broadcast(run_fwhm(groups)), RUN).select(*INJ, F.col("group_id").alias("id_b"), F.col("mz").alias("mz_b"),
                                                      F.col("rt_aligned").alias("rt_b"), (F.col("run_fwhm") * 6).alias("reach")))
     lighter = F.least("mz_a", "mz_b")
     pairs = band_join(f, g, [Band("mz_a", "mz_b", ISOBARIC_PPM * 1.00001, "ppm"), Band("rt_a", "rt_b", "reach", strict=True, width=1.0)],
@@ -109,8 +109,8 @@ def associate(hits: DataFrame, features: DataFrame, groups: DataFrame) -> DataFr
     keep = hits.filter((F.col("dot") > MIN_DOT) & (F.col("reverse_dot") > MIN_REVERSE)
                        & (N.name_polarity(F.col("name")) == F.col("polarity")))
     cols = keep.columns
-    widths = run_fwhm(groups)
-    f = (features.join(groups.select(*GROUP, F.col("mz").alias("quant_mz"), F.col("rt").alias("group_rt")), GROUP)
+    widths = F.broadcast(run_fwhm(groups))  # one row per run
+    f = (features.join(spread(groups.select(*GROUP, F.col("mz").alias("quant_mz"), F.col("rt").alias("group_rt"))), GROUP)
          .select(*INJ, "group_id", F.col("mz").alias("f_mz"), "quant_mz", "group_rt", F.col("rt_aligned").alias("f_rt"),
                  F.col("rt_measured").alias("f_measured"), F.col("fwhm").alias("f_fwhm"), F.col("area").alias("f_area"),
                  (F.col("fwhm") * RT_MULTIPLIER).alias("f_window")))
@@ -332,7 +332,7 @@ def class_rt_filter(groups: DataFrame, multiplier: float = 2.0) -> DataFrame:
 def _sides(groups: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
     a = groups.select(*RUN, *[F.col(c).alias(f"a_{c}") for c in columns])
     widest = groups.groupBy(*RUN).agg((F.max("fwhm") / 2).alias("b_reach"))
-    b = groups.join(widest, RUN).select(*RUN, *[F.col(c).alias(f"b_{c}") for c in columns], "b_reach")
+    b = groups.join(F.broadcast(widest), RUN).select(*RUN, *[F.col(c).alias(f"b_{c}") for c in columns], "b_reach")
     return a, b
 
 
@@ -369,10 +369,10 @@ def adduct_pairs_known(groups: DataFrame, adducts: DataFrame, divisor: float = 2
     """``known, other``: the neutral mass of an identified group (its adduct is known) is that of the
     other under some adduct, strictly within 20 ppm.  ``groups`` carries ``adduct`` (null when
     unidentified)."""
-    a, b = _sides(groups, BASIC)
-    known = (groups.select(*GROUP, F.col("adduct")).join(adducts.select("adduct", "adduct_mass"), "adduct")
-             .select(*RUN, F.col("group_id").alias("a_group_id"), "adduct_mass"))
-    a = a.join(known, [*RUN, "a_group_id"]).withColumn("a_neutral", F.col("a_mz") - F.col("adduct_mass")).drop("adduct_mass")
+    a, b = _sides(groups, [*BASIC, "adduct"])
+    a = (a.join(adducts.select(F.col("adduct").alias("a_adduct"), "adduct_mass"), "a_adduct")
+         .withColumn("a_neutral", F.col("a_mz") - F.col("adduct_mass")).drop("adduct_mass", "a_adduct"))
+    b = b.drop("b_adduct")
     b = _per_adduct(b, adducts, "b_").withColumn("b_neutral", F.col("b_mz") - F.col("b_shift"))
     pairs = band_join(a, b, [Band("a_neutral", "b_neutral", ASSOCIATION_PPM, "ppm", strict=True, base="left"), _rt_band()],
                       keys=RUN, where=f"{_window(divisor)} AND a_group_id <> b_group_id")
@@ -393,9 +393,9 @@ def adduct_pairs_unknown(groups: DataFrame, adducts: DataFrame, divisor: float =
 def in_source_pairs(groups: DataFrame, divisor: float = 2.0) -> DataFrame:
     """``parent, fragment``: another group's ion is strictly within 20 ppm of one of this lipid's
     fragments.  ``groups`` carries ``fragments array<double>``."""
-    a, b = _sides(groups, BASIC)
-    masses = groups.select(*RUN, F.col("group_id").alias("a_group_id"), F.explode("fragments").alias("a_fragment"))
-    pairs = band_join(a.join(masses, [*RUN, "a_group_id"]), b,
+    a, b = _sides(groups, [*BASIC, "fragments"])
+    a, b = a.withColumn("a_fragment", F.explode("a_fragments")).drop("a_fragments"), b.drop("b_fragments")
+    pairs = band_join(a, b,
                       [Band("a_fragment", "b_mz", ASSOCIATION_PPM, "ppm", strict=True), _rt_band()], keys=RUN,
                       where=f"{_window(divisor)} AND a_group_id <> b_group_id")
     return pairs.select(*RUN, F.col("a_group_id").alias("parent"), F.col("b_group_id").alias("fragment")).distinct()
@@ -535,7 +535,7 @@ def adduct_pair_candidates(groups: DataFrame, adducts: DataFrame, max_ppm: float
     own = named.join(table.select("adduct", F.col("adduct_mass").alias("own_mass")), "adduct")
     a = own.select(*RUN, F.col("group_id").alias("parent"), F.col("rt").alias("a_rt"), F.col("mz").alias("a_mz"), F.col("adduct").alias("a_adduct"),
                    F.col("sum_name").alias("a_sum"), (F.col("mz") - F.col("own_mass")).alias("a_neutral"))
-    b = (named.withColumnRenamed("adduct", "b_adduct").join(table, F.col("polarity") == F.col("adduct_polarity")).join(reach, RUN)
+    b = (named.withColumnRenamed("adduct", "b_adduct").join(table, F.col("polarity") == F.col("adduct_polarity")).join(F.broadcast(reach), RUN)
          .select(*RUN, F.col("group_id").alias("ghost"), F.col("rt").alias("b_rt"), F.col("mz").alias("b_mz"), "b_adduct", F.col("sum_name").alias("b_sum"),
                  F.col("adduct").alias("as_adduct"), "adduct_rank", (F.col("mz") - F.col("adduct_mass")).alias("b_neutral"), "b_reach"))
     pairs = band_join(a, b, [Band("a_neutral", "b_neutral", max_ppm, "ppm", strict=True, base="left"), Band("a_rt", "b_rt", "b_reach", width=0.25)], keys=RUN,

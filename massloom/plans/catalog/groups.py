@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from massloom.functions import ions
 from massloom.functions.peaks import FWHM_TO_SIGMA, GAUSS_BASE
 from massloom.operators import groups as G
+from massloom.operators.band import spread
 from massloom.plans import standin as S
 from massloom.plans.catalog.acquisition import area_groups
 from massloom.plans.catalog.matrix import CELLS
@@ -250,7 +251,7 @@ def j15(spark, d):
 def features(spark, d):
     """One feature per detected cell; measured retention drifts with run order."""
     a = S.areas(spark, d).join(S.injections(spark, d).select("study_id", "polarity", "injection", "run_order"), ["study_id", "polarity", "injection"])
-    return a.join(S.groups(spark, d).select("study_id", "polarity", "group_id", "mz", "rt", "fwhm"), ["study_id", "polarity", "group_id"]).selectExpr(
+    return a.join(spread(S.groups(spark, d).select("study_id", "polarity", "group_id", "mz", "rt", "fwhm")), ["study_id", "polarity", "group_id"]).selectExpr(
         "study_id", "polarity", "group_id", "injection", "run_order", "mz * (1 + (run_order % 5) * 1e-7) AS mz", "rt AS rt_aligned",
         "rt + run_order * 0.001e0 + rt * 0.0005e0 AS rt_measured", "fwhm", "cast(area AS double) AS area")
 
@@ -313,7 +314,7 @@ def j6(spark, d):
 
 def hits(spark, d):
     """Two spectra per named feature, a few of them off the peak."""
-    f = features(spark, d).join(S.groups(spark, d).select("group_id", "name", "adduct", "dot"), "group_id").filter("name IS NOT NULL")
+    f = features(spark, d).join(spread(S.groups(spark, d).select("group_id", "name", "adduct", "dot")), "group_id").filter("name IS NOT NULL")
     f = f.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
     return f.selectExpr(
         "study_id", "polarity", "injection", "group_id * 2 + copy AS ms2_id", "1 AS rank",

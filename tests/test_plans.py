@@ -38,3 +38,26 @@ def test_result_is_independent_of_partitioning(spark, key):
         assert rows() == first
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_growing_sides_are_shuffled_not_collected(spark):
+    """A few rows stand for a table whose compressed files look small: no side but one row per run may be broadcast."""
+    from pyspark.sql import functions as F
+
+    from massloom.functions import ions
+    from massloom.operators import groups as G
+    from massloom.operators.band import Band, band_join
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    a = spark.createDataFrame([(1, 5.0)], "ia int, x double")
+    b = spark.createDataFrame([(1, 5.1)], "ib int, y double")
+    assert "Broadcast" not in plan(band_join(a, b, [Band("x", "y", 0.2)]))
+    g = spark.createDataFrame([("A", "+", i, 500.0 + i, 5.0, 0.4, "[M+H]+", [500.0]) for i in range(3)],
+                              "study_id string, polarity string, group_id long, mz double, rt double, fwhm double, adduct string, fragments array<double>")
+    for pairs, small in ((G.in_source_pairs(g), 1), (G.adduct_pairs_known(g, ions.adduct_table(spark)), 2)):
+        assert plan(pairs).count("BroadcastHashJoin") <= small, plan(pairs)
+    assert {tuple(r) for r in G.in_source_pairs(g).select("parent", "fragment").collect()} == {(1, 0), (2, 0)}
+    shared = g.withColumn("mz", F.lit(500.0))
+    assert G.adduct_pairs_known(shared, ions.adduct_table(spark)).count() == 6
