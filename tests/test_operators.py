@@ -529,3 +529,43 @@ def test_unclaimed_series_as_a_greedy_walk(spark):
             claimed.update(chain)
             want |= {(start, n + 1, k) for n, k in enumerate(chain)}
     assert {(x.series, x.member, x.group_id) for x in R.unclaimed_series(frame).collect()} == want and len(want) > 8
+
+
+@pytest.mark.parametrize("spacing", [5.0, 0.012])  # masses that fall apart, and masses that must be walked
+def test_blocks_score_as_the_walk_and_keep_the_best(spark, monkeypatch, spacing):
+    rng = random.Random(3)
+
+    def peaks(n):
+        mz = sorted(round(100 + spacing * k + rng.uniform(-0.004, 0.004), 4) for k in rng.sample(range(12), n))
+        return [(m, rng.uniform(20.0, 999.0)) for m in mz]
+
+    spectra = [("A", "+", "i", i, 500.0 + 0.004 * rng.randrange(6), 1.0, peaks(rng.randint(1, 8))) for i in range(60)]
+    entries = [("L", 0, i, f"PC {i} [M+H]+;", 500.0 + 0.004 * rng.randrange(6), True, "+", peaks(rng.randint(1, 8))) for i in range(40)]
+    entries += [("L", 0, 100 + i, f"copy {i} [M+H]+;", *e[4:]) for i, e in enumerate(entries[:10])]
+    ms2 = spark.createDataFrame(spectra, f"{RUN}, injection string, ms2_id long, precursor_mz double, rt double, peaks array<struct<mz double, intensity double>>")
+    lib = spark.createDataFrame(entries, "library string, lib_rank int, entry_seq long, name string, precursor_mz double, is_native boolean, optimal_polarity string, peaks array<struct<mz double, intensity double>>")
+    prepared = SE.prepare_spectra(ms2), SE.prepare_library(lib)
+    walked = SE.score(SE.candidates(*prepared)).select("ms2_id", "entry_seq", "dot", "reverse_dot").collect()
+    dealt = SE.score(SE.candidates(*prepared, blocks=7), columns=["ms2_id", "entry_seq"]).collect()
+    want, got = ({(r["ms2_id"], r["entry_seq"]): (r["dot"], r["reverse_dot"]) for r in rows} for rows in (walked, dealt))
+    assert len(walked) == len(dealt) and want.keys() == got.keys() and len(want) > 500
+    assert all(got[k] == pytest.approx(v, rel=1e-9, abs=1e-9) for k, v in want.items())
+    mass = {e[2]: e[4] for e in entries}
+    low = min(mass.values())
+    ranked: dict = {}
+    for (s, e), (dot, _) in want.items():
+        if dot > 1:
+            ranked.setdefault(s, []).append((-round(dot, 9), (mass[e] - low) // 0.001, -mass[e], e))
+    monkeypatch.setattr(SE, "BLOCK", 7)
+    top = SE.search(ms2, lib, max_results=3, keep_peaks=True).collect()
+    assert {(r["ms2_id"], r["rank"]): r["entry_seq"] for r in top} == {(s, i + 1): x[-1] for s, v in ranked.items() for i, x in enumerate(sorted(v)[:3])}
+    content = {e[2]: e[-1] for e in entries}
+    assert all([tuple(p) for p in r["lib_peaks"]] == content[r["entry_seq"]] for r in top)
+
+
+def test_search_and_purity_carry_no_peaks_through_sorts(spark):
+    kind = "array<struct<mz double, intensity double>>"
+    ms2 = spark.createDataFrame([("A", "+", "i", 1, 500.0, 1.0, [(100.0, 9.0)])], f"{RUN}, injection string, ms2_id long, precursor_mz double, rt double, peaks {kind}")
+    lib = spark.createDataFrame([("L", 0, 1, "x", 500.0, True, True, [(100.0, 9.0)])], f"library string, lib_rank int, entry_seq long, name string, precursor_mz double, is_native boolean, optimal_polarity boolean, peaks {kind}")
+    plan = SE.search(ms2, lib, keep_peaks=True)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "ArrowEvalPython" not in plan and "min_by" not in plan
