@@ -12,13 +12,16 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from massloom.functions import names as N
 from massloom.functions.numeric import abs_ppm, half_up, ppm
 from massloom.functions.peaks import peak_height_at, relative_height
-from massloom.operators.band import Band, band_join, spread
+from massloom.operators import kernels
+from massloom.operators.band import Band, band_join, deal, spread
 from massloom.operators.matrix import GROUP, INJ, RUN
-from massloom.operators.qc import pair_corr
+from massloom.operators.qc import TRACKED, packed_cells, pair_corr
 from massloom.operators.resolve import BLOCK, follow, settle_in_order
 from massloom.session import next_round
 
@@ -26,6 +29,8 @@ ASSOCIATION_PPM, ISOBARIC_PPM, RT_MULTIPLIER, MAX_SHIFT = 20.0, 5.0, 2.0, 1.0
 MIN_DOT, MIN_REVERSE, MIN_PURITY = 500.0, 700.0, 75.0
 ISOTOPE_STEP, ISOTOPE_TOL = 1.003, 0.01
 BUCKET = 0.1
+#: Groups of one block whose areas are correlated.
+CORRELATED = 2_048
 # ---- fixed values: the ion a class is normally quantified on ----------------------------------
 CANONICAL_ADDUCT = {"TG": "[M+NH4]+", "DG": "[M+NH4]+", "CE": "[M+NH4]+", "PC": "[M+H]+", "PE": "[M+H]+",
                     "PS": "[M+H]+", "PI": "[M+H]+", "SM": "[M+H]+", "Cer": "[M+H]+"}
@@ -514,14 +519,27 @@ def resolve_sweep(pairs: DataFrame, groups: DataFrame, block: int = BLOCK) -> Da
 
 def correlated_unidentified(groups: DataFrame, areas: DataFrame, injections: DataFrame, min_r: float = 0.95,
                             min_points: int = 5, divisor: float = 0.5) -> DataFrame:
-    """Unidentified kept groups within two widths of an identified one they track at r >= 0.95."""
+    """Unidentified kept groups within two widths of an identified one they track at r >= 0.95.
+
+    Nearly all pairs of a retention window are judged, so no pair is a row: groups with their cells are dealt to blocks by
+    retention, and a block leaves the unidentified groups that track one.
+    """
     live = groups.filter("keep")
     a = live.filter("identified").select(*RUN, F.col("group_id").alias("id_b"), F.col("rt").alias("b_rt"))
     u = live.filter("NOT identified").select(*RUN, F.col("group_id").alias("id_a"), F.col("rt").alias("a_rt"), (F.col("fwhm") / divisor).alias("a_reach"))
-    pairs = band_join(a, u.filter("a_reach > 0"), [Band("b_rt", "a_rt", "a_reach", strict=True, width=0.25)], keys=RUN)
-    r = pair_corr(pairs.select(*RUN, "id_a", "id_b"), areas, injections, min_points)
-    return r.filter(F.col("r") >= min_r).select(*RUN, F.col("id_a").alias("group_id")).distinct().withColumn(
-        "reason", F.lit("Correlated with identified peak"))
+    packed = packed_cells(areas, injections, TRACKED)
+    side = lambda rows, k: rows.join(spread(packed.withColumnRenamed("group_id", k)), [*RUN, k])
+    width = 0.25
+    u = side(u.filter("a_reach > 0 AND a_rt IS NOT NULL"), "id_a").withColumn("__bin", F.explode(F.sequence(
+        F.floor((F.col("a_rt") - F.col("a_reach")) / width - 1e-6), F.floor((F.col("a_rt") + F.col("a_reach")) / width + 1e-6))))
+    a = side(a.filter("b_rt IS NOT NULL"), "id_b").withColumn("__bin", F.floor(F.col("b_rt") / width))
+    at = [*RUN, "__bin"]
+    u, a = deal(u, a, at, ["id_a"], ["id_b"], CORRELATED)
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in u.select(*RUN, "id_a").schema.fields])
+    run = kernels.tracked_rows(min_r, min_points, [*RUN, "id_a"], to_arrow_schema(schema))
+    at = [*at, "__s", "__l"]
+    found = u.groupBy(*at).cogroup(a.groupBy(*at)).applyInArrow(run, schema)
+    return found.select(*RUN, F.col("id_a").alias("group_id")).distinct().withColumn("reason", F.lit("Correlated with identified peak"))
 
 
 # ---- adduct pairs between identified rows -----------------------------------------------------

@@ -569,3 +569,45 @@ def test_search_and_purity_carry_no_peaks_through_sorts(spark):
     lib = spark.createDataFrame([("L", 0, 1, "x", 500.0, True, True, [(100.0, 9.0)])], f"library string, lib_rank int, entry_seq long, name string, precursor_mz double, is_native boolean, optimal_polarity boolean, peaks {kind}")
     plan = SE.search(ms2, lib, keep_peaks=True)._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "ArrowEvalPython" not in plan and "min_by" not in plan
+
+
+def test_correlated_unidentified_in_blocks_matches_brute_force(spark, monkeypatch):
+    rng = random.Random(8)
+    monkeypatch.setattr(G, "CORRELATED", 5)
+    names = [f"s{i}" for i in range(12)]
+    inj = spark.createDataFrame([("A", "+", n, "blank" if i == 0 else "sample") for i, n in enumerate(names)], f"{RUN}, injection string, role string")
+    base = [rng.uniform(1e3, 1e9) for _ in names]
+    groups, areas = [], {}
+    for i in range(60):
+        groups.append(("A", "+", i, round(rng.uniform(0, 4), 3), 0.2 + 0.1 * (i % 3), i % 9 != 0, i % 2 == 0))
+        noise = (0.0, 0.1, 0.3, 5.0)[i % 4]
+        row = [1e6 if i % 10 == 7 else b * (1 + rng.uniform(-noise, noise)) for b in base]
+        areas[i] = {n: v for n, v in zip(names, row, strict=True) if rng.random() > 0.3 and v > 0}
+    g = spark.createDataFrame(groups, f"{RUN}, group_id long, rt double, fwhm double, keep boolean, identified boolean")
+    a = spark.createDataFrame([("A", "+", i, n, v) for i, row in areas.items() for n, v in row.items()], f"{RUN}, group_id long, injection string, area double")
+
+    def corr(i, j):
+        shared = [n for n in names[1:] if n in areas[i] and n in areas[j]]
+        x, y = [areas[i][n] for n in shared], [areas[j][n] for n in shared]
+        if len(shared) < 5:
+            return None
+        return 0.0 if min(x) == max(x) or min(y) == max(y) else float(np.corrcoef(x, y)[0, 1])
+
+    live = [r for r in groups if r[5]]
+    pairs = [(u[2], i[2]) for u in live if not u[6] for i in live if i[6] and abs(u[3] - i[3]) < u[4] / 0.5]
+    want = {u for u, i in pairs if (corr(u, i) or 0.0) >= 0.95}
+    got = [r["group_id"] for r in G.correlated_unidentified(g, a, inj).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and 3 < len(want) < len({u for u, _ in pairs})
+    frame = spark.createDataFrame([("A", "+", u, i) for u, i in pairs], f"{RUN}, id_a long, id_b long")
+    for r in Q.pair_corr(frame, a, inj).collect():
+        value = corr(r["id_a"], r["id_b"])
+        assert r["r"] == (None if value is None else pytest.approx(value, abs=1e-9))
+
+
+def test_pairs_are_never_spread_over_cells(spark):
+    """A pair used to become one row for each cell; now a group's cells travel as one row."""
+    inj = spark.createDataFrame([("A", "+", "s", "sample")], f"{RUN}, injection string, role string")
+    areas = spark.createDataFrame([("A", "+", 1, "s", 2.0)], f"{RUN}, group_id long, injection string, area double")
+    pairs = spark.createDataFrame([("A", "+", 1, 1)], f"{RUN}, id_a long, id_b long")
+    plan = Q.pair_corr(pairs, areas, inj)._jdf.queryExecution().optimizedPlan().toString()
+    assert "corr(" not in plan and "collect_list" in plan
