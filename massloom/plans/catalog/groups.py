@@ -77,7 +77,7 @@ def j12(spark, d):
 
 def sweep_input(spark, d):
     from massloom.functions.names import sum_composition
-    g = wide(spark, d).join(area_groups(spark, d).select("group_id", "max_area"), "group_id")
+    g = wide(spark, d).join(spread(area_groups(spark, d).select("group_id", "max_area")), "group_id")
     g = cut_lineage(g)  # the group table is read by six rules
     return g.withColumn("sum_name", sum_composition(F.col("name"))).withColumn("fragments", F.when(
         F.col("name").isNotNull(), F.array(F.col("mz") + 21.98194, F.col("mz") / 2)))

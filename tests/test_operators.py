@@ -611,3 +611,16 @@ def test_pairs_are_never_spread_over_cells(spark):
     pairs = spark.createDataFrame([("A", "+", 1, 1)], f"{RUN}, id_a long, id_b long")
     plan = Q.pair_corr(pairs, areas, inj)._jdf.queryExecution().optimizedPlan().toString()
     assert "corr(" not in plan and "collect_list" in plan
+
+
+def test_coisolation_counts_in_blocks(spark, monkeypatch):
+    from massloom.operators import compare as C
+    rng = random.Random(5)
+    monkeypatch.setattr(C, "COISOLATED", 4)
+    rows = [("A", "+" if i % 2 else "-", i, round(rng.uniform(-2, 6), 2), round(rng.uniform(0, 60), 1)) for i in range(120)] + [("A", "+", 500, None, 3.0)]
+    frame = spark.createDataFrame(rows, f"{RUN}, group_id long, mz double, ev double")
+    near = C.coisolation(frame, 15.0, 1.0)
+    assert "SortMergeJoin [study_id" in near._jdf.queryExecution().executedPlan().toString() and "FlatMapCoGroupsInArrow" in near._jdf.queryExecution().executedPlan().toString()
+    want = {a[2]: sum(b[1] == a[1] and b[2] != a[2] and None not in (a[3], b[3]) and abs(a[3] - b[3]) <= 1.0 and abs(a[4] - b[4]) <= 15.0 for b in rows) for a in rows}
+    got = {r["group_id"]: r["neighbours"] for r in near.collect()}
+    assert got == want and sum(want.values()) > 300
