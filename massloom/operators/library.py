@@ -7,13 +7,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from massloom.functions import names as N
 from massloom.functions.ions import max_double_bonds
-from massloom.operators.band import Band, band_join
+from massloom.operators import kernels
+from massloom.operators.band import deal
 
 CH2, HEAD_SHIFT = 14.015650, 6.3721
 MS1_TOL = MS2_TOL = 0.01
+#: Decoys, and targets, of one block of the screen.
+SCREENED = 256
 _ONE = r"([dtmDTM]|[OPop]-)?(\d+):(\d+)"
 _CHAINS = r"_\[((?:[dtmDTM]|[OPop]-)?\d+:\d+(?:,\s*(?:[dtmDTM]|[OPop]-)?\d+:\d+)*)\]\s*$"
 
@@ -66,27 +71,30 @@ def _chain_masses(peaks: str) -> Column:
     return F.transform(F.filter(peaks, lambda p: chain_text(p["annotation"]) != ""), lambda p: p["mz"])
 
 
-def _contained(small: Column, large: Column) -> Column:
-    return F.forall(small, lambda a: F.exists(large, lambda b: F.abs(a - b) <= F.lit(MS2_TOL)))
-
-
 def screen_decoys(decoys: DataFrame, targets: DataFrame) -> DataFrame:
     """Decoys a real entry at the same precursor cannot be told from: ``name, target, rule``.
 
     ``same-composition`` (the shifted fragments assert the target's chains), ``decoy-in-target`` and
     ``target-in-decoy`` (chain peaks contained either way).  A decoy without chain peaks never
-    collides.  The first target by name and the first rule that applies are reported.
+    collides.  The first target by name and the first rule that applies are reported, also where several entries
+    have that name.  Decoys and targets meet in blocks, and a block leaves one target a decoy.
     """
     asserted = F.array_sort(F.array_distinct(F.flatten(F.transform(F.filter("peaks", lambda p: chain_text(p["annotation"]) != ""),
                                                                    lambda p: F.split(chain_text(p["annotation"]), r",\s*")))))
     d = decoys.select("name", "precursor_mz", _chain_masses("peaks").alias("d_mz"), asserted.alias("d_comp")).filter(F.size("d_mz") > 0)
     t = targets.select(F.col("name").alias("target"), F.col("precursor_mz").alias("t_prec"), _chain_masses("peaks").alias("t_mz"), _asserted(F.col("name")).alias("t_comp"))
-    pairs = band_join(d, t, [Band("precursor_mz", "t_prec", MS1_TOL)], salt=2)
-    rule = (F.when((F.size("d_comp") > 0) & (F.size("t_comp") > 0) & (F.col("d_comp") == F.col("t_comp")), "same-composition")
-            .when((F.size("t_mz") > 0) & _contained(F.col("d_mz"), F.col("t_mz")), "decoy-in-target")
-            .when((F.size("t_mz") > 0) & _contained(F.col("t_mz"), F.col("d_mz")), "target-in-decoy"))
-    hit = pairs.withColumn("rule", rule).filter("rule IS NOT NULL")
-    return hit.groupBy("name").agg(F.min_by(F.struct("target", "rule"), "target").alias("h")).select("name", "h.target", "h.rule")
+    width = 2 * MS1_TOL
+    edge = lambda side: F.floor((F.col("t_prec") + side * MS1_TOL) / width + side * 1e-6)
+    # equal rows collide alike; those left differ in what deals them to blocks
+    d = d.filter("precursor_mz IS NOT NULL").distinct().withColumn("__bin", F.floor(F.col("precursor_mz") / width))
+    t = t.filter("t_prec IS NOT NULL").distinct().withColumn("__bin", F.explode(F.sequence(edge(-1), edge(1))))
+    d, t = deal(d, t, ["__bin"], ["name", "precursor_mz", "d_mz"], ["target", "t_prec", "t_mz"], SCREENED)
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("target", T.StringType()), T.StructField("place", T.LongType())])
+    at = ["__bin", "__s", "__l"]
+    hit = d.groupBy(*at).cogroup(t.groupBy(*at)).applyInArrow(kernels.collisions(MS1_TOL, MS2_TOL, to_arrow_schema(schema)), schema)
+    rules = F.array(*[F.lit(r) for r in ("same-composition", "decoy-in-target", "target-in-decoy")])
+    first = hit.groupBy("name").agg(F.min(F.struct("target", "place")).alias("h"))
+    return first.select("name", "h.target", F.get(rules, F.col("h.place").cast("int")).alias("rule"))
 
 
 def infer_chain_peaks(library: DataFrame, tol: float = 0.01) -> DataFrame:

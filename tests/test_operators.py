@@ -624,3 +624,29 @@ def test_coisolation_counts_in_blocks(spark, monkeypatch):
     want = {a[2]: sum(b[1] == a[1] and b[2] != a[2] and None not in (a[3], b[3]) and abs(a[3] - b[3]) <= 1.0 and abs(a[4] - b[4]) <= 15.0 for b in rows) for a in rows}
     got = {r["group_id"]: r["neighbours"] for r in near.collect()}
     assert got == want and sum(want.values()) > 300
+
+
+def test_screen_decoys_in_blocks_matches_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(L, "SCREENED", 5)
+    rng = random.Random(4)
+
+    def peaks():
+        return sorted({round(100 + 0.008 * rng.randrange(5), 3) for _ in range(rng.randint(1, 3))})
+
+    entry = lambda name, mz, comp: (name, round(500 + 0.005 * rng.randrange(6), 3), [(m, 9.0, f"X_[{comp}]", "t", comp) for m in mz])
+    decoys = [entry(f"DECOY_ PC {i % 12}:0_2:0 [M+H]+;", peaks(), f"{10 + i % 9}:0") for i in range(40)]
+    targets = [entry(f"PC {10 + i % 11}:0_{10 + i % 11}:0 [M+H]+;", peaks(), "7:0") for i in range(40)]
+    schema = "name string, precursor_mz double, peaks array<struct<mz double, intensity double, annotation string, type string, chain string>>"
+    screened = L.screen_decoys(spark.createDataFrame(decoys, schema), spark.createDataFrame(targets, schema))
+    assert "FlatMapCoGroupsInArrow" in screened._jdf.queryExecution().executedPlan().toString()
+    asserted = {r["name"]: r["c"] for r in spark.createDataFrame(targets, schema).select("name", L._asserted(F.col("name")).alias("c")).collect()}
+    within = lambda a, b: all(any(abs(x[0] - y[0]) <= L.MS2_TOL for y in b) for x in a)
+    want: dict = {}
+    for name, mz, p in decoys:
+        for target, other, q in targets:
+            if abs(mz - other) <= L.MS1_TOL:
+                rule = 0 if asserted[target] and sorted({p[0][4]}) == asserted[target] else 1 if within(p, q) else 2 if within(q, p) else 3
+                if rule < 3:
+                    want[name] = min(want.get(name, (target, rule)), (target, rule))
+    rules = ("same-composition", "decoy-in-target", "target-in-decoy")
+    assert {r["name"]: (r["target"], rules.index(r["rule"])) for r in screened.collect()} == want and len(want) > 5
