@@ -166,14 +166,15 @@ def rt_correction(features: DataFrame) -> DataFrame:
     """Smoothed deviation (measured minus aligned) at each aligned retention of an injection.
 
     Local regression is sequential in retention, so it runs per injection, whose features are
-    bounded by one LC run.
+    bounded by one LC run; its time grows with their number and its logarithm.
     """
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["rt_aligned", "group_id"]).reset_index(drop=True)
-        x = pdf["rt_aligned"].to_numpy(dtype=float).copy()
-        for i in range(1, len(x)):
-            if x[i] <= x[i - 1]:
-                x[i] = x[i - 1] + 1e-5
+        places = pdf["rt_aligned"].astype(float).tolist()
+        for i in range(1, len(places)):
+            if places[i] <= places[i - 1]:
+                places[i] = places[i - 1] + 1e-5
+        x = np.array(places)
         y = (pdf["rt_measured"] - pdf["rt_aligned"]).to_numpy(dtype=float)
         return pd.DataFrame({"study_id": pdf["study_id"], "polarity": pdf["polarity"], "injection": pdf["injection"],
                              "knot_rt": x, "shift": kernels.loess_fit(x, y)})

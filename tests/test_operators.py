@@ -1,6 +1,7 @@
 """Operators on hand-made cases and against brute force."""
 
 import random
+import time
 
 import numpy as np
 import pandas as pd
@@ -395,6 +396,23 @@ def test_loess_follows_a_smooth_shift():
     assert abs(np.delete(fit - (0.1 + 0.02 * x), range(40, 61))).max() < 1e-6
 
 
+def test_loess_by_moments_is_the_laid_out_line(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.sort(np.concatenate([rng.normal(5, 0.01, 3000), rng.uniform(1, 25, 4000)]))
+    y = 0.05 * np.sin(x) + 0.01 * rng.standard_normal(7000) + (rng.random(7000) < 0.02)
+    by_moments = K.loess_fit(x, y)
+    monkeypatch.setattr(K, "LOESS_LEAVES", 7000)
+    assert abs(by_moments - K.loess_fit(x, y)).max() < 1e-12
+
+
+def test_loess_does_not_cost_the_square_of_its_points():
+    x = np.sort(np.random.default_rng(4).uniform(0, 20, 100_000))
+    since = time.process_time()
+    fit = K.loess_fit(x, 0.1 + 0.02 * x)
+    assert time.process_time() - since < 60
+    assert abs(fit - (0.1 + 0.02 * x)).max() < 1e-9
+
+
 # ---- acquisition, scans, calibration ----------------------------------------------------------
 
 def _trace(spark, signal, step=0.05):
