@@ -668,3 +668,12 @@ def test_screen_decoys_in_blocks_matches_brute_force(spark, monkeypatch):
                     want[name] = min(want.get(name, (target, rule)), (target, rule))
     rules = ("same-composition", "decoy-in-target", "target-in-decoy")
     assert {r["name"]: (r["target"], rules.index(r["rule"])) for r in screened.collect()} == want and len(want) > 5
+
+
+def test_candidates_of_one_mass_are_spread_over_tasks(spark):
+    ms2 = spark.range(3000).selectExpr("'A' AS study_id", "'+' AS polarity", "'S_1' AS injection", "id AS ms2_id", "760.01e0 + id % 3 * 1e-4 AS precursor_mz", "1e0 AS rt", "array(named_struct('mz', 100e0, 'intensity', 1e0)) AS peaks")
+    lib = spark.range(3002).selectExpr("'l' AS library", "0 AS lib_rank", "id AS entry_seq", "concat('PC ', id) AS name", "CASE id WHEN 0 THEN 700e0 WHEN 1 THEN 800e0 ELSE 760.012e0 + id % 3 * 1e-4 END AS precursor_mz", "true AS is_native",
+                                       "true AS optimal_polarity", "array(named_struct('mz', 100e0, 'intensity', 1e0, 'annotation', '', 'type', '', 'chain', '')) AS peaks")
+    per_task = [r["count"] for r in SE.candidates(ms2, lib).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 9_000_000
+    assert max(per_task) < 9_000_000
