@@ -10,16 +10,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from massloom.functions import names as N
 from massloom.functions.peaks import top_peaks
-from massloom.operators.band import Band, band_exists, band_join, island_bins
+from massloom.operators import kernels
+from massloom.operators.band import Band, apart, band_exists, band_join, deal, island_bins
 from massloom.operators.matrix import INJ, RUN
 from massloom.operators.order import quantiles
 from massloom.operators.series import CH2, REPEATS, assign_series
 
 CLUSTER_PPM, BLANK_TOL = 10.0, 0.01
 MIN_SCANS, MIN_GRADIENT = 5, 0.5
+#: Rows of one block in which next rungs are sought.
+RUNGS = 2_048
 DIAGNOSTIC = {"sodium formate": "formate", "sodium acetate": "acetate"}
 DIA_WIDTH, DIA_REUSE, ALL_ION_WIDTH = 5.0, 20.0, 100.0
 
@@ -228,10 +233,21 @@ def richest_files(files: DataFrame, n: int = 3) -> DataFrame:
     return files.filter("role <> 'blank'").withColumn("rank", rank).filter(F.col("rank") <= n)
 
 
-def series_edges(rows: DataFrame, step: Column | float = CH2, tol: float = 0.01) -> DataFrame:
-    """Ordered pairs of a run whose masses differ by ``step`` within ``tol``."""
-    left = rows.select(*RUN, F.col("group_id").alias("low_id"), (F.col("mz") + step).alias("target"),
-                       F.col("rt").alias("low_rt"), F.col("mz").alias("low_mz"), F.col("area").alias("low_area"))
-    right = rows.select(*RUN, F.col("group_id").alias("high_id"), F.col("mz").alias("high_mz"),
-                        F.col("rt").alias("high_rt"), F.col("area").alias("high_area"))
-    return band_join(left, right, [Band("target", "high_mz", tol)], keys=RUN)
+def next_rungs(rows: DataFrame, step: Column | float = CH2, tol: float = 0.01) -> DataFrame:
+    """low_id, high_id: for each row the most abundant one of its run (the smaller id on a tie) whose mass is ``step`` more
+    within ``tol`` and which elutes later.
+
+    Rows of a mass bin meet in blocks, and a block leaves the best of each row only, so pairs are no rows.
+    """
+    width = 10.0 * tol  # few bins of many rows: a block costs more to hand over than to compare
+    slack = F.lit(tol + width * 1e-6)
+    left = rows.select(*RUN, F.col("group_id").alias("low_id"), (F.col("mz") + step).alias("target"), F.col("rt").alias("low_rt"))
+    left = left.filter("target IS NOT NULL").withColumn("__bin", F.floor(F.col("target") / width))
+    right = rows.filter("mz IS NOT NULL").select(*RUN, F.col("group_id").alias("high_id"), F.col("mz").alias("high_mz"), F.col("rt").alias("high_rt"), F.col("area").alias("high_area"))
+    right = right.withColumn("__bin", F.explode(F.sequence(F.floor((F.col("high_mz") - slack) / width), F.floor((F.col("high_mz") + slack) / width))))
+    left, right = deal(left, right, [*RUN, "__bin"], ["low_id"], ["high_id"], RUNGS)
+    at = [*RUN, "__bin", "__s", "__l"]
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in [*left.select(*RUN, "low_id").schema.fields, *right.select("high_id", "high_area").schema.fields]])
+    run = kernels.next_rungs(tol, [*RUN, "low_id"], to_arrow_schema(schema))
+    best = apart(left, *at).groupBy(*at).cogroup(apart(right, *at).groupBy(*at)).applyInArrow(run, schema)
+    return best.groupBy(*RUN, "low_id").agg(F.max_by("high_id", F.struct("high_area", -F.col("high_id"))).alias("high_id"))

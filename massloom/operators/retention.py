@@ -233,10 +233,9 @@ def unclaimed_series(groups: DataFrame, min_files: int = 10, min_members: int =
     share its upper rungs with others. ``series`` is the start's id. Ladders are as long as the mass range over CH2
     at most, so every group's ladder is a short array and no run is walked in one task.
     """
-    from massloom.operators.acquisition import series_edges
+    from massloom.operators.acquisition import next_rungs
     free = groups.filter((F.col("name").isNull()) & F.col("keep") & (F.col("n_features") >= min_files)).withColumn("area", F.col("max_area"))
-    edges = series_edges(free, tol=tol).filter("high_rt > low_rt")
-    nxt = edges.groupBy(*RUN, "low_id").agg(F.max_by("high_id", F.struct("high_area", -F.col("high_id"))).alias("high_id"))
+    nxt = next_rungs(free, tol=tol)
     about = free.select(*RUN, "group_id", "mz", "rt", "area")
     whole = ladders(nxt, "low_id", "high_id").withColumn("member_ids", F.concat(F.array("node"), "rungs")).filter(F.size("member_ids") >= min_members)
     members = whole.select(*RUN, F.col("node").alias("series"), F.size("member_ids").alias("n"), F.posexplode("member_ids").alias("at", "group_id")).join(about, [*RUN, "group_id"])

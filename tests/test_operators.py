@@ -677,3 +677,17 @@ def test_candidates_of_one_mass_are_spread_over_tasks(spark):
     per_task = [r["count"] for r in SE.candidates(ms2, lib).groupBy(F.spark_partition_id()).count().collect()]
     assert sum(per_task) == 9_000_000
     assert max(per_task) < 9_000_000
+
+
+def test_next_rungs_are_the_most_abundant_later_ones(spark, monkeypatch):
+    monkeypatch.setattr(A, "RUNGS", 16)
+    rng = random.Random(5)
+    rows = [("A", "+", i, 500 + rng.choice([0.0, A.CH2, 2 * A.CH2]) + rng.uniform(-0.02, 0.02), rng.uniform(1, 3), rng.choice([1.0, 2.0, 2.0, None])) for i in range(300)]
+    got = {r["low_id"]: r["high_id"] for r in A.next_rungs(spark.createDataFrame(rows, f"{RUN}, group_id long, mz double, rt double, area double")).collect()}
+    want = {}
+    for _, _, i, mz, rt, _ in rows:
+        above = [(-1.0 if area is None else area, -j) for _, _, j, other, later, area in rows if abs(mz + A.CH2 - other) <= 0.01 and later > rt]
+        if above:
+            want[i] = -max(above)[1]
+    assert got == want
+    assert len(want) > 50
