@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from massloom.functions import ions
 from massloom.functions.peaks import FWHM_TO_SIGMA, GAUSS_BASE
 from massloom.operators import groups as G
-from massloom.operators.band import spread
+from massloom.operators.band import apart, spread
 from massloom.plans import standin as S
 from massloom.plans.catalog.acquisition import area_groups
 from massloom.plans.catalog.matrix import CELLS
@@ -314,7 +314,8 @@ def j6(spark, d):
 
 def hits(spark, d):
     """Two spectra per named feature, a few of them off the peak."""
-    f = features(spark, d).join(spread(S.groups(spark, d).select("group_id", "name", "adduct", "dot")), "group_id").filter("name IS NOT NULL")
+    # a feature becomes two wide rows, so its partitions are not left to be merged by the bytes of the narrow ones
+    f = apart(features(spark, d), "group_id").join(spread(S.groups(spark, d).select("group_id", "name", "adduct", "dot")), "group_id").filter("name IS NOT NULL")
     f = f.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
     return f.selectExpr(
         "study_id", "polarity", "injection", "group_id * 2 + copy AS ms2_id", "1 AS rank",

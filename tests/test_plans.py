@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from massloom.plans.catalog.groups import hits
 
 D = "/root/testdata/sf0.001"
 BAND = ["band_join_pairs", "j1_library_candidates", "j6_isobaric_neighbours", "j8_isotope_pairs", "j9_adduct_known", "j10_in_source", "j19_xic", "j22_inclusion",
@@ -61,3 +62,9 @@ def test_growing_sides_are_shuffled_not_collected(spark):
     assert {tuple(r) for r in G.in_source_pairs(g).select("parent", "fragment").collect()} == {(1, 0), (2, 0)}
     shared = g.withColumn("mz", F.lit(500.0))
     assert G.adduct_pairs_known(shared, ions.adduct_table(spark)).count() == 6
+
+
+def test_hits_are_not_left_to_be_merged_by_bytes(spark):
+    """Features are dealt by number before they become two wide rows each."""
+    plan = hits(spark, D)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [group_id" in plan
