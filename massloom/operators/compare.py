@@ -11,12 +11,15 @@ from massloom.functions import names as N
 from massloom.functions.ions import isotope_ions, peak_width
 from massloom.functions.numeric import spearman
 from massloom.operators import kernels
-from massloom.operators.band import Band, band_exists, band_join, deal, spread
+from massloom.operators.band import Band, apart, band_exists, band_join, deal, spread
 from massloom.operators.matrix import GROUP, RUN
 from massloom.operators.order import quantiles
+from massloom.session import next_round
 
 #: Groups of one block whose neighbours are counted.
 COISOLATED = 2_048
+#: Spectra, and groups, of one block in which spectra taken on groups are counted.
+FRAGMENTED = 16_384
 
 
 def fragmentation_audit(groups: DataFrame, scans: DataFrame, ppm: float = 10.0, rt_tol: float = 0.1,
@@ -37,16 +40,34 @@ def fragmentation_audit(groups: DataFrame, scans: DataFrame, ppm: float = 10.0,
 
 def failed_spectra(groups: DataFrame, ms2: DataFrame, artefacts: dict[str, float], ppm: float = 10.0, rt_tol: float = 0.1) -> DataFrame:
     """Why acquired spectra failed: per evidence class the median TIC, peak count and artefact share of
-    the spectra taken on its groups."""
+    the spectra taken on its groups.
+
+    A spectrum counts once for each group it was taken on.  Spectra and groups meet in blocks of both axes, which leave one
+    row a spectrum and class with the number of its groups; a pair is never a row.
+    """
     bad = F.create_map(*[F.lit(x) for kv in artefacts.items() for x in kv])[F.col("polarity")]
     total = F.aggregate("peaks", F.lit(0.0), lambda a, p: a + p["intensity"])
     art = F.aggregate(F.filter("peaks", lambda p: F.abs(p["mz"] - bad) < 0.01), F.lit(0.0), lambda a, p: a + p["intensity"])
     s = ms2.select(*RUN, F.col("precursor_mz").alias("s_mz"), F.col("rt").alias("s_rt"), F.size("peaks").alias("n_peaks"), total.alias("tic"), art.alias("art"))
-    rows = band_join(s.filter("tic > 0"), groups.select(*GROUP, "evidence", "mz", "rt"), [Band("s_mz", "mz", ppm, "ppm"), Band("s_rt", "rt", rt_tol)], keys=RUN)
+    # bins wide enough to be few whatever the tolerances; masses are binned by their logarithm
+    reach_mz, reach_rt = Band("s_mz", "mz", ppm, "ppm").reach(), float(rt_tol)
+    wide, long = max(2 * reach_mz, 0.01), max(2 * reach_rt, 1.0)
+    reach = lambda c, tol, width: F.explode(F.sequence(F.floor((c - tol) / width - 1e-6), F.floor((c + tol) / width + 1e-6)))
+    left = s.filter("tic > 0 AND s_mz > 0 AND s_rt IS NOT NULL AND NOT isnan(s_mz) AND NOT isnan(s_rt)").withColumn(
+        "__m", F.floor(F.log("s_mz") / wide)).withColumn("__t", F.floor(F.col("s_rt") / long)).withColumn("__by", F.xxhash64("s_mz", "s_rt", "tic", F.monotonically_increasing_id()))
+    right = groups.select(*GROUP, "evidence", "mz", "rt").filter("mz > 0 AND rt IS NOT NULL AND NOT isnan(mz) AND NOT isnan(rt)").withColumn(
+        "__m", reach(F.log("mz"), F.lit(reach_mz), wide)).withColumn("__t", reach(F.col("rt"), F.lit(reach_rt), long))
+    at = [*RUN, "__m", "__t"]
+    left, right = deal(left, right, at, ["__by"], ["group_id"], FRAGMENTED)
+    kept = left.select(*RUN, "n_peaks", "tic", "art").schema.fields
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in [*kept, T.StructField("evidence", T.StringType()), T.StructField("n", T.LongType())]])
+    run = kernels.spectra_on_groups(ppm, rt_tol, [f.name for f in kept], to_arrow_schema(schema))
+    at = [*at, "__s", "__l"]
+    rows = next_round(apart(left, *at).groupBy(*at).cogroup(apart(right, *at).groupBy(*at)).applyInArrow(run, schema))
     keys = [*RUN, "evidence"]
     middles = quantiles(rows, keys, {"median_tic": (F.col("tic"), 0.5), "median_peaks": (F.col("n_peaks"), 0.5),
-                                     "artefact_share": (F.col("art") / F.col("tic"), 0.5)})
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("spectra")).join(middles, keys, "left")
+                                     "artefact_share": (F.col("art") / F.col("tic"), 0.5)}, F.col("n"))
+    return rows.groupBy(*keys).agg(F.sum("n").alias("spectra")).join(middles, keys, "left")
 
 
 def _sum_names(rows: DataFrame) -> DataFrame:

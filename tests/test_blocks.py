@@ -54,3 +54,38 @@ def test_profile_screen_sorts_no_injection_in_one_task(spark):
     assert {i: got[i]["rho"] for i in got} == pytest.approx(rho, abs=1e-12) and len(got) == 9
     least = min(rho[i] for i in range(2, 9))
     assert all(got[i]["below_sample_band"] == (round(rho[i], 12) < round(least, 12)) for i in rho)
+
+
+def test_quantiles_of_weighted_rows(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice("AB"), rng.choice([0.0, -3.0, rng.gauss(0, 5)]), rng.randrange(1, 9)) for _ in range(90)]
+    df = spark.createDataFrame(rows, "k string, x double, w long")
+    got = {r["k"]: r for r in quantiles(df, ["k"], {"low": (F.col("x"), 0.3), "mid": (F.col("x"), 0.5)}, F.col("w")).collect()}
+    for k in "AB":
+        x = [v for key, v, w in rows if key == k for _ in range(w)]
+        assert [got[k]["low"], got[k]["mid"]] == pytest.approx([np.quantile(x, 0.3), np.median(x)], rel=1e-12)
+
+
+def test_failed_spectra_counts_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(C, "FRAGMENTED", 8)
+    rng = random.Random(7)
+    masses = [500.0 * (1 + k * 5e-6) for k in range(8)]
+    groups = [("A", rng.choice("+-"), g, rng.choice(["MS2", "unidentified"]), rng.choice(masses), rng.randrange(40) / 8) for g in range(120)]
+    spectra = [("A", rng.choice("+-"), rng.choice(masses), rng.randrange(40) / 8, [(100.0 + k, float(rng.randrange(9))) for k in range(rng.randrange(4))]) for _ in range(90)]
+    groups += [("A", "+", 900, "MS2", None, 1.0), ("A", "+", 901, "MS2", 500.0, None)]
+    spectra += [("A", "+", None, 1.0, [(100.0, 1.0)]), ("B", "+", 500.0, 1.0, [(100.0, 1.0)])]
+    g = spark.createDataFrame(groups, "study_id string, polarity string, group_id long, evidence string, mz double, rt double")
+    s = spark.createDataFrame(spectra, "study_id string, polarity string, precursor_mz double, rt double, peaks array<struct<mz: double, intensity: double>>")
+    pairs = {}
+    for gs, gp, _, evidence, mz, rt in groups:
+        for ss, sp, pm, st, peaks in spectra:
+            tic = sum(i for _, i in peaks)
+            if (gs, gp) == (ss, sp) and tic > 0 and None not in (mz, rt, pm) and abs(pm - mz) / mz * 1e6 <= 10.0 and abs(st - rt) <= 0.5:
+                art = sum(i for m, i in peaks if abs(m - {"+": 100.0, "-": 101.0}[gp]) < 0.01)
+                pairs.setdefault((gs, gp, evidence), []).append((tic, len(peaks), art / tic))
+    out = {(r.study_id, r.polarity, r.evidence): r for r in C.failed_spectra(g, s, {"+": 100.0, "-": 101.0}, rt_tol=0.5).collect()}
+    assert set(out) == set(pairs) and sum(map(len, pairs.values())) > 200
+    for k, rows in pairs.items():
+        assert out[k].spectra == len(rows)
+        assert [out[k].median_tic, out[k].median_peaks, out[k].artefact_share] == pytest.approx(list(np.median(np.array(rows), axis=0)), rel=1e-12)
+    assert C.failed_spectra(g, s.limit(0), {"+": 100.0, "-": 101.0}).count() == 0
