@@ -24,7 +24,9 @@ def _rho(x, y):
 
 def _run(spark, rng, n_groups, n_inj, blank=()):
     """Areas of a run by (group, injection), with ties and gaps; every injection is a sample but for ``blank``."""
-    cells = {(g, i): float(rng.choice([0, 5, 5, 20, rng.randrange(1, 90)])) for g in range(n_groups) for i in range(n_inj)}
+    noise = lambda i: rng.choice([0, 5, 5, 20, rng.randrange(1, 90)])
+    trend = lambda i: 10 * i + rng.choice([0, 0, 5])
+    cells = {(g, i): float((noise if g % 3 else trend)(i)) for g in range(n_groups) for i in range(n_inj)}
     areas = spark.createDataFrame([("A", "+", g, f"I{i:02d}", v) for (g, i), v in cells.items() if v > 0], "study_id string, polarity string, group_id long, injection string, area double")
     injections = spark.createDataFrame([("A", "+", f"I{i:02d}", "blank" if i in blank else "sample", i + 1) for i in range(n_inj)], "study_id string, polarity string, injection string, role string, run_order int")
     return cells, areas, injections
@@ -89,3 +91,30 @@ def test_failed_spectra_counts_in_blocks(spark, monkeypatch):
         assert out[k].spectra == len(rows)
         assert [out[k].median_tic, out[k].median_peaks, out[k].artefact_share] == pytest.approx(list(np.median(np.array(rows), axis=0)), rel=1e-12)
     assert C.failed_spectra(g, s.limit(0), {"+": 100.0, "-": 101.0}).count() == 0
+
+
+def test_annotation_ambiguity_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(K, "AMBIGUOUS", 8)
+    rng = random.Random(8)
+    cells, areas, injections = _run(spark, rng, 70, 8, blank=(0,))
+    names = ["PC 34:1", "PC 16:0_18:1", "PC 16:0_18:1 [M+H]+", "PE 36:2", "PE 18:1_18:1", None, " "]
+    rows = [("A", "+", g, rng.choice(names), 700.0 + rng.randrange(12) * 0.004, rng.randrange(30) / 20, 0.21) for g in range(70)]
+    g = spark.createDataFrame(rows, "study_id string, polarity string, group_id long, name string, mz double, rt double, fwhm double")
+    out = {(r.id_a, r.id_b): r for r in K.annotation_ambiguity(g, areas, injections).collect()}
+    bare = lambda n: n.replace(" [M+H]+", "")
+    named = [(g_, bare(n), mz, rt) for _, _, g_, n, mz, rt, _ in rows if (n or "").strip()]
+    window = float(np.mean([0.21] * len(named)))
+    want = {(a[0], b[0]): (a, b) for a in named for b in named if a[1] != b[1] and (a[3], a[2], a[0]) < (b[3], b[2], b[0]) and abs(a[2] - b[2]) <= 0.01 and abs(a[3] - b[3]) <= window}
+    assert set(out) == set(want) and len(want) > 50
+    sums = {"PC 16:0_18:1": "PC 34:1", "PE 18:1_18:1": "PE 36:2"}
+    kinds = set()
+    for key, (a, b) in want.items():
+        x, y = ([cells[k[0], i] for i in range(1, 8)] for k in (a, b))
+        enough = min(sum(v > 0 for v in x), sum(v > 0 for v in y)) >= 4
+        r = _rho(x, y) if enough else None
+        assert out[key].r == (pytest.approx(r, abs=1e-12) if enough else None)
+        if r is None or abs(r - 0.8) > 1e-9:
+            kind = "rejected" if r is None or r < 0.8 else "summed and resolved" if sums.get(a[1]) == b[1] or sums.get(b[1]) == a[1] else "same peak"
+            assert out[key].kind == kind
+            kinds.add(kind)
+    assert len(kinds) > 1
