@@ -12,14 +12,19 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from massloom.functions.peaks import bind
-from massloom.operators.band import Band, band_exists, band_join, islands
+from massloom.operators import kernels
+from massloom.operators.band import Band, apart, band_exists, band_join, islands
 from massloom.operators.matrix import GROUP, INJ, RUN
 from massloom.operators.qc import dense_cells
 from massloom.session import cut_lineage
 
 TARGET = [*INJ, "target_id"]
+#: Minutes of an injection whose scans are searched for targets in one task.
+STRETCH = 1.0
 
 
 def ms1_peaks(ms1: DataFrame, min_intensity: float | None = None) -> DataFrame:
@@ -28,22 +33,23 @@ def ms1_peaks(ms1: DataFrame, min_intensity: float | None = None) -> DataFrame:
     return ms1.select(*INJ, "scan_no", "rt", F.explode(peaks).alias("p")).select(*INJ, "scan_no", "rt", "p.mz", "p.intensity")
 
 
-def xic(ms1: DataFrame, targets: DataFrame, ppm: float = 10.0, how: str = "sum", salt: int = 4) -> DataFrame:
+def xic(ms1: DataFrame, targets: DataFrame, ppm: float = 10.0, how: str = "sum") -> DataFrame:
     """Signal per target and scan: ``target, scan_no, rt, signal``; a scan without the mass gives 0.
 
     ``targets``: injection keys, target_id, t_mz, t_lo, t_hi.  Masses in [t_mz - ppm, t_mz + ppm),
     scans in [t_lo, t_hi).  ``how`` ``max`` takes the tallest peak instead of the sum.
+
+    The scans of one stretch of an injection meet its targets in a task, as whole scans: a peak is never a row.
     """
-    t = targets.select(*TARGET, "t_mz", "t_lo", "t_hi").withColumn("t_mid", (F.col("t_lo") + F.col("t_hi")) / 2).withColumn(
-        "t_half", (F.col("t_hi") - F.col("t_lo")) / 2)
-    time = Band("rt", "t_mid", "t_half", width=1.0)
-    inside = "rt >= t_lo AND rt < t_hi"
-    hits = band_join(ms1_peaks(ms1), t, [Band("mz", "t_mz", ppm * 1.0001, "ppm"), time], keys=INJ, salt=salt,
-                     where=f"{inside} AND mz >= t_mz - t_mz * {ppm}e-6D AND mz < t_mz + t_mz * {ppm}e-6D")
-    value = F.sum("intensity") if how == "sum" else F.max("intensity")
-    signal = hits.groupBy(*TARGET, "scan_no").agg(value.alias("signal"))
-    axis = band_join(ms1.select(*INJ, "scan_no", "rt"), t.select(*TARGET, "t_mid", "t_half", "t_lo", "t_hi"), [time], keys=INJ, where=inside)
-    return (axis.select(*TARGET, "scan_no", "rt").join(signal, [*TARGET, "scan_no"], "left").na.fill(0.0, ["signal"]))
+    bin_of = lambda c: F.floor(F.col(c) / STRETCH)
+    scan = ms1.filter("rt IS NOT NULL").select(*INJ, "scan_no", F.col("rt").cast("double").alias("rt"), F.col("peaks.mz").cast("array<double>").alias("p_mz"),
+                                               F.col("peaks.intensity").cast("array<double>").alias("p_int"), bin_of("rt").alias("__t"))
+    t = targets.filter("t_lo < t_hi").select(*TARGET, *[F.col(c).cast("double").alias(c) for c in ("t_mz", "t_lo", "t_hi")])
+    t = t.withColumn("__t", F.explode(F.sequence(bin_of("t_lo"), bin_of("t_hi"))))
+    fields = [*t.select(*TARGET).schema.fields, *scan.select("scan_no", "rt").schema.fields, T.StructField("signal", T.DoubleType())]
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
+    at = [*INJ, "__t"]
+    return apart(scan, *at).groupBy(*at).cogroup(apart(t, *at).groupBy(*at)).applyInArrow(kernels.signals(ppm, how, TARGET, to_arrow_schema(schema)), schema)
 
 
 def traces(chrom: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from massloom.operators import compare as C
 from massloom.operators import qc as K
+from massloom.operators import scans as X
 from massloom.operators.order import averaged_places, quantiles
 
 
@@ -118,3 +119,23 @@ def test_annotation_ambiguity_in_blocks(spark, monkeypatch):
             assert out[key].kind == kind
             kinds.add(kind)
     assert len(kinds) > 1
+
+
+def test_chromatograms_from_whole_scans(spark):
+    rng = random.Random(9)
+    scans = [("A", "+", i, k, k * 0.25, [(rng.choice([499.99, 500.0, 500.004, 500.02, 700.0]), float(rng.randrange(1, 9))) for _ in range(rng.randrange(6))]) for i in "xy" for k in range(20)]
+    scans += [("A", "+", "x", 50, None, [(500.0, 1.0)]), ("A", "+", "x", 51, 1.1, None), ("A", "+", "x", 52, 1.2, [(500.0, None), (None, 3.0), (500.0, 2.0)])]
+    targets = [("A", "+", i, t, mz, lo, hi) for i in "xyz" for t, (mz, lo, hi) in enumerate([(500.0, 0.25, 3.0), (500.004, 1.75, 2.0), (700.0, -1.0, 9.0), (900.0, 2.0, 4.1), (500.0, 8.0, 9.0)])]
+    ms1 = spark.createDataFrame(scans, "study_id string, polarity string, injection string, scan_no long, rt double, peaks array<struct<mz: double, intensity: double>>")
+    t = spark.createDataFrame(targets, "study_id string, polarity string, injection string, target_id int, t_mz double, t_lo double, t_hi double")
+    for how in ("sum", "max"):
+        want = {}
+        for _, _, i, k, mz, lo, hi in targets:
+            for _, _, j, n, rt, peaks in scans:
+                if i == j and rt is not None and lo <= rt < hi:
+                    found = [x for m, x in peaks or [] if m is not None and x is not None and mz - mz * 10e-6 <= m < mz + mz * 10e-6]
+                    want[i, k, n] = (rt, (sum if how == "sum" else max)(found or [0.0]))
+        out = X.xic(ms1, t, how=how)
+        assert "explode(peaks" not in out._jdf.queryExecution().optimizedPlan().toString()
+        assert {(r.injection, r.target_id, r.scan_no): (r.rt, r.signal) for r in out.collect()} == want and any(v for _, v in want.values())
+    assert X.xic(ms1.limit(0), t).count() == 0
