@@ -1,4 +1,5 @@
-"""Near-duplicates by the Jaccard similarity of word shingles: banded minima choose candidates, class counts rule out most, the shingle sets decide."""
+"""Near-duplicates by the Jaccard similarity of word shingles: a binary trie of SimHash fingerprints and banded minima choose
+candidates, class counts rule out most, the shingle sets decide."""
 
 from __future__ import annotations
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from massloom.llm.common import dropped, keyed, slices, written
 from massloom.llm.graph import components
+from massloom.llm.simhash import BUDGET, fingerprint, near_links
 
 #: Words of a shingle, and the least share of common shingles as a fraction.
 SHINGLE, SIMILARITY = 5, (4, 5)
@@ -58,13 +60,25 @@ def _mark(text: str, width: int) -> tuple[bytes, int, np.ndarray, bytes]:
 
 
 def _marked(rows: DataFrame, width: int) -> DataFrame:
+    """Each text's ``_mark`` and ``fp``, its SimHash fingerprint over the same shingles as a signed number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            found = [_mark(t, width) for t in part.column(1).to_pylist()]
+            texts = part.column(1).to_pylist()
+            found = [_mark(t, width) for t in texts]
+            fps = np.array([fingerprint(t, width) for t in texts], dtype=np.uint64).view(np.int64)
             columns = [pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()), strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), *columns], ["doc_id", "text_key", "digest", "n", "bands", "counts"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), *columns, pa.array(fps)], ["doc_id", "text_key", "digest", "n", "bands", "counts", "fp"])
 
-    return rows.select("doc_id", "text", "text_key").mapInArrow(run, "doc_id long, text_key long, digest binary, n long, bands array<long>, counts binary")
+    return rows.select("doc_id", "text", "text_key").mapInArrow(run, "doc_id long, text_key long, digest binary, n long, bands array<long>, counts binary, fp long")
+
+
+def _buckets(nodes: DataFrame, budget: int = BUDGET) -> DataFrame:
+    """node, n, band: the buckets in which nodes are candidates. One for each of a node's bands, and one for the component of
+    its fingerprint in the trie self-join at ``budget`` bits."""
+    prints = written(nodes.select("fp").distinct())
+    found = components(near_links(prints, budget=budget)).withColumnRenamed("node", "of")
+    trie = nodes.select("node", "n", "fp").join(found, F.col("fp") == F.col("of"), "left")
+    return nodes.select("node", "n", F.explode("bands").alias("band")).union(trie.select("node", "n", F.xxhash64(F.lit("trie"), F.coalesce("root", "fp"))))
 
 
 def _sizes_allow(a: Column, b: Column, similarity: tuple[int, int]) -> Column:
@@ -157,8 +171,8 @@ def _apart(rooted: DataFrame, nodes: DataFrame, similarity: tuple[int, int]) ->
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """Near-duplicate groups: documents linked, directly or by others, by an exact similarity of their shingle sets.
 
-    Texts of equal shingle sets (128-bit digests) are one node. Nodes that share a band are candidates. In each band's
-    bucket all nodes are first compared with the smallest, then those of other components with the largest, then
+    Texts of equal shingle sets (128-bit digests) are one node. Nodes that share a band, or whose fingerprints the trie
+    self-join of SimHash links, are candidates. In each bucket of these all nodes are first compared with the smallest, then those of other components with the largest, then
     all that are still in two components, in blocks that put out only pairs which their class counts allow; so a dense
     group costs as many rows as it has members, and no candidate pair of two groups is left out.
 
@@ -170,11 +184,12 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = keyed(docs, id_col, text_col)
     marked = written(_marked(rows, width))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")
-    nodes = marked.groupBy("digest").agg(first, F.first(F.struct("n", "bands", "counts")).alias("of"))
-    nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "digest", "first", "of.*"))
-    member = nodes.select("node", "n", F.explode("bands").alias("band"))
-    ends = member.groupBy("band").agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")).filter("lo.node < hi.node")
-    member = written(member.join(ends, "band"))
+    nodes = marked.groupBy("digest").agg(first, F.first(F.struct("n", "bands", "counts")).alias("of"), F.min("fp").alias("fp"))
+    nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "digest", "first", "of.*", "fp"))
+    buckets = written(_buckets(nodes))
+    ends = buckets.groupBy("band").agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")).filter("lo.node < hi.node")
+    member = written(buckets.join(ends, "band"))
+    dropped(buckets)
     needed = nodes.join(member.select("node").distinct(), "node", "left_semi").select("node", F.col("first.doc_id").alias("at_id"), F.col("first.text_key").alias("at_key"))
     texts = rows.join(needed, rows["doc_id"].eqNullSafe(needed["at_id"]) & (rows["text_key"] == needed["at_key"]))
     texts = written(texts.select("node", "text").dropDuplicates(["node"]))

@@ -246,3 +246,15 @@ def test_hash_table_verifies(monkeypatch):
     monkeypatch.setattr(filter_audit, "_hashes", lambda raw, doc, start, length: np.zeros(len(start), dtype=np.uint64))
     text = " ".join(f"word{i % 17}" for i in range(60)) + " " + "long" * 30 + " " + "long" * 29 + "lonG"
     assert filter_audit.measure(pa.array([text.encode(), text.encode()], pa.binary()))[:, 1].tolist() == [19, 19]
+
+
+def test_near_dedup_takes_candidates_from_the_trie(spark):
+    from massloom.llm import near_dedup
+
+    rows = [(0, 0b0, [10, 20]), (1, 0b11, [11, 21]), (2, 0b1111, [12, 22]), (3, -1, [13, 23]), (4, -1, [14, 24]), (5, 1 << 40 | 0x7F0000, [10, 25])]
+    nodes = spark.createDataFrame([(n, 9, fp, bands) for n, fp, bands in rows], "node long, n long, fp long, bands array<long>")
+    shared = {}
+    for r in near_dedup._buckets(nodes).collect():
+        shared.setdefault(r.band, set()).add(r.node)
+    # 0 and 1, 1 and 2 differ in two bits; 3 and 4 in none; 0 and 5 share a band
+    assert sorted(map(sorted, (m for m in shared.values() if len(m) > 1))) == [[0, 1, 2], [0, 5], [3, 4]]
