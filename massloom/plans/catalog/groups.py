@@ -248,9 +248,9 @@ def j15(spark, d):
     return G.merge_split_peaks(split_groups(spark, d), split_areas(spark, d), S.injections(spark, d))
 
 
-def features(spark, d):
-    """One feature per detected cell; measured retention drifts with run order."""
-    a = S.areas(spark, d).join(S.injections(spark, d).select("study_id", "polarity", "injection", "run_order"), ["study_id", "polarity", "injection"])
+def features(spark, d, areas=None):
+    """One feature per detected cell; measured retention drifts with run order.  ``areas`` is their table, where it is at hand."""
+    a = (S.areas(spark, d) if areas is None else areas).join(S.injections(spark, d).select("study_id", "polarity", "injection", "run_order"), ["study_id", "polarity", "injection"])
     return a.join(spread(S.groups(spark, d).select("study_id", "polarity", "group_id", "mz", "rt", "fwhm")), ["study_id", "polarity", "group_id"]).selectExpr(
         "study_id", "polarity", "group_id", "injection", "run_order", "mz * (1 + (run_order % 5) * 1e-7) AS mz", "rt AS rt_aligned",
         "rt + run_order * 0.001e0 + rt * 0.0005e0 AS rt_measured", "fwhm", "cast(area AS double) AS area")
@@ -312,10 +312,10 @@ def j6(spark, d):
     return G.isobaric_neighbours(features(spark, d), S.groups(spark, d))
 
 
-def hits(spark, d):
-    """Two spectra per named feature, a few of them off the peak."""
+def hits(spark, d, table=None):
+    """Two spectra per named feature, a few of them off the peak.  ``table`` holds the features, where it is at hand."""
     # a feature becomes two wide rows, so its partitions are not left to be merged by the bytes of the narrow ones
-    f = apart(features(spark, d), "group_id").join(spread(S.groups(spark, d).select("group_id", "name", "adduct", "dot")), "group_id").filter("name IS NOT NULL")
+    f = apart(features(spark, d) if table is None else table, "group_id").join(spread(S.groups(spark, d).select("group_id", "name", "adduct", "dot")), "group_id").filter("name IS NOT NULL")
     f = f.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
     return f.selectExpr(
         "study_id", "polarity", "injection", "group_id * 2 + copy AS ms2_id", "1 AS rank",

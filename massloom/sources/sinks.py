@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from massloom.functions import names as N
+from massloom.operators.band import spread
 from massloom.operators.groups import duplicate_names, duplicate_verdicts, lipid_keys
 from massloom.operators.matrix import GROUP, RUN, apply_factors, median_factors, pooled_cv, recentre, wide_matrix
 from massloom.operators.order import ordered
@@ -19,7 +20,7 @@ def result_rows(groups: DataFrame, areas: DataFrame, injections: DataFrame, verd
     named), ``normalised`` (identified, median-normalised and re-centred on the rows written).
     """
     reason = verdicts.groupBy(*GROUP).agg(F.max_by("reason", "stage").alias("filter_status"))
-    rows = groups.join(reason, GROUP, "left").na.fill("", ["filter_status"])
+    rows = groups.join(spread(reason), GROUP, "left").na.fill("", ["filter_status"])
     if table != "unfiltered":
         rows = rows.filter("filter_status = ''").drop("filter_status")
     named = F.coalesce(F.trim("name"), F.lit("")) != ""
