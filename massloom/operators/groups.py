@@ -34,6 +34,8 @@ BUCKET = 0.1
 #: Cells of the two joins of association: sixteen times the reach in mass, and minutes.  A side that is copied to the cells it reaches
 #: then has a third more rows; cells as narrow as the reach copy it sevenfold.
 WIDE_MASS, WIDE_RT = 16 * ASSOCIATION_PPM * 1e-6, 2.0
+#: Shares of the injections that are associated one after another; only the disk that is taken at once depends on it.
+PASSES = 3
 #: Groups of one block whose areas are correlated.
 CORRELATED = 2_048
 # ---- fixed values: the ion a class is normally quantified on ----------------------------------
@@ -107,7 +109,7 @@ def isobaric_neighbours(features: DataFrame, groups: DataFrame) -> DataFrame:
 
 # ---- association ------------------------------------------------------------------------------
 
-def associate(hits: DataFrame, features: DataFrame, groups: DataFrame) -> DataFrame:
+def associate(hits: DataFrame, features: DataFrame, groups: DataFrame, passes: int = PASSES) -> DataFrame:
     """Hits attached to the feature they were fragmented from: hit columns plus ``group_id, weight``.
 
     ``hits`` carries ``corrected_rt`` (see ``rt_correction``; equal to rt when nothing was fitted).
@@ -115,7 +117,14 @@ def associate(hits: DataFrame, features: DataFrame, groups: DataFrame) -> DataFr
     20 ppm of the feature and of the group's ion; retention inside two feature widths; group inside
     the three-mean-width bucket window and at most one minute away; no taller isobaric neighbour at
     that time.  The earliest group wins.
+
+    An injection's hits only meet its own features, so injections are taken in ``passes`` shares, all rows of one at once.
     """
+    share = lambda rows, i: rows.filter(F.pmod(F.xxhash64(*INJ), F.lit(passes)) == i)
+    return reduce(DataFrame.unionByName, [_associate(share(hits, i), share(features, i), groups) for i in range(passes)])
+
+
+def _associate(hits: DataFrame, features: DataFrame, groups: DataFrame) -> DataFrame:
     keep = hits.filter((F.col("dot") > MIN_DOT) & (F.col("reverse_dot") > MIN_REVERSE)
                        & (N.name_polarity(F.col("name")) == F.col("polarity")))
     spectrum = [*INJ, "ms2_id", "rank"]
