@@ -628,7 +628,7 @@ def split_peak_candidates(groups: DataFrame, max_ppm: float = 10.0, widths: floa
     named = groups.filter("name IS NOT NULL AND keep")
     reach = run_fwhm(groups).withColumn("b_reach", F.col("run_fwhm") * widths).drop("run_fwhm")
     a = named.select(*RUN, "name", "adduct", F.col("group_id").alias("first"), F.col("rt").alias("a_rt"), F.col("mz").alias("a_mz"))
-    b = named.join(reach, RUN).select(*RUN, "name", "adduct", F.col("group_id").alias("second"), F.col("rt").alias("b_rt"), F.col("mz").alias("b_mz"), "b_reach")
+    b = named.join(F.broadcast(reach), RUN).select(*RUN, "name", "adduct", F.col("group_id").alias("second"), F.col("rt").alias("b_rt"), F.col("mz").alias("b_mz"), "b_reach")
     pairs = band_join(a, b, [Band("a_mz", "b_mz", max_ppm, "ppm"), Band("a_rt", "b_rt", "b_reach", width=0.25)],
                       keys=[*RUN, "name", "adduct"], where="struct(a_rt, first) < struct(b_rt, second)")
     return pairs.select(*RUN, "name", "first", "second")
@@ -674,12 +674,13 @@ def merge_split_peaks(groups: DataFrame, areas: DataFrame, injections: DataFrame
     # pools come first, so a vector of areas holds them in front
     place = F.row_number().over(Window.partitionBy(*RUN).orderBy(F.col("role") == "sample", "injection")) - 1
     inj = inj.join(pools, RUN, "left_semi").withColumn("pos", place)
-    cand = split_peak_candidates(groups, max_ppm, widths).join(pools, RUN, "left_semi")
+    cand = next_round(split_peak_candidates(groups, max_ppm, widths).join(F.broadcast(pools), RUN, "left_semi"))  # read for its groups and as pairs
     touched = cand.select(*RUN, F.col("first").alias("group_id")).union(cand.select(*RUN, F.col("second"))).distinct()
-    cells = (areas.join(touched, GROUP, "left_semi").join(inj.select(*INJ, "pos"), INJ)
+    # one row per injection, and per run; rows that grow with the data are never collected, however small their files
+    cells = (areas.join(spread(touched), GROUP, "left_semi").join(F.broadcast(inj.select(*INJ, "pos")), INJ)
              .groupBy(*GROUP).agg(F.collect_list("pos").alias("pos"), F.collect_list(F.col("area").cast("double")).alias("area")))
     shape = inj.groupBy(*RUN).agg(F.count(F.lit(1)).alias("width")).join(pools, RUN)
-    info = groups.select(*GROUP, "rt").join(touched, GROUP, "left_semi").join(cells, GROUP, "left").join(shape, RUN)
+    info = groups.select(*GROUP, "rt").join(spread(touched), GROUP, "left_semi").join(spread(cells), GROUP, "left").join(F.broadcast(shape), RUN)
     at = lambda k: groups.select(*RUN, F.col("group_id").alias(k), F.col("rt").alias(f"{k}_rt"))
     pairs = cand.join(spread(at("first")), [*RUN, "first"]).join(spread(at("second")), [*RUN, "second"])
     p = {"min_pools": min_pools, "improvement": improvement, "min_shared": min_shared, "ratio_cv": ratio_cv, "rho": rho}
@@ -700,7 +701,7 @@ def merge_split_peaks(groups: DataFrame, areas: DataFrame, injections: DataFrame
     done = settle_in_order(pairs, order, ("first", "second"), nodes, absorb, block=block)
     merges = done.filter("merged_into IS NOT NULL").select(*GROUP, "merged_into", "kind", "reason")
     ends = follow(merges, "group_id", "merged_into").withColumnRenamed("merged_into", "survivor")
-    return merges.join(ends, GROUP).select(*GROUP, "merged_into", "survivor", "kind", "reason")
+    return merges.join(spread(ends), GROUP).select(*GROUP, "merged_into", "survivor", "kind", "reason")
 
 
 def _dense(group: dict) -> np.ndarray:

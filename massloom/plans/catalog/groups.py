@@ -207,11 +207,11 @@ JOIN {groups} g ON a.group_id = g.group_id"""
 
 
 def split_groups(spark, d):
-    return spark.sql(SPLIT_GROUPS, groups=S.groups(spark, d)).withColumn("keep", F.lit(True))
+    return spark.sql(SPLIT_GROUPS, groups=spread(S.groups(spark, d))).withColumn("keep", F.lit(True))
 
 
 def split_areas(spark, d):
-    return spark.sql(SPLIT_AREAS, groups=S.groups(spark, d), areas=S.areas(spark, d), injections=S.injections(spark, d))
+    return spark.sql(SPLIT_AREAS, groups=spread(S.groups(spark, d)), areas=S.areas(spark, d), injections=S.injections(spark, d))
 
 
 def _cv(v: str) -> str:

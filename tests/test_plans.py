@@ -1,8 +1,13 @@
 """Plans and contracts of the registered queries."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
+from massloom.operators import groups as G
+from massloom.operators.resolve import settle_in_order
+from massloom.plans.catalog import groups as C
 from massloom.plans.catalog.groups import hits
 
 D = "/root/testdata/sf0.001"
@@ -68,3 +73,15 @@ def test_hits_are_not_left_to_be_merged_by_bytes(spark):
     """Features are dealt by number before they become two wide rows each."""
     plan = hits(spark, D)._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [group_id" in plan
+
+
+def test_split_peaks_collect_no_groups_on_the_driver(spark, monkeypatch):
+    """Groups grow with the data; however small their files, joins to them are shuffled."""
+    for frame in (C.split_groups(spark, D), C.split_areas(spark, D)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [group_id" in plan or "SortMergeJoin [b#" in plan
+        assert not re.search(r"BroadcastHashJoin \[(group_id|b)#", plan)
+    nodes = []
+    monkeypatch.setattr(G, "settle_in_order", lambda pairs, order, ends, info, *a, **k: nodes.append(info) or settle_in_order(pairs, order, ends, info, *a, **k))
+    G.merge_split_peaks(C.split_groups(spark, D), C.split_areas(spark, D), C.S.injections(spark, D))
+    assert not re.search(r"BroadcastHashJoin \[study_id#\d+, polarity#\d+, group_id#", nodes[0]._jdf.queryExecution().executedPlan().toString())
