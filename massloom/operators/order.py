@@ -28,7 +28,8 @@ def ordered(rows: DataFrame, *order: Column, keys: list[str] = RUN, place: str =
     numbered = cut.join(F.broadcast(before), "__range").withColumn("__global", global_place)
     starts = numbered.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.min("__global").alias("__first"))
     same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    return numbered.join(starts, same).select(*[f"`{c}`" for c in rows.columns], (F.col("__global") - F.col("__first") + 1).alias(place))
+    # one row a key
+    return numbered.join(F.broadcast(starts), same).select(*[f"`{c}`" for c in rows.columns], (F.col("__global") - F.col("__first") + 1).alias(place))
 
 
 def averaged_places(counts: DataFrame, keys: list[str], value: str, n: str = "n") -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from massloom.functions import ions
 from massloom.operators import acquisition as A
 from massloom.operators import series as R
-from massloom.operators.band import Band, band_exists, band_join, islands
+from massloom.operators.band import Band, band_exists, band_join, islands, spread
 from massloom.plans import standin as S
 from massloom.plans.registry import query
 
@@ -228,9 +228,10 @@ gg AS (SELECT g.study_id, g.polarity, g.group_id, g.mz, g.rt, g.fwhm, coalesce(m
 lib AS (SELECT group_id AS entry, mz + 0.002e0 AS lib_mz, adduct FROM groups WHERE group_id % 2 = 0)"""
 
 
-def area_groups(spark, d):
-    mx = S.areas(spark, d).groupBy("study_id", "polarity", "group_id").agg(F.max("area").cast("double").alias("max_area"))
-    g = S.groups(spark, d).join(mx, ["study_id", "polarity", "group_id"], "left").na.fill(0.0, ["max_area"])
+def area_groups(spark, d, areas=None):
+    """Groups with their largest area; ``areas`` is their table, where it is at hand."""
+    mx = (S.areas(spark, d) if areas is None else areas).groupBy("study_id", "polarity", "group_id").agg(F.max("area").cast("double").alias("max_area"))
+    g = S.groups(spark, d).join(spread(mx), ["study_id", "polarity", "group_id"], "left").na.fill(0.0, ["max_area"])
     return g.selectExpr("study_id", "polarity", "group_id", "mz", "rt", "fwhm", "max_area", "m <> 2 AS keep",
                         "name IS NOT NULL AND group_id % 3 = 0 AS identified")
 

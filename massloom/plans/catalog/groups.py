@@ -11,7 +11,7 @@ from massloom.plans.catalog.acquisition import area_groups
 from massloom.plans.catalog.matrix import CELLS
 from massloom.plans.catalog.qc import SUMNAME, rank_of
 from massloom.plans.registry import query
-from massloom.session import cut_lineage
+from massloom.session import cut_lineage, next_round
 
 BASE = S.cte("groups")
 # wider peaks than the stand-in's, so the sweep window holds its planted pairs
@@ -75,10 +75,10 @@ def j12(spark, d):
     return G.redundant_pairs(wide(spark, d).withColumn("sum_name", sum_composition(F.col("name"))))
 
 
-def sweep_input(spark, d):
+def sweep_input(spark, d, areas):
     from massloom.functions.names import sum_composition
-    g = wide(spark, d).join(spread(area_groups(spark, d).select("group_id", "max_area")), "group_id")
-    g = cut_lineage(g)  # the group table is read by six rules
+    g = wide(spark, d).join(spread(area_groups(spark, d, areas).select("group_id", "max_area")), "group_id")
+    g = next_round(g)  # the group table is read by six rules
     return g.withColumn("sum_name", sum_composition(F.col("name"))).withColumn("fragments", F.when(
         F.col("name").isNotNull(), F.array(F.col("mz") + 21.98194, F.col("mz") / 2)))
 
@@ -102,7 +102,8 @@ sw AS (SELECT pr.*, coalesce(n, 0) < 5 OR r >= 0.5 AS tracks FROM pr LEFT JOIN t
 
 @query("j8_j12_sweep_pairs", f"WITH {SWEEP} SELECT * FROM sw")
 def sweep(spark, d):
-    return G.sweep_pairs(sweep_input(spark, d), ions.adduct_table(spark), S.areas(spark, d), S.injections(spark, d)).select(
+    areas = next_round(S.areas(spark, d))  # read by the groups and the correlation
+    return G.sweep_pairs(sweep_input(spark, d, areas), ions.adduct_table(spark), areas, S.injections(spark, d)).select(
         "study_id", "polarity", "later", "earlier", "rule", "forward", "tracks")
 
 
@@ -134,8 +135,9 @@ SELECT study_id, polarity, e.id AS group_id, arg_max(e.reason, k) AS reason, arg
 
 @query("j8_j12_sweep_verdicts", SWEEP_WALK)
 def sweep_verdicts(spark, d):
-    g = sweep_input(spark, d)
-    pairs = G.sweep_pairs(g, ions.adduct_table(spark), S.areas(spark, d), S.injections(spark, d))
+    areas = next_round(S.areas(spark, d))  # read by the groups and the correlation
+    g = sweep_input(spark, d, areas)
+    pairs = G.sweep_pairs(g, ions.adduct_table(spark), areas, S.injections(spark, d))
     return G.resolve_sweep(pairs, g)
 
 

@@ -6,9 +6,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from massloom.functions import ions
 from massloom.operators import groups as G
+from massloom.operators import resolve
 from massloom.operators.order import quantiles
 from massloom.operators.resolve import follow, settle_in_order
+from massloom.session import next_round
 
 KEYS = ["study_id", "polarity"]
 
@@ -111,3 +114,60 @@ def test_ions_are_packed_in_order(spark):
         best = min((r for r in rows if r[0] == g), key=lambda r: (-r[3], r[1], r[2]))
         assert (quant[g]["quant_ion"], quant[g]["quant_polarity"]) == (best[2], best[4])
     assert G.distinct_ions(f.limit(0), ["group_id"]).count() == 0
+
+
+def _drop():
+    def decide(pair, first, second):
+        if first["into"] is None and second["into"] is None:
+            win, lose = (first, second) if first["v"] >= second["v"] else (second, first)
+            lose["into"] = win["group_id"]
+    return decide
+
+
+def test_blocks_do_not_wait_for_one_another(spark, monkeypatch):
+    """Where decisions stop mattering after a while, a chain over thirty blocks takes a few rounds."""
+    tables = []
+    monkeypatch.setattr(resolve, "next_round", lambda df, *older: tables.append(1) or next_round(df, *older))
+    rng = random.Random(3)
+    nodes = [("A", "+", i, rng.randrange(1000)) for i in range(901)]
+    pairs = [("A", "+", i, j, 3 * i + j - i) for i in range(899) for j in (i + 1, i + 2)]
+    state = {n[2]: {"group_id": n[2], "v": n[3], "into": None} for n in nodes}
+    for p in sorted(pairs, key=lambda p: p[4]):
+        _drop()(None, state[p[2]], state[p[3]])
+    p, n = _frames(spark, pairs, nodes)
+    got = {r["group_id"]: r["into"] for r in settle_in_order(p, [F.col("w")], ("a", "b"), n, _drop(), block=60, reads=[]).collect()}
+    assert got == {k: s["into"] for k, s in state.items() if k < 901}
+    assert len(tables) < 10
+
+
+def _sweep_rows(spark):
+    rng = random.Random(4)
+    rows = [("A", "+", k, round(500 + rng.choice([0, 1.003, 21.98194, -250.0]) + k % 3 * 1e-4, 4), round(rng.uniform(1, 3), 2), rng.choice([0.1, 0.4]), float(rng.randrange(50)),
+             *rng.choice([("[M+H]+", "PC 1:0", [250.0]), ("[M+Na]+", "PC 1:0", None), (None, None, None)])) for k in range(90)]
+    g = spark.createDataFrame(rows, "study_id string, polarity string, group_id long, mz double, rt double, fwhm double, max_area double, adduct string, sum_name string, fragments array<double>")
+    inj = spark.createDataFrame([("A", "+", f"I{i}", "sample", i) for i in range(9)], "study_id string, polarity string, injection string, role string, run_order int")
+    cells = {(k, i): float(rng.randrange(1, 9)) for k in range(85) for i in range(9) if rng.random() < 0.7}  # five groups have none
+    areas = spark.createDataFrame([("A", "+", k, f"I{i}", v) for (k, i), v in cells.items()], "study_id string, polarity string, group_id long, injection string, area double")
+    return g, inj, areas, cells
+
+
+@pytest.mark.parametrize("together", [65_536, 7])
+def test_sweep_pairs_meet_their_cells_in_blocks(spark, monkeypatch, together):
+    monkeypatch.setattr(G, "TOGETHER", together)
+    g, inj, areas, cells = _sweep_rows(spark)
+    out = G.sweep_pairs(g, ions.adduct_table(spark), areas, inj)
+    assert "ArrowEvalPython" not in out._jdf.queryExecution().optimizedPlan().toString()  # no row of a pair holds cells
+    got = out.collect()
+    rt = {r["group_id"]: r["rt"] for r in g.collect()}
+    assert len(got) > 100 and {r["rule"] for r in got} >= {"isotope", "known", "unknown", "source", "redundant"}
+    for r in got:
+        both = [(cells[r["later"], i], cells[r["earlier"], i]) for i in range(9) if (r["later"], i) in cells and (r["earlier"], i) in cells]
+        x, y = [v for v, _ in both], [v for _, v in both]
+        flat = len(x) < 5 or min(x) == max(x) or min(y) == max(y)
+        rho = 0.0 if flat else float(np.corrcoef(x, y)[0, 1])
+        assert r["tracks"] == (len(x) < 5 or rho >= 0.5) or abs(rho - 0.5) < 1e-9
+        assert (r["later_rt"], r["earlier_rt"]) == (rt[r["later"]], rt[r["earlier"]]) and (r["later_rt"], r["later"]) > (r["earlier_rt"], r["earlier"])
+    for rule, pairs, ends in (("isotope", G.isotope_pairs(g), ("light", "heavy")), ("redundant", G.redundant_pairs(g), ("later", "earlier")),
+                              ("known", G.adduct_pairs_known(g, ions.adduct_table(spark)), ("known", "other")), ("source", G.in_source_pairs(g), ("parent", "fragment"))):
+        mine = sorted((r["later"], r["earlier"]) if r["forward"] else (r["earlier"], r["later"]) for r in got if r["rule"] == rule)
+        assert mine == sorted((r[ends[0]], r[ends[1]]) for r in pairs.collect())
