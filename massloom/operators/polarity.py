@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from massloom.functions import names as N
 from massloom.functions.numeric import spearman
 from massloom.functions.roles import qc_flag
+from massloom.operators.band import spread
 from massloom.operators.matrix import GROUP, INJ, RUN
 
 CARRY_RT = 0.20
@@ -51,6 +52,37 @@ def apply_polarity(groups: DataFrame, table: DataFrame) -> DataFrame:
     return out.withColumn("reason", reason).select(*groups.columns, "polarity_kept", "reason")
 
 
+def _nearest_offers(rows: DataFrame, offers: DataFrame, tolerance: float) -> DataFrame:
+    """``rows`` with ``chains, source, there`` of the offers of their sum composition: the nearest of each chains and source within
+    ``tolerance`` (of two equally near that of the smaller group id), and those without a retention; a row without one takes all chains and sources.
+
+    Rows never meet all offers of a name: in a cell of retention both are put in order, and the last offer before and the first after a row are carried to it.
+    """
+    name, kind = [*RUN, "sum_name"], ["chains", "source"]
+    width = 4 * tolerance if tolerance > 0 else 1.0
+    cell = lambda c: F.floor(c / width)
+    timed = offers.filter("there IS NOT NULL").groupBy(*name, *kind, F.col("there").cast("double").alias("there")).agg(F.min("offer_id").alias("offer_id"))
+    timed = timed.withColumn("__cell", F.explode(F.sequence(cell(F.col("there") - tolerance - width * 1e-6), cell(F.col("there") + tolerance + width * 1e-6))))
+    at = [*name, "__cell", *kind]
+    asked = rows.filter("rt IS NOT NULL").withColumn("__cell", cell(F.col("rt"))).join(spread(timed.select(*at).distinct()), [*name, "__cell"])
+    line = timed.select(*at, F.col("there").alias("__x"), F.struct("there", "offer_id").alias("__offer"), F.lit(None).cast(rows.schema["group_id"].dataType).alias("group_id"))
+    line = line.unionByName(asked.select(*at, F.col("rt").alias("__x"), "group_id"), allowMissingColumns=True)
+    # an offer stands before the rows of its own retention
+    # either way; a frame to the end of its key would be read again for every row
+    nearest_so_far = lambda x: F.last("__offer", ignorenulls=True).over(
+        Window.partitionBy(*at).orderBy(x, F.col("__offer").isNull()).rowsBetween(Window.unboundedPreceding, 0))
+    below, above = nearest_so_far(F.col("__x")), nearest_so_far(F.col("__x").desc())
+    beside = line.withColumn("__below", below).withColumn("__above", above).filter("__offer IS NULL").withColumnRenamed("__x", "rt")
+    far = lambda c: F.struct(F.abs(F.col(c)["there"] - F.col("rt")).alias("g"), F.col(c)["offer_id"].alias("id"))
+    nearest = F.when(F.col("__above").isNull() | (F.col("__below").isNotNull() & (far("__below") <= far("__above"))), F.col("__below")).otherwise(F.col("__above"))
+    columns = [*GROUP, "rt", *kind, "there"]
+    near = beside.withColumn("there", nearest["there"]).filter(F.abs(F.col("there") - F.col("rt")) <= tolerance).select(*columns)
+    untimed = rows.join(spread(offers.filter("there IS NULL").select(*name, *kind, "there").distinct()), name).select(*columns)
+    everything = offers.select(*name, *kind).distinct().withColumn("there", F.lit(None).cast("double"))
+    unplaced = rows.filter("rt IS NULL").join(spread(everything), name).select(*columns)
+    return near.unionByName(untimed).unionByName(unplaced)
+
+
 def carry_chains(groups: DataFrame, table: DataFrame, tolerance: float = CARRY_RT) -> DataFrame:
     """Chain-resolved name for sum-composition rows: ``group keys, chains, chains_from, rt_delta``.
 
@@ -59,7 +91,7 @@ def carry_chains(groups: DataFrame, table: DataFrame, tolerance: float = CARRY_R
     """
     named = groups.filter("name IS NOT NULL AND name <> ''")
     resolved = (named.filter(F.col("name").contains("_")).select(
-        "study_id", F.col("polarity").alias("source"), "lipid_class", F.col("name").alias("chains"), N.sum_composition(F.col("name")).alias("sum_name"), F.col("rt").alias("there")))
+        "study_id", F.col("polarity").alias("source"), "lipid_class", F.col("group_id").alias("offer_id"), F.col("name").alias("chains"), N.sum_composition(F.col("name")).alias("sum_name"), F.col("rt").alias("there")))
     won = validate_classes(groups.withColumn("identified", F.col("name").isNotNull()), table).filter("status = 'shared'").select(
         "study_id", "lipid_class", F.col("assigned").alias("winner"))
     own = resolved.withColumn("polarity", F.col("source"))
@@ -67,10 +99,9 @@ def carry_chains(groups: DataFrame, table: DataFrame, tolerance: float = CARRY_R
              .withColumn("polarity", F.col("winner")).drop("winner"))
     offers = other.unionByName(own.select(*other.columns))
     rows = named.filter(~F.col("name").contains("_")).select(*GROUP, "rt", F.col("name").alias("sum_name"))
-    hits = rows.join(offers.drop("lipid_class"), [*RUN, "sum_name"])
+    hits = _nearest_offers(rows, offers, tolerance)
     gap = F.abs(F.col("there") - F.col("rt"))
-    ok = F.col("rt").isNull() | F.col("there").isNull() | (gap <= tolerance)
-    best = hits.filter(ok).groupBy(*GROUP, "chains").agg(F.min_by(F.struct("source", (F.col("there") - F.col("rt")).alias("delta")), F.struct(gap.alias("g"), "source")).alias("b"))
+    best = hits.groupBy(*GROUP, "chains").agg(F.min_by(F.struct("source", (F.col("there") - F.col("rt")).alias("delta")), F.struct(gap.alias("g"), "source")).alias("b"))
     one = best.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"), F.first(F.struct("chains", "b")).alias("x")).filter("n = 1")
     return one.select(*GROUP, "x.chains", F.col("x.b.source").alias("chains_from"), F.col("x.b.delta").alias("rt_delta"))
 

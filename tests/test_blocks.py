@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from massloom.operators import compare as C
+from massloom.operators import polarity as P
 from massloom.operators import qc as K
 from massloom.operators import scans as X
 from massloom.operators.order import averaged_places, quantiles
@@ -139,3 +140,35 @@ def test_chromatograms_from_whole_scans(spark):
         assert "explode(peaks" not in out._jdf.queryExecution().optimizedPlan().toString()
         assert {(r.injection, r.target_id, r.scan_no): (r.rt, r.signal) for r in out.collect()} == want and any(v for _, v in want.values())
     assert X.xic(ms1.limit(0), t).count() == 0
+
+
+def test_chains_are_carried_from_the_nearest_offer(spark):
+    rng = random.Random(11)
+    rows = []
+    for g in range(240):
+        pol = rng.choice("+-")
+        name = rng.choice(["PC 34:1", "PC 34:1", "PC 16:0_18:1", "PC 16:1_18:0", "PE 36:2", "PE 18:1_18:1"])
+        rows.append(("A", pol, g, name[:2], name, None if rng.random() < 0.03 else round(rng.uniform(0, 40), 2)))
+    frame = spark.createDataFrame(rows, "study_id string, polarity string, group_id long, lipid_class string, name string, rt double")
+    table = spark.createDataFrame([("PC", "+"), ("PE", "-")], "lipid_class string, assigned string")
+    won, sums = {"PC": "+", "PE": "-"}, {"PC 16:0_18:1": "PC 34:1", "PC 16:1_18:0": "PC 34:1", "PE 18:1_18:1": "PE 36:2"}
+    for offered in (rows, [r for r in rows if "_" not in r[4] or r[5] is not None]):
+        want = {}
+        for _, pol, g, _, name, rt in offered:
+            best = {}
+            for _, source, _, cls, chains, there in offered:
+                if "_" in name or sums.get(chains) != name or not (source == pol or won[cls] == pol):
+                    continue
+                gap = None if None in (rt, there) else abs(there - rt)
+                if gap is None or gap <= 0.2:
+                    key = ((0, 0.0) if gap is None else (1, gap), source)
+                    best[chains] = min(best.get(chains, (key, None)), (key, None if gap is None else there - rt), key=lambda b: b[0]) if chains in best else (key, None if gap is None else there - rt)
+            if len(best) == 1:
+                (chains, ((_, source), delta)), = best.items()
+                want[g] = (chains, source, None if delta is None else round(abs(delta), 9))
+        out = P.carry_chains(frame.join(spark.createDataFrame([(r[2],) for r in offered], "group_id long"), "group_id", "left_semi"), table)
+        # a row meets the offers next to it, never all of its name
+        assert not re.search(r"Join [^\n]*there#\d+ - ", out._jdf.queryExecution().optimizedPlan().toString())
+        got = {r.group_id: (r.chains, r.chains_from, None if r.rt_delta is None else round(abs(r.rt_delta), 9)) for r in out.collect()}
+        assert got == want and len(want) > 10
+    assert P.carry_chains(frame.limit(0), table).count() == 0
