@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from massloom.operators import compare as C
 from massloom.operators import polarity as P
 from massloom.operators import qc as K
+from massloom.operators import search as Q
 from massloom.operators import scans as X
 from massloom.operators.order import averaged_places, quantiles
 
@@ -172,3 +173,31 @@ def test_chains_are_carried_from_the_nearest_offer(spark):
         got = {r.group_id: (r.chains, r.chains_from, None if r.rt_delta is None else round(abs(r.rt_delta), 9)) for r in out.collect()}
         assert got == want and len(want) > 10
     assert P.carry_chains(frame.limit(0), table).count() == 0
+
+
+def test_crowded_bins_are_dealt_to_few_blocks(spark, monkeypatch):
+    """Blocks grow with a bin, so rows are copied a few times only, and their parts give what one part gives."""
+    rng = random.Random(12)
+    peaks = lambda: [(100.0 + 10 * k + rng.choice([0, 0.004]), float(rng.randrange(1, 99))) for k in range(6)]
+    spectra = [("A", "-", "I", i, 700.0 + i % 3 * 0.004, float(i), peaks()) for i in range(230)]
+    entries = [("L", 0, i, f"PC 1{i % 4}:0_18:{i % 2} [M-H]-;", 700.0 + i % 3 * 0.004, True, i % 5 > 0,
+                [(m, x, "", "C1_Alkyl Fragment" if k < 2 else "C_Fragment", "" if k > 1 else f"1{i % 4}:0" if k else f"18:{i % 2}") for k, (m, x) in enumerate(peaks())]) for i in range(90)]
+    ms2 = spark.createDataFrame(spectra, "study_id string, polarity string, injection string, ms2_id long, precursor_mz double, rt double, peaks array<struct<mz: double, intensity: double>>")
+    lib = spark.createDataFrame(entries + [("L", 0, -1, "PC 0:0 [M-H]-;", 600.0, True, True, [(100.0, 1.0, "", "", "")]), ("L", 0, -2, "PC 0:0 [M-H]-;", 800.0, True, True, [(100.0, 1.0, "", "", "")])],
+                                "library string, lib_rank int, entry_seq long, name string, precursor_mz double, is_native boolean, optimal_polarity boolean, "
+                                "peaks array<struct<mz: double, intensity: double, annotation: string, type: string, chain: string>>")
+    chains = lib.selectExpr("explode(peaks.chain) AS chain", "'Alkyl' AS base").distinct()
+
+    def found():
+        top = sorted((r.ms2_id, r["rank"], r.entry_seq, round(r.dot, 6)) for r in Q.search(ms2, lib, max_results=3).collect())
+        pure = sorted((r.ms2_id, r.purity, str(r.components), tuple(r.explained)) for r in Q.purity(ms2, lib, chains).collect())
+        pairs = Q.score(Q.candidates(Q.prepare_spectra(ms2), Q.prepare_library(lib), blocks=Q.BLOCK), columns=["ms2_id", "entry_seq"])
+        return top, pure, sorted((r.ms2_id, r.entry_seq, round(r.dot, 6)) for r in pairs.collect())
+
+    whole = found()
+    assert len(whole[0]) > 600 and any(p for _, p, _, _ in whole[1]) and len(whole[2]) > 5000
+    for name, value in (("BLOCK", 4), ("DEALT", 64), ("PAIRED", 8), ("PURITY_BLOCK", 2), ("PURITY_MOST", 16)):
+        monkeypatch.setattr(Q, name, value)
+    dealt = Q.candidates(Q.prepare_spectra(ms2), Q.prepare_library(lib), blocks=Q.BLOCK, most=Q.DEALT)
+    assert dealt.spectra.groupBy("ms2_id", "__bin").count().agg(F.max("count")).first()[0] <= 8  # 23 blocks of entries before
+    assert found() == whole
